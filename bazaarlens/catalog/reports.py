@@ -141,7 +141,8 @@ def r08(t):
 @query("r09_moving_averages", SERIES + """
     select strftime(month, '%Y-%m') as month, round(cast(revenue as double), 2) as revenue_brl,
            case when count(*) over a = 3 then round(cast(sum(revenue) over a as double) / 3, 2) end as ma_3mo,
-           case when count(*) over b = 6 then round(cast(sum(revenue) over b as double) / 6, 2) end as ma_6mo,
+           -- sixths of a cent can tie, so this rounds in whole cents
+           case when count(*) over b = 6 then ((2 * cast(100 * sum(revenue) over b as hugeint) + 6) // 12) / 100.0::double end as ma_6mo,
            case when count(*) over c = 3 then
                round(100.0 * (cast(revenue as double) - cast(sum(revenue) over c as double) / 3)
                      / nullif(cast(sum(revenue) over c as double) / 3, 0), 1) end as pct_vs_prior_3mo

@@ -25,24 +25,32 @@ def money_out(value) -> Column:
     return rounded(value, 2)
 
 
-def ratio(part, whole) -> Column:
-    """``part / whole`` as a double; NULL for a zero denominator."""
-    return col(part).cast("double") / F.nullif(col(whole).cast("double"), F.lit(0.0))
+def exact(value) -> Column:
+    """Operand of a quotient: an exact decimal of up to 18 integer digits."""
+    return col(value).cast("decimal(20,2)")
+
+
+def quotient(part, whole, digits: int) -> Column:
+    """``part / whole`` rounded once, NULL for a zero denominator.
+
+    The division is decimal: as a double, a value half way between two results
+    can fall on either side of the tie.
+    """
+    return F.round(exact(part) / F.nullif(exact(whole), F.lit(0)), digits).cast("double")
 
 
 def pct(part, whole, digits: int = 1) -> Column:
-    """Percentage of ``whole``, rounded once at the end."""
-    scaled = F.lit(100.0) * col(part).cast("double")
-    return F.round(scaled / F.nullif(col(whole).cast("double"), F.lit(0.0)), digits)
+    """``part`` in percent of ``whole``."""
+    return quotient(F.lit(100) * exact(part), whole, digits)
 
 
-def mean(value, where: Column | None = None) -> Column:
+def mean(value, digits: int, where: Column | None = None) -> Column:
     """Average of an exact number, from its exact sum and its count.
 
     Summing doubles would make the last digits depend on the task order.
     """
     kept = col(value) if where is None else F.when(where, col(value))
-    return F.sum(kept).cast("double") / F.nullif(F.count(kept).cast("double"), F.lit(0.0))
+    return quotient(F.sum(kept), F.count(kept), digits)
 
 
 def as_long(value) -> Column:

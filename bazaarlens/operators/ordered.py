@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions import pct
 from ..sources.durable import cut_lineage
 from .joins import grand_total
 
@@ -187,13 +188,8 @@ def pareto(
         "members", grand_total(df, F.count("*"))
     )
 
-    def share(part: Column) -> Column:
-        return F.round(
-            F.lit(100.0) * part.cast("double") / F.nullif(F.col("_total").cast("double"), F.lit(0.0)), digits
-        )
-
-    curve = scanned.withColumn("cumulative_pct", share(F.col("_running"))).withColumn(
-        "_prev_pct", share(F.col("_running") - F.col(value))
+    curve = scanned.withColumn("cumulative_pct", pct("_running", "_total", digits)).withColumn(
+        "_prev_pct", pct(F.col("_running") - F.col(value), "_total", digits)
     )
     crossing = F.lit(False)
     for t in thresholds:

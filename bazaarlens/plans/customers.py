@@ -52,9 +52,9 @@ def lifetime_value_methods(t) -> DataFrame:
     )
     return per_buyer.groupBy("method").agg(
         F.count("*").alias("distinct_customers"),
-        F.round(mean("lifetime_value"), 2).alias("avg_ltv_brl"),
+        mean("lifetime_value", 2).alias("avg_ltv_brl"),
         money_out(F.max("lifetime_value")).alias("max_ltv_brl"),
-        F.round(mean("orders"), 3).alias("avg_orders_per_customer"),
+        mean("orders", 3).alias("avg_orders_per_customer"),
         pct(F.count_if(F.col("orders") > 1), F.count("*"), 2).alias("pct_repeat_buyers"),
     )
 
@@ -71,7 +71,7 @@ def value_segments(t, high: float = 500, standard: float = 100) -> DataFrame:
         lifetime_values(t)
         .groupBy(segment.alias("segment"))
         .agg(F.count("*").alias("customers"), F.sum("lifetime_value").alias("revenue"),
-             mean("lifetime_value").alias("avg_ltv"))
+             mean("lifetime_value", 2).alias("avg_ltv_brl"))
     )
     return per_segment.select(
         "segment",
@@ -79,7 +79,7 @@ def value_segments(t, high: float = 500, standard: float = 100) -> DataFrame:
         pct("customers", grand_total(per_segment, F.sum("customers")), 2).alias("pct_of_customers"),
         money_out("revenue").alias("segment_revenue_brl"),
         pct("revenue", grand_total(per_segment, F.sum("revenue")), 2).alias("pct_of_revenue"),
-        F.round("avg_ltv", 2).alias("avg_ltv_brl"),
+        "avg_ltv_brl",
     ).orderBy("segment")
 
 

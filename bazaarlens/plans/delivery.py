@@ -50,15 +50,15 @@ def late_rate_by_state(t, minimum_orders: int = 300) -> DataFrame:
         .agg(
             F.count("*").alias("orders"),
             F.count_if("is_late").alias("late_orders"),
-            mean("days_to_deliver").alias("to_deliver"),
-            mean("days_vs_promise", where=F.col("is_late")).alias("late_by"),
+            mean("days_to_deliver", 1).alias("avg_days_to_deliver"),
+            mean("days_vs_promise", 1, where=F.col("is_late")).alias("avg_days_late"),
         )
         .filter(F.col("orders") >= minimum_orders)
         .select(
             "seller_state", "orders", "late_orders",
             pct("late_orders", "orders", 2).alias("pct_late"),
-            F.round("to_deliver", 1).alias("avg_days_to_deliver"),
-            F.round("late_by", 1).alias("avg_days_late"),
+            "avg_days_to_deliver",
+            "avg_days_late",
         )
         .orderBy(F.desc("pct_late"), "seller_state")
     )
@@ -140,14 +140,14 @@ def lateness_by_distance(t) -> DataFrame:
     )
     per_band = cut_lineage(
         per_order.groupBy(distance_band(F.col("km")).alias("distance_band")).agg(
-            F.count("*").alias("orders"), mean("days_to_deliver").alias("days"), F.count_if("is_late").alias("late")
+            F.count("*").alias("orders"), mean("days_to_deliver", 1).alias("avg_days_to_deliver"), F.count_if("is_late").alias("late")
         )
     )
     return per_band.select(
         "distance_band",
         "orders",
         pct("orders", grand_total(per_band, F.sum("orders")), 2).alias("pct_of_orders"),
-        F.round("days", 1).alias("avg_days_to_deliver"),
+        "avg_days_to_deliver",
         pct("late", "orders", 2).alias("pct_late"),
     ).orderBy("distance_band")
 

@@ -109,7 +109,7 @@ def seller_deciles(t, buckets: int = 10) -> DataFrame:
     bucketed = ntile(sellers, [F.desc("revenue"), "seller_id"], buckets, "revenue_decile")
     per_bucket = cut_lineage(
         bucketed.groupBy("revenue_decile").agg(
-            F.count("*").alias("sellers"), F.sum("revenue").alias("revenue"), mean("revenue").alias("avg_revenue")
+            F.count("*").alias("sellers"), F.sum("revenue").alias("revenue"), mean("revenue", 2).alias("avg_seller_revenue_brl")
         )
     )
     # One row per bucket from here on.
@@ -121,7 +121,7 @@ def seller_deciles(t, buckets: int = 10) -> DataFrame:
         money_out("revenue").alias("decile_revenue_brl"),
         pct("revenue", total).alias("pct_of_total_revenue"),
         pct(running, total).alias("cumulative_pct"),
-        F.round("avg_revenue", 2).alias("avg_seller_revenue_brl"),
+        "avg_seller_revenue_brl",
     ).orderBy("revenue_decile")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions import money_out, months_index, pct, quarter_of, ratio, year_month
+from ..functions import money_out, months_index, pct, quarter_of, quotient, year_month
 from ..operators.series import densify, full_frame_only, month_spine, trailing
 from ..sources.durable import cut_lineage
 from . import base
@@ -66,7 +66,7 @@ def month_over_month(t, first: str, last: str) -> DataFrame:
         year_month("month").alias("month"),
         money_out("revenue").alias("revenue_brl"),
         "orders",
-        F.round(ratio("revenue", "orders"), 2).alias("avg_order_value_brl"),
+        quotient("revenue", "orders", 2).alias("avg_order_value_brl"),
         money_out(previous).alias("prev_month_brl"),
         change_pct(F.col("revenue"), previous).alias("mom_growth_pct"),
     ).orderBy("month")
@@ -80,16 +80,15 @@ def rows_against_range(t, before: str, missing_month: str | None = None) -> Data
     return sparse.select(
         year_month("month").alias("month"),
         money_out("revenue").alias("revenue_brl"),
-        F.round(_avg(rows), 2).alias("ma_3mo_rows"),
-        F.round(_avg(months), 2).alias("ma_3mo_range"),
+        _avg(rows).alias("ma_3mo_rows"),
+        _avg(months).alias("ma_3mo_range"),
         F.count("*").over(rows).alias("rows_in_frame"),
         F.count("*").over(months).alias("range_in_frame"),
     ).orderBy("month")
 
 
 def _avg(window) -> Column:
-    """Average over a frame from the exact sum, so NULL only for an empty frame."""
-    return ratio(F.sum("revenue").over(window), F.count("revenue").over(window))
+    return quotient(F.sum("revenue").over(window), F.count("revenue").over(window), 2)
 
 
 def moving_averages(t, first: str, last: str) -> DataFrame:
@@ -98,11 +97,12 @@ def moving_averages(t, first: str, last: str) -> DataFrame:
     return clean_series(t, first, last).select(
         year_month("month").alias("month"),
         money_out("revenue").alias("revenue_brl"),
-        full_frame_only(F.round(_avg(three), 2), three, 3).alias("ma_3mo"),
-        full_frame_only(F.round(_avg(six), 2), six, 6).alias("ma_6mo"),
-        full_frame_only(
-            change_pct(F.col("revenue").cast("double"), _avg(prior)), prior, 3
-        ).alias("pct_vs_prior_3mo"),
+        full_frame_only(_avg(three), three, 3).alias("ma_3mo"),
+        full_frame_only(_avg(six), six, 6).alias("ma_6mo"),
+        # Against the average of three months: three times the value against their sum.
+        full_frame_only(change_pct(3 * F.col("revenue"), F.sum("revenue").over(prior)), prior, 3).alias(
+            "pct_vs_prior_3mo"
+        ),
     ).orderBy("month")
 
 
