@@ -6,7 +6,7 @@ from importlib import import_module
 
 from .registry import ENTRIES, runner, with_views
 
-GROUPS = ("reports",)
+GROUPS = ("reports", "ingest", "filters", "joins", "aggregates", "windows")
 
 
 def _loaded():

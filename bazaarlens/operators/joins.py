@@ -54,6 +54,9 @@ def role_join(df: DataFrame, lookup: DataFrame, key: str, roles: Sequence[tuple[
     ``roles`` pairs a column of ``df`` with a prefix. Unmatched rows stay.
     """
     for column, prefix in roles:
-        side = lookup.select(*[F.col(c).alias(f"{prefix}_{c}") for c in lookup.columns])
-        df = df.join(side, F.col(column) == F.col(f"{prefix}_{key}"), "left").drop(f"{prefix}_{key}")
+        side = lookup.select(
+            F.col(key).alias("_role_key"),
+            *[F.col(c).alias(f"{prefix}_{c}") for c in lookup.columns if c != key],
+        )
+        df = df.join(side, F.col(column) == F.col("_role_key"), "left").drop("_role_key")
     return df

@@ -101,6 +101,20 @@ def ordered_scan(
     return joined.select(*out)
 
 
+def running_with_peers(
+    df: DataFrame, order: str, value: str, name: str, by: Sequence[str] = ()
+) -> DataFrame:
+    """Running sum under the default frame: rows with equal ``order`` share a total.
+
+    The total belongs to the distinct order value, so the values are summed
+    before they are scanned. Pass a frame that is cheap to read twice.
+    """
+    by = list(by)
+    steps = df.groupBy(*by, order).agg(F.sum(value).alias("_step"))
+    scanned = ordered_scan(steps, [order], by, number=None, sums={name: "_step"})
+    return null_safe_join(df, scanned.drop("_step"), [*by, order])
+
+
 def value_ranks(
     df: DataFrame,
     value: str,

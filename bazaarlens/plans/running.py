@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import day, days_between, money_out, month_of, pct, year_month
-from ..operators.ordered import ordered_scan, pareto
+from ..operators.ordered import ordered_scan, pareto, running_with_peers
 from ..operators.topk import top_k
 from ..sources.durable import cut_lineage
 from . import base
@@ -34,8 +34,7 @@ def frames_on_ties(t, person: DataFrame | None = None, unit: str = "DAY") -> Dat
 
     One person may own a large part of all orders, so the running totals come
     from the distributed scan. Among tied dates a ROWS frame may use any order;
-    here it uses the order id. The default frame gives all rows of a date the
-    total up to and including that date: a running total over dates.
+    here it uses the order id.
     """
     person = most_frequent_person(t) if person is None else person
     chosen = person_orders(t).join(F.broadcast(person.limit(1)), "person", "left_semi")
@@ -46,12 +45,10 @@ def frames_on_ties(t, person: DataFrame | None = None, unit: str = "DAY") -> Dat
             "revenue",
         )
     )
-    per_date = orders.groupBy("order_date").agg(F.sum("revenue").alias("_day_revenue"))
-    peers = per_date.select("order_date", F.sum("_day_revenue").over(W.orderBy("order_date")).alias("with_peers"))
-    scanned = ordered_scan(orders, ["order_date", "order_id"], number=None, sums={"running": "revenue"})
+    peers = running_with_peers(orders, "order_date", "revenue", "with_peers")
+    scanned = ordered_scan(peers, ["order_date", "order_id"], number=None, sums={"running": "revenue"})
     return (
-        scanned.join(peers, "order_date")
-        .orderBy("order_date", "order_id")
+        scanned.orderBy("order_date", "order_id")
         .select(
             short_id("order_id").alias("order_ref"),
             "order_date",
