@@ -6,7 +6,7 @@ from importlib import import_module
 
 from .registry import ENTRIES, runner, with_views
 
-GROUPS = ("reports", "ingest", "filters", "joins", "aggregates", "windows")
+GROUPS = ("reports", "ingest", "filters", "joins", "aggregates", "windows", "ordering", "scalars", "extensions")
 
 
 def _loaded():

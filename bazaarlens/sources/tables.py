@@ -163,7 +163,12 @@ class StarTables(StoredTables):
 
     @cached_property
     def order_items(self) -> DataFrame:
-        return self.raw("lineitem").select(
+        return self.items_of(self.raw("lineitem"))
+
+    @staticmethod
+    def items_of(lineitem: DataFrame) -> DataFrame:
+        """Order items of some line items, stored or streamed."""
+        return lineitem.select(
             F.col("l_orderkey").alias("order_id"),
             F.col("l_linenumber").alias("order_item_id"),
             F.col("l_partkey").alias("product_id"),
