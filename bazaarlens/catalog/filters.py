@@ -14,7 +14,7 @@ from ..plans import base, trend
 from .registry import query
 from .reports import SERIES, WINDOW
 
-PLACED = F.col("order_purchase_timestamp")
+PLACED = "order_purchase_timestamp"
 
 
 def stamp(text: str):
@@ -47,14 +47,14 @@ def p04(t):
     select order_id, order_purchase_timestamp from v_orders
     where order_purchase_timestamp >= timestamp '2000-01-01' and order_purchase_timestamp < timestamp '2000-09-01'""")
 def p05(t):
-    inside = (PLACED >= stamp("2000-01-01")) & (PLACED < stamp("2000-09-01"))
+    inside = (F.col(PLACED) >= stamp("2000-01-01")) & (F.col(PLACED) < stamp("2000-09-01"))
     return t.orders.filter(inside).select("order_id", "order_purchase_timestamp")
 
 
 @query("p06_one_sided_bound", """
     select order_id from v_orders where order_purchase_timestamp < timestamp '1995-09-01'""")
 def p06(t):
-    return t.orders.filter(PLACED < stamp("1995-09-01")).select("order_id")
+    return t.orders.filter(F.col(PLACED) < stamp("1995-09-01")).select("order_id")
 
 
 @query("p07_union_of_ranges", """
@@ -63,7 +63,7 @@ def p06(t):
        or (order_purchase_timestamp >= timestamp '1996-04-01' and order_purchase_timestamp < timestamp '1996-07-01')""")
 def p07(t):
     quarters = [("1995-04-01", "1995-07-01"), ("1996-04-01", "1996-07-01")]
-    either = reduce(lambda a, b: a | b, [(PLACED >= stamp(a)) & (PLACED < stamp(b)) for a, b in quarters])
+    either = reduce(lambda a, b: a | b, [(F.col(PLACED) >= stamp(a)) & (F.col(PLACED) < stamp(b)) for a, b in quarters])
     return t.orders.filter(either).select("order_id", "order_purchase_timestamp")
 
 

@@ -10,7 +10,7 @@ from ..operators.hierarchy import with_ancestors
 from ..operators.joins import grand_total, labelled, orphans, per_parent, role_join
 from ..operators.series import densify, month_spine
 from ..operators.topk import top_k
-from ..plans import base, delivery, trend
+from ..plans import base, trend
 from ..sources.durable import cut_lineage
 from .registry import query
 from .reports import EARLY_MONTHS, GAP
@@ -77,12 +77,9 @@ def j05(t):
 def j06(t):
     places = t.orders.select("order_id", "customer_id").join(
         t.customers.select("customer_id", F.col("customer_zip_code_prefix").alias("customer_zip")), "customer_id")
-    legs = (
-        delivery.order_sellers(t)
-        .join(t.sellers.select("seller_id", F.col("seller_zip_code_prefix").alias("seller_zip")), "seller_id")
-        .select("order_id", "seller_zip").distinct()
-        .join(places, "order_id")
-    )
+    sellers = t.sellers.select("seller_id", F.col("seller_zip_code_prefix").alias("seller_zip"))
+    legs = base.order_sellers(t, places.drop("customer_id")).join(sellers, "seller_id").select(
+        "order_id", "customer_zip", "seller_zip").distinct()
     points = t.geolocation_centroid.select("zip", F.round("lat", 6).alias("lat"))
     return role_join(legs, points, "zip", [("customer_zip", "customer"), ("seller_zip", "seller")]).select(
         "order_id", "customer_zip", "seller_zip", "customer_lat", "seller_lat"

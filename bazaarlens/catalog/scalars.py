@@ -104,12 +104,10 @@ def f10(t):
 def f11(t):
     orders = base.delivered_orders(t).select("order_id", "customer_id").join(
         t.customers.select("customer_id", F.col("customer_zip_code_prefix").alias("customer_zip")), "customer_id")
-    pairs = (
-        delivery.order_sellers(t).join(orders, "order_id")
-        .join(t.sellers.select("seller_id", F.col("seller_zip_code_prefix").alias("seller_zip")), "seller_id")
-        .select("customer_zip", "seller_zip").distinct()
-    )
-    known = delivery.pair_distances(pairs, t.geolocation_centroid).filter(F.col("km").isNotNull())
+    sellers = t.sellers.select("seller_id", F.col("seller_zip_code_prefix").alias("seller_zip"))
+    pairs = base.order_sellers(t, orders.select("order_id", "customer_zip")).join(sellers, "seller_id").select(
+        "customer_zip", "seller_zip").distinct()
+    known = delivery.with_distance(pairs, t.geolocation_centroid).filter(F.col("km").isNotNull())
     return known.withColumn("km", F.round("km", 4))
 
 

@@ -21,7 +21,6 @@ from ..sources.durable import cut_lineage
 from .registry import query
 from .reports import SERIES, WINDOW
 
-BY_MONTH = W.orderBy("month")
 UNITS = "with u as (select product_id, count(*) as n, sum(price) as revenue from v_sold group by 1)"
 UNITS_LABELLED = """
     with u as (
@@ -95,8 +94,8 @@ def w04(t):
            round(cast(lag(revenue) over (order by month) as double), 2) as prev_brl from series""")
 def w05(t):
     return series(t).select(
-        year_month("month").alias("month"), year_month(F.lag("month").over(BY_MONTH)).alias("prev_month"),
-        money_out(F.lag("revenue").over(BY_MONTH)).alias("prev_brl"))
+        year_month("month").alias("month"), year_month(F.lag("month").over(trend.by_month())).alias("prev_month"),
+        money_out(F.lag("revenue").over(trend.by_month())).alias("prev_brl"))
 
 
 @query("w06_lag_twelve", SERIES + """
@@ -104,20 +103,20 @@ def w05(t):
     from series""")
 def w06(t):
     return series(t).select(
-        year_month("month").alias("month"), money_out(F.lag("revenue", 12).over(BY_MONTH)).alias("last_year_brl"))
+        year_month("month").alias("month"), money_out(F.lag("revenue", 12).over(trend.by_month())).alias("last_year_brl"))
 
 
 @query("w07_lead", SERIES + """
     select strftime(month, '%Y-%m') as month, round(cast(lead(revenue) over (order by month) as double), 2) as next_brl from series""")
 def w07(t):
-    return series(t).select(year_month("month").alias("month"), money_out(F.lead("revenue").over(BY_MONTH)).alias("next_brl"))
+    return series(t).select(year_month("month").alias("month"), money_out(F.lead("revenue").over(trend.by_month())).alias("next_brl"))
 
 
 @query("w08_lag_or_zero", SERIES + """
     select strftime(month, '%Y-%m') as month, round(cast(coalesce(lag(revenue) over (order by month), 0) as double), 2) as prev_or_zero_brl
     from series""")
 def w08(t):
-    previous = F.coalesce(F.lag("revenue").over(BY_MONTH), F.lit(0))
+    previous = F.coalesce(F.lag("revenue").over(trend.by_month()), F.lit(0))
     return series(t).select(year_month("month").alias("month"), money_out(previous).alias("prev_or_zero_brl"))
 
 

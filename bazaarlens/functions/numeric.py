@@ -36,7 +36,8 @@ def quotient(part, whole, digits: int) -> Column:
     The division is decimal: as a double, a value half way between two results
     can fall on either side of the tie.
     """
-    return F.round(exact(part) / F.nullif(exact(whole), F.lit(0)), digits).cast("double")
+    divisor = exact(whole)
+    return F.round(exact(part) / F.when(divisor != 0, divisor), digits).cast("double")
 
 
 def pct(part, whole, digits: int = 1) -> Column:

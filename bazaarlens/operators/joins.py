@@ -13,6 +13,15 @@ def grand_total(df: DataFrame, expr: Column) -> Column:
     return df.agg(expr).scalar()
 
 
+def small_side(df: DataFrame, rows: int = 500_000) -> DataFrame:
+    """Broadcast a stored lookup if it is counted to be small.
+
+    A larger one is returned as it is, for Spark to join by shuffling. Pass a
+    table or written frame: it is counted here and read again by the join.
+    """
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def labelled(df: DataFrame, lookup: DataFrame, key: str, translated: str, name: str) -> DataFrame:
     """Translate ``key`` through an incomplete lookup, keeping what it misses."""
     return df.join(lookup, key, "left").withColumn(name, F.coalesce(translated, key)).drop(translated)

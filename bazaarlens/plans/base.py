@@ -15,28 +15,41 @@ from ..operators.joins import labelled, per_parent
 
 
 def delivered_orders(t) -> DataFrame:
-    return t.orders.filter(F.col("order_status") == "delivered")
+    return t.delivered_orders
 
 
-def dated_deliveries(t) -> DataFrame:
-    """Delivered orders that state both dates, with their lateness by calendar day.
+def lateness(t) -> DataFrame:
+    """Delivered orders with their lateness by calendar day.
 
     The promise is a day, so arriving on that day is on time. Some orders are
-    marked delivered without a date; they have no lateness at all.
+    marked delivered without a date; their lateness is NULL.
+    """
+    arrived, promised = "order_delivered_customer_date", "order_estimated_delivery_date"
+    return delivered_orders(t).select(
+        "order_id",
+        "customer_id",
+        (day(arrived) > day(promised)).alias("is_late"),
+        days_between(arrived, "order_purchase_timestamp").alias("days_to_deliver"),
+        days_between(arrived, promised).alias("days_vs_promise"),
+    )
+
+
+def dated_deliveries(t) -> DataFrame:
+    """Delivered orders that state both dates."""
+    return lateness(t).filter(F.col("days_vs_promise").isNotNull())
+
+
+def order_sellers(t, orders: DataFrame) -> DataFrame:
+    """One row per seller of each given order, with its revenue there.
+
+    The lines meet their order first: the aggregation then reuses that
+    partitioning, and AQE splits an order that holds a large part of the lines.
     """
     return (
-        delivered_orders(t)
-        .filter(
-            F.col("order_delivered_customer_date").isNotNull()
-            & F.col("order_estimated_delivery_date").isNotNull()
-        )
-        .select(
-            "order_id",
-            "customer_id",
-            (day("order_delivered_customer_date") > day("order_estimated_delivery_date")).alias("is_late"),
-            days_between("order_delivered_customer_date", "order_purchase_timestamp").alias("days_to_deliver"),
-            days_between("order_delivered_customer_date", "order_estimated_delivery_date").alias("days_vs_promise"),
-        )
+        t.order_items.select("order_id", "seller_id", "price")
+        .join(orders, "order_id")
+        .groupBy("seller_id", *orders.columns)
+        .agg(F.sum("price").alias("revenue"))
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import band, day, haversine_km, mean, money_out, pct
-from ..operators.joins import fan_out_totals, grand_total, per_parent, role_join
+from ..operators.joins import fan_out_totals, grand_total, per_parent, role_join, small_side
 from ..operators.topk import top_k
 from ..sources.durable import cut_lineage
 from . import base
@@ -33,20 +33,16 @@ OUTCOMES = (
 )
 
 
-def order_sellers(t) -> DataFrame:
-    """Distinct (order, seller) pairs; a hot order or seller has shrunk here."""
-    return t.order_items.select("order_id", "seller_id").distinct()
-
-
 def late_rate_by_state(t, minimum_orders: int = 300) -> DataFrame:
     """R-21: an order counts once per seller state, in rates and in averages."""
     per_state = (
-        order_sellers(t).join(t.sellers.select("seller_id", "seller_state"), "seller_id")
-        .select("order_id", "seller_state").distinct()
+        base.order_sellers(t, base.dated_deliveries(t).drop("customer_id"))
+        .join(t.sellers.select("seller_id", "seller_state"), "seller_id")
+        .drop("seller_id", "revenue")
+        .distinct()
     )
     return (
-        per_state.join(base.dated_deliveries(t), "order_id")
-        .groupBy("seller_state")
+        per_state.groupBy("seller_state")
         .agg(
             F.count("*").alias("orders"),
             F.count_if("is_late").alias("late_orders"),
@@ -101,23 +97,29 @@ def order_legs(t) -> DataFrame:
     orders = base.dated_deliveries(t).join(
         t.customers.select("customer_id", F.col("customer_zip_code_prefix").alias("customer_zip")), "customer_id"
     )
-    return (
-        order_sellers(t)
-        .join(t.sellers.select("seller_id", F.col("seller_zip_code_prefix").alias("seller_zip")), "seller_id")
-        .select("order_id", "seller_zip").distinct()
-        .join(orders, "order_id")
-    )
+    sellers = t.sellers.select("seller_id", F.col("seller_zip_code_prefix").alias("seller_zip"))
+    return base.order_sellers(t, orders.drop("customer_id")).join(sellers, "seller_id").drop("revenue")
+
 
+def with_distance(df: DataFrame, centroid: DataFrame) -> DataFrame:
+    """Add ``km`` between the two zips of a row; NULL when either has no centroid.
 
-def pair_distances(pairs: DataFrame, centroid: DataFrame) -> DataFrame:
-    """Distance of every zip pair; NULL when either zip has no centroid."""
-    points = centroid.select("zip", "lat", "lng")
-    placed = role_join(pairs, points, "zip", [("customer_zip", "c"), ("seller_zip", "s")])
-    return placed.select(
-        "customer_zip", "seller_zip", haversine_km("s_lat", "s_lng", "c_lat", "c_lng").alias("km")
+    The centroid table has one row per zip. Counted to be small, it is broadcast
+    in both roles and the rows stay where they are.
+    """
+    points = small_side(cut_lineage(centroid.select("zip", "lat", "lng")))
+    placed = role_join(df, points, "zip", [("customer_zip", "c"), ("seller_zip", "s")])
+    return placed.withColumn("km", haversine_km("s_lat", "s_lng", "c_lat", "c_lng")).drop(
+        "s_lat", "s_lng", "c_lat", "c_lng"
     )
 
 
+def pair_distances(t) -> DataFrame:
+    """Distance of every (customer zip, seller zip) pair that occurs."""
+    pairs = order_legs(t).select("customer_zip", "seller_zip").distinct()
+    return with_distance(pairs, t.geolocation_centroid)
+
+
 def distance_band(km) -> Column:
     steps = [(km.isNull(), UNMAPPED)] + [(km < limit, label) for limit, label in DISTANCE_BANDS]
     return band(steps, FARTHEST)
@@ -126,18 +128,11 @@ def distance_band(km) -> Column:
 def lateness_by_distance(t) -> DataFrame:
     """R-23: one row per order, at its longest leg.
 
-    Distances are computed once per distinct (customer zip, seller zip) pair,
-    then joined back. Unmapped legs are NULL and ignored by MAX, so an order is
-    unmapped only if all of its legs are.
+    Unmapped legs are NULL and ignored by MAX, so an order is unmapped only if
+    all of its legs are.
     """
-    legs = order_legs(t)
-    pairs = legs.select("customer_zip", "seller_zip").distinct()
-    distances = pair_distances(pairs, t.geolocation_centroid)
-    per_order = legs.join(distances, ["customer_zip", "seller_zip"], "left").groupBy("order_id").agg(
-        F.max("days_to_deliver").alias("days_to_deliver"),
-        F.bool_or("is_late").alias("is_late"),
-        F.max("km").alias("km"),
-    )
+    legs = with_distance(order_legs(t), t.geolocation_centroid)
+    per_order = legs.groupBy("order_id", "days_to_deliver", "is_late").agg(F.max("km").alias("km"))
     per_band = cut_lineage(
         per_order.groupBy(distance_band(F.col("km")).alias("distance_band")).agg(
             F.count("*").alias("orders"), mean("days_to_deliver", 1).alias("avg_days_to_deliver"), F.count_if("is_late").alias("late")
@@ -189,16 +184,8 @@ def worst_sellers(t, minimum_orders: int = 100, rows: int = 15) -> DataFrame:
     One pass at (order, seller) grain: revenue counts every delivered order,
     rates and scores only those with both dates.
     """
-    late = base.dated_deliveries(t).select("order_id", "is_late")
-    orders = (
-        base.delivered_orders(t).select("order_id")
-        .join(late, "order_id", "left")
-        .join(base.reviews_per_order(t), "order_id", "left")
-    )
-    pairs = (
-        t.order_items.groupBy("order_id", "seller_id").agg(F.sum("price").alias("revenue"))
-        .join(orders, "order_id")
-    )
+    orders = base.lateness(t).select("order_id", "is_late").join(base.reviews_per_order(t), "order_id", "left")
+    pairs = base.order_sellers(t, orders)
     dated = F.col("is_late").isNotNull()
     per_seller = (
         pairs.groupBy("seller_id")
@@ -262,7 +249,7 @@ def geolocation_fan_out(t) -> DataFrame:
 
 def unmapped_orders(t) -> DataFrame:
     """R-30: delivered orders whose customer or seller zip has no centroid."""
-    known = t.geolocation_centroid.select("zip", F.lit(True).alias("known"))
+    known = small_side(cut_lineage(t.geolocation_centroid.select("zip", F.lit(True).alias("known"))))
     legs = order_legs(t).select("order_id", "customer_zip", "seller_zip")
     per_order = (
         role_join(legs, known, "zip", [("customer_zip", "c"), ("seller_zip", "s")])

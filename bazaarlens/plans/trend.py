@@ -11,7 +11,10 @@ from ..operators.series import densify, full_frame_only, month_spine, trailing
 from ..sources.durable import cut_lineage
 from . import base
 
-BY_MONTH = W.orderBy("month")
+
+def by_month():
+    """Order of a monthly series: one row per month."""
+    return W.orderBy("month")
 
 
 def change_pct(now, before) -> Column:
@@ -40,11 +43,11 @@ def lag_with_and_without_spine(t, before: str, first: str, last: str, missing_mo
     sparse = cut_lineage(base.monthly_revenue(t, gappy_orders(t, before, missing_month)))
     naive = sparse.select(
         "month",
-        F.lag("month").over(BY_MONTH).alias("naive_prev"),
-        change_pct(F.col("revenue"), F.lag("revenue").over(BY_MONTH)).alias("naive_mom_pct"),
+        F.lag("month").over(by_month()).alias("naive_prev"),
+        change_pct(F.col("revenue"), F.lag("revenue").over(by_month())).alias("naive_mom_pct"),
     )
     dense = densify(month_spine(t.spark, first, last), sparse, {"revenue": 0}).select(
-        "month", "revenue", change_pct(F.col("revenue"), F.lag("revenue").over(BY_MONTH)).alias("spine_mom_pct")
+        "month", "revenue", change_pct(F.col("revenue"), F.lag("revenue").over(by_month())).alias("spine_mom_pct")
     )
     return (
         dense.join(naive, "month", "left")
@@ -61,7 +64,7 @@ def lag_with_and_without_spine(t, before: str, first: str, last: str, missing_mo
 
 def month_over_month(t, first: str, last: str) -> DataFrame:
     """R-07: monthly revenue, orders, average order value and growth."""
-    previous = F.lag("revenue").over(BY_MONTH)
+    previous = F.lag("revenue").over(by_month())
     return clean_series(t, first, last).select(
         year_month("month").alias("month"),
         money_out("revenue").alias("revenue_brl"),
@@ -110,8 +113,8 @@ def year_over_year(t, first: str, last: str, shown_from: str) -> DataFrame:
     """R-10: the comparison is computed on the whole series and filtered afterwards."""
     compared = clean_series(t, first, last).select(
         "month", "revenue",
-        F.lag("revenue", 12).over(BY_MONTH).alias("last_year"),
-        F.lead("revenue").over(BY_MONTH).alias("next_month"),
+        F.lag("revenue", 12).over(by_month()).alias("last_year"),
+        F.lead("revenue").over(by_month()).alias("next_month"),
     )
     return compared.filter(F.col("month") >= F.lit(shown_from).cast("date")).select(
         year_month("month").alias("month"),

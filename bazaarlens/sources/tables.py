@@ -65,6 +65,10 @@ class StoredTables:
     def orders(self) -> DataFrame:
         return self._read("orders")
 
+    @cached_property
+    def delivered_orders(self) -> DataFrame:
+        return self.orders.filter(F.col("order_status") == "delivered")
+
     @cached_property
     def order_items(self) -> DataFrame:
         return self._read("order_items")
@@ -150,9 +154,18 @@ class StarTables(StoredTables):
 
     @cached_property
     def orders(self) -> DataFrame:
+        return self._orders(self.raw("orders"))
+
+    @cached_property
+    def delivered_orders(self) -> DataFrame:
+        # Filtered on the stored column, so the condition reaches the scan.
+        return self._orders(self.raw("orders").filter(F.col("o_orderstatus") == "F"))
+
+    @staticmethod
+    def _orders(raw: DataFrame) -> DataFrame:
         key, placed = F.col("o_orderkey"), F.col("o_orderdate")
         arrived = F.timestamp_add("HOUR", F.lit(9), F.timestamp_add("DAY", (key * 7 % 45).cast("int"), placed))
-        return self.raw("orders").select(
+        return raw.select(
             key.alias("order_id"),
             key.alias("customer_id"),
             F.when(F.col("o_orderstatus") == "F", "delivered").otherwise("other").alias("order_status"),
