@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from ..functions import mean, money_out, pct, quarter_of, quotient
 from ..operators.ordered import ntile
 from ..plans import base, customers
-from ..sources.durable import cut_lineage
 from .registry import query
 from .reports import DATED
 
@@ -186,8 +185,7 @@ def a20(t):
           from (select person, sum(revenue) as v from v_order_value group by 1))
     group by 1""")
 def a21(t):
-    people = cut_lineage(customers.lifetime_values(t))
-    return ntile(people, [F.desc("lifetime_value"), "customer_unique_id"], 4, "bucket").groupBy("bucket").agg(
+    return ntile(customers.lifetime_values(t), [F.desc("lifetime_value"), "customer_unique_id"], 4, "bucket").groupBy("bucket").agg(
         F.count("*").alias("people"), money_out(F.min("lifetime_value")).alias("smallest_brl"),
         money_out(F.max("lifetime_value")).alias("largest_brl"),
     )

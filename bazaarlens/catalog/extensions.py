@@ -8,6 +8,7 @@ from ..functions import money_out, pct
 from ..operators.hierarchy import closure, prefix_rollup
 from ..operators.joins import grand_total
 from ..operators.ordered import value_ranks
+from ..operators.topk import share_of_group
 from ..plans import customers, delivery
 from ..sources import store
 from ..sources.durable import cut_lineage, scratch_path
@@ -181,8 +182,7 @@ def x02(t):
 def x03(t):
     orders = cut_lineage(customers.order_values(t).select(
         F.col("customer_unique_id").alias("person"), "order_id", "revenue"))
-    lifetime = orders.groupBy("person").agg(F.sum("revenue").alias("lifetime"))
-    return orders.join(lifetime, "person").select(
+    return share_of_group(orders, "person", "revenue", "lifetime").select(
         "person", "order_id", money_out("revenue").alias("order_brl"), money_out("lifetime").alias("lifetime_brl"))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import money_out, pct, quotient, year_month
 from ..operators.hierarchy import with_ancestors
 from ..operators.joins import grand_total, labelled, orphans, per_parent, role_join
+from ..operators.skew import join_per_key
 from ..operators.series import densify, month_spine
 from ..operators.topk import top_k
 from ..plans import base, trend
@@ -141,12 +142,11 @@ def j11(t):
     select order_id, customer_unique_id as person from v_customers c join v_orders o using (customer_id)
     where customer_unique_id in (select customer_unique_id from v_customers group by 1 having count(*) >= 15)""")
 def j12(t):
-    frequent = t.customers.groupBy("customer_unique_id").agg(F.count("*").alias("n")).filter(F.col("n") >= 15)
-    return (
-        t.customers.select("customer_id", "customer_unique_id").join(frequent, "customer_unique_id", "left_semi")
-        .join(t.orders.select("order_id", "customer_id"), "customer_id")
-        .select("order_id", F.col("customer_unique_id").alias("person"))
-    )
+    people = cut_lineage(t.customers.select("customer_id", F.col("customer_unique_id").alias("person")))
+    frequent = people.groupBy("person").agg(F.count("*").alias("n")).filter(F.col("n") >= 15)
+    return join_per_key(people, frequent, ["person"], "n").join(
+        t.orders.select("order_id", "customer_id"), "customer_id"
+    ).select("order_id", "person")
 
 
 @query("j13_compare_two_series", EARLY_MONTHS + """,

@@ -61,7 +61,7 @@ def person_values(t) -> DataFrame:
 @query("w01_row_number", UNITS + """
     select product_id, n as units_sold, row_number() over (order by n desc, product_id) as place from u""")
 def w01(t):
-    return ordered_scan(units(t), [F.desc("units_sold"), "product_id"], number="place").select(
+    return ordered_scan(base.product_revenue(t), [F.desc("units_sold"), "product_id"], number="place").select(
         "product_id", "units_sold", "place")
 
 
@@ -86,7 +86,7 @@ def w03(t):
 @query("w04_ntile", UNITS + """
     select product_id, ntile(7) over (order by revenue desc, product_id) as bucket from u""")
 def w04(t):
-    return ntile(units(t), [F.desc("revenue"), "product_id"], 7, "bucket").select("product_id", "bucket")
+    return ntile(base.product_revenue(t), [F.desc("revenue"), "product_id"], 7, "bucket").select("product_id", "bucket")
 
 
 @query("w05_lag", SERIES + """
@@ -294,7 +294,7 @@ def w24(t):
            round(100.0 * cast(sum(revenue) over (order by revenue desc, product_id) as double)
                  / cast(sum(revenue) over () as double), 3) as cumulative_pct from u""")
 def w25(t):
-    products = units(t)
-    scanned = ordered_scan(products, [F.desc("revenue"), "product_id"], number="place", sums={"upto": "revenue"})
-    return scanned.select(
-        "product_id", "place", pct("upto", grand_total(products, F.sum("revenue")), 3).alias("cumulative_pct"))
+    scanned = ordered_scan(
+        base.product_revenue(t), [F.desc("revenue"), "product_id"], number="place", sums={"upto": "revenue"},
+        totals={"total": "revenue"})
+    return scanned.select("product_id", "place", pct("upto", "total", 3).alias("cumulative_pct"))

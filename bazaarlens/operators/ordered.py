@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions import pct
 from ..sources.durable import cut_lineage
-from .joins import grand_total
+from .skew import join_per_key, null_safe_join
 
 
 def _order_column(spec) -> Column:
@@ -31,15 +31,17 @@ def ordered_scan(
     number: str | None = "row_number",
     sums: Mapping[str, str] | None = None,
     previous: Mapping[str, str] | None = None,
+    totals: Mapping[str, str] | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
     """Row number, running sums and previous-row values within each group.
 
     ``order`` must be unique within a group. ``sums`` maps a new column to the
     column it accumulates (ROWS UNBOUNDED PRECEDING), ``previous`` a new column
-    to the column it takes from the preceding row (LAG).
+    to the column it takes from the preceding row (LAG). ``totals`` maps a new
+    column to the column it sums over all groups, ``*`` for the number of rows.
     """
-    sums, previous, by = dict(sums or {}), dict(previous or {}), list(by)
+    sums, previous, totals, by = dict(sums or {}), dict(previous or {}), dict(totals or {}), list(by)
     spark = df.sparkSession
     count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [*(F.col(c) for c in by), *(_order_column(o) for o in order)]
@@ -59,6 +61,7 @@ def ordered_scan(
         F.count("*").alias("_rows"),
         *[F.sum(src).alias(f"_sum_{dst}") for dst, src in sums.items()],
         *[F.max_by(src, "_pos").alias(f"_last_{dst}") for dst, src in previous.items()],
+        *[F.sum(src).alias(f"_total_{dst}") for dst, src in totals.items() if src != "*"],
     )
     # At most one row per partition and group, so these windows stay small.
     earlier = W.partitionBy(*by).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
@@ -98,6 +101,9 @@ def ordered_scan(
     for dst in previous:
         first = (F.col("_local") == 1) & F.col("_rows_before").isNotNull()
         out.append(F.when(first, F.col(f"_carry_{dst}")).otherwise(F.col(f"_prev_{dst}")).alias(dst))
+    for dst, src in totals.items():
+        total = pieces.agg(F.sum("_rows" if src == "*" else f"_total_{dst}"))
+        out.append(total.scalar().alias(dst))
     return joined.select(*out)
 
 
@@ -110,9 +116,9 @@ def running_with_peers(
     before they are scanned. Pass a frame that is cheap to read twice.
     """
     by = list(by)
-    steps = df.groupBy(*by, order).agg(F.sum(value).alias("_step"))
+    steps = df.groupBy(*by, order).agg(F.sum(value).alias("_step"), F.count("*").alias("_rows_here"))
     scanned = ordered_scan(steps, [order], by, number=None, sums={name: "_step"})
-    return null_safe_join(df, scanned.drop("_step"), [*by, order])
+    return join_per_key(df, scanned.drop("_step"), [*by, order], "_rows_here")
 
 
 def value_ranks(
@@ -133,44 +139,26 @@ def value_ranks(
     by = list(by)
     counts = df.groupBy(*by, value).agg(F.count("*").alias("_ties"))
     order = [F.desc_nulls_last(value) if descending else F.asc_nulls_last(value)]
-    scanned = ordered_scan(counts, order, by, number="_dense", sums={"_upto": "_ties"})
-    ranked = [F.col(c).alias(f"_by_{c}") for c in by] + [F.col(value).alias("_value")]
+    scanned = ordered_scan(
+        counts, order, by, number="_dense", sums={"_upto": "_ties"},
+        totals={"_all": "_ties"} if cume_dist and not by else None,
+    )
+    ranks = [*[F.col(c) for c in by], F.col(value), F.col("_ties")]
     if rank:
-        ranked.append((F.col("_upto") - F.col("_ties") + 1).cast("long").alias(rank))
+        ranks.append((F.col("_upto") - F.col("_ties") + 1).cast("long").alias(rank))
     if dense_rank:
-        ranked.append(F.col("_dense").alias(dense_rank))
+        ranks.append(F.col("_dense").alias(dense_rank))
     if cume_dist:
         if by:
-            totals = counts.groupBy(*by).agg(F.sum("_ties").alias("_total"))
-            scanned = null_safe_join(scanned, totals, by)
-        else:
-            scanned = scanned.withColumn("_total", grand_total(counts, F.sum("_ties")))
-        ranked.append((F.col("_upto").cast("double") / F.col("_total")).alias(cume_dist))
-    ranks = scanned.select(*ranked)
-    same = F.col(value).eqNullSafe(F.col("_value"))
-    for c in by:
-        same = same & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
-    drop = ["_value", *[f"_by_{c}" for c in by]]
-    return df.join(ranks, same, "left").drop(*drop)
-
-
-def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Equi-join that also matches NULL keys; the right keys are dropped."""
-    renamed = right.select(
-        *[F.col(k).alias(f"_right_{k}") for k in keys],
-        *[F.col(c) for c in right.columns if c not in keys],
-    )
-    same = None
-    for k in keys:
-        term = F.col(k).eqNullSafe(F.col(f"_right_{k}"))
-        same = term if same is None else same & term
-    return left.join(renamed, same, how).drop(*[f"_right_{k}" for k in keys])
+            members = counts.groupBy(*by).agg(F.sum("_ties").alias("_all"), F.count("*").alias("_values"))
+            scanned = join_per_key(cut_lineage(scanned), members, by, "_values")
+        ranks.append((F.col("_upto").cast("double") / F.col("_all")).alias(cume_dist))
+    return join_per_key(df, scanned.select(*ranks), [*by, value], "_ties")
 
 
 def ntile(df: DataFrame, order: Sequence, buckets: int, name: str = "ntile") -> DataFrame:
     """NTILE over all rows: buckets differ by at most one row, larger ones first."""
-    numbered = ordered_scan(df, order, number="_n")
-    numbered = numbered.withColumn("_total", grand_total(df, F.count("*")))
+    numbered = ordered_scan(df, order, number="_n", totals={"_total": "*"})
     base = F.floor(F.col("_total") / F.lit(buckets)).cast("long")
     extra = (F.col("_total") % F.lit(buckets)).cast("long")
     ahead = F.col("_n") - 1
@@ -196,12 +184,9 @@ def pareto(
     first row compares against zero.
     """
     scanned = ordered_scan(
-        df, [F.desc(value), F.col(tiebreak)], number="position", sums={"_running": value}
+        df, [F.desc(value), F.col(tiebreak)], number="position", sums={"_running": value},
+        totals={"_total": value, "members": "*"},
     )
-    scanned = scanned.withColumn("_total", grand_total(df, F.sum(value))).withColumn(
-        "members", grand_total(df, F.count("*"))
-    )
-
     curve = scanned.withColumn("cumulative_pct", pct("_running", "_total", digits)).withColumn(
         "_prev_pct", pct(F.col("_running") - F.col(value), "_total", digits)
     )

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .skew import join_per_key
+
 
 def top_k(df: DataFrame, k: int, order: Sequence) -> DataFrame:
     """The first ``k`` rows: each task keeps k, the driver stage merges those."""
@@ -55,15 +57,15 @@ def top_n_per_group(
     w = W.partitionBy(by).orderBy(F.desc(value))
     best = values.withColumn("_dense", F.row_number().over(w)).filter(F.col("_dense") <= n)
     if ties == "dense_rank":
-        cut = best.select(by, value, F.col("_dense").cast("long").alias(name))
+        cut = best.select(by, value, "_ties", F.col("_dense").cast("long").alias(name))
     else:
         upto = F.sum("_ties").over(w.rowsBetween(W.unboundedPreceding, W.currentRow))
         cut = (
             best.withColumn(name, (upto - F.col("_ties") + 1).cast("long"))
             .filter(F.col(name) <= n)
-            .select(by, value, name)
+            .select(by, value, "_ties", name)
         )
-    return df.join(cut, [by, value])
+    return join_per_key(df, cut, [by, value], "_ties")
 
 
 def top_row_numbers(df: DataFrame, by: str, order: Sequence, n: int, name: str = "row_number") -> DataFrame:
@@ -93,6 +95,9 @@ def best_per_group(df: DataFrame, by: str, value: str, label: str) -> DataFrame:
 
 
 def share_of_group(df: DataFrame, by: str, value: str, name: str = "group_total") -> DataFrame:
-    """Attach the total of each row's group without gathering the group."""
-    totals = df.groupBy(by).agg(F.sum(value).alias(name))
-    return df.join(totals, by)
+    """Attach the total of each row's group without gathering the group.
+
+    Pass a frame that is cheap to read twice.
+    """
+    totals = df.groupBy(by).agg(F.sum(value).alias(name), F.count("*").alias("_members"))
+    return join_per_key(df, totals, [by], "_members")

@@ -184,8 +184,9 @@ def worst_sellers(t, minimum_orders: int = 100, rows: int = 15) -> DataFrame:
     One pass at (order, seller) grain: revenue counts every delivered order,
     rates and scores only those with both dates.
     """
-    orders = base.lateness(t).select("order_id", "is_late").join(base.reviews_per_order(t), "order_id", "left")
-    pairs = base.order_sellers(t, orders)
+    pairs = base.order_sellers(t, base.lateness(t).select("order_id", "is_late")).join(
+        base.reviews_per_order(t), "order_id", "left"
+    )
     dated = F.col("is_late").isNotNull()
     per_seller = (
         pairs.groupBy("seller_id")

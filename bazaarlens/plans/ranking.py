@@ -105,8 +105,7 @@ def leading_category_per_state(t, states: int = 12) -> DataFrame:
 
 def seller_deciles(t, buckets: int = 10) -> DataFrame:
     """R-05: revenue concentration over equal-sized buckets of sellers."""
-    sellers = cut_lineage(base.seller_revenue(t))
-    bucketed = ntile(sellers, [F.desc("revenue"), "seller_id"], buckets, "revenue_decile")
+    bucketed = ntile(base.seller_revenue(t), [F.desc("revenue"), "seller_id"], buckets, "revenue_decile")
     per_bucket = cut_lineage(
         bucketed.groupBy("revenue_decile").agg(
             F.count("*").alias("sellers"), F.sum("revenue").alias("revenue"), mean("revenue", 2).alias("avg_seller_revenue_brl")

@@ -127,9 +127,8 @@ def cumulative_by_state(t, first: str, end: str, states: Sequence[str]) -> DataF
 
 def pareto_sellers(t, thresholds: Sequence[float] = (25, 50, 80, 90, 99)) -> DataFrame:
     """R-15: how many sellers it takes to reach each share of revenue."""
-    sellers = cut_lineage(base.seller_revenue(t))
     return (
-        pareto(sellers, "revenue", "seller_id", thresholds)
+        pareto(base.seller_revenue(t), "revenue", "seller_id", thresholds)
         .select(
             F.col("position").alias("sellers_needed"),
             pct("position", "members").alias("pct_of_all_sellers"),

@@ -5,6 +5,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from bazaarlens.operators.ordered import ntile, ordered_scan, pareto, running_with_peers, value_ranks
+from bazaarlens.operators.skew import join_per_key
 from bazaarlens.operators.topk import best_per_group, ranked_top_k, top_n_per_group, top_row_numbers
 from bazaarlens.sources.durable import cut_lineage
 
@@ -28,7 +29,7 @@ def same(left, right):
 @pytest.mark.parametrize("by", [[], ["g"]])
 @pytest.mark.parametrize("partitions", [1, 7, 40])
 def test_scan_equals_window(skewed, by, partitions):
-    got = ordered_scan(skewed, [F.desc("d"), "id"], by, "n", {"run": "v"}, {"prev": "v"}, partitions)
+    got = ordered_scan(skewed, [F.desc("d"), "id"], by, "n", {"run": "v"}, {"prev": "v"}, partitions=partitions)
     w = W.partitionBy(*by).orderBy(F.desc("d"), "id")
     want = skewed.select(
         "*",
@@ -45,6 +46,20 @@ def test_hot_group_spreads_over_partitions(spark, skewed):
     assert hot < 4500 / 2
 
 
+def test_totals_span_all_groups(skewed):
+    got = ordered_scan(skewed, ["id"], ["g"], number=None, totals={"n": "*", "s": "v"}).select("n", "s").distinct().collect()
+    want = skewed.agg(F.count("*"), F.sum("v")).first()
+    assert [tuple(r) for r in got] == [tuple(want)]
+
+
+@pytest.mark.parametrize("small", [0, 1000])
+def test_join_per_key_with_a_hot_and_a_null_key(skewed, small):
+    per_key = skewed.filter("g is null or g <> 3").groupBy("g").agg(F.count("*").alias("n"), F.sum("d").alias("s"))
+    got = join_per_key(skewed, per_key, ["g"], "n", small=small)
+    want = skewed.filter("g is null or g <> 3").withColumn("s", F.sum("d").over(W.partitionBy("g")))
+    same(got, want)
+
+
 def test_scan_of_nothing(spark):
     empty = spark.createDataFrame([], "g int, d int, v decimal(10,2)")
     assert ordered_scan(empty, ["d"], ["g"], "n", {"run": "v"}).collect() == []
