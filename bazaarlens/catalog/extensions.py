@@ -62,12 +62,11 @@ def h02(t):
 @query("h03_share_of_leaf_total", """
     select left(zip, 2) as node, round(100.0 * cast(sum(revenue) as double)
            / (select cast(sum(revenue) as double) from v_order_value), 2) as pct_of_national
-    from v_order_value where zip like '0%' group by 1""")
+    from v_order_value group by 1""")
 def h03(t):
     leaves = cut_lineage(customers.zip_leaves(t))
     nodes = prefix_rollup(leaves, "zip", 2, revenue=F.sum("revenue"))
-    shown = nodes.filter((F.col("depth") == 2) & F.col("node").startswith("0"))
-    return shown.select("node", pct("revenue", grand_total(leaves, F.sum("revenue")), 2).alias("pct_of_national"))
+    return nodes.filter(F.col("depth") == 2).select("node", pct("revenue", grand_total(leaves, F.sum("revenue")), 2).alias("pct_of_national"))
 
 
 @query("h04_branch_filter", """

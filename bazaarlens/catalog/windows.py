@@ -215,15 +215,19 @@ def w18(t):
 
 
 @query("w19_range_interval_frame", """
-    with busy as (select month, revenue from v_monthly where month(month) % 4 <> 0)
-    select strftime(month, '%Y-%m') as month,
-           round(cast(sum(revenue) over (order by month range between interval 2 month preceding and current row) as double), 2) as sum_brl
-    from busy""")
+    with pm as (
+        select person, cast(date_trunc('month', bought_at) as date) as month, sum(revenue) as revenue
+        from v_order_value group by all)
+    select person, strftime(month, '%Y-%m') as month,
+           round(cast(sum(revenue) over f as double), 2) as sum_brl, count(*) over f as months_in_frame
+    from pm window f as (partition by person order by month range between interval 2 month preceding and current row)""")
 def w19(t):
-    # Three months of every four: a series with gaps.
-    busy = base.monthly_revenue(t).filter(F.month("month") % 4 != 0)
-    months = W.orderBy(months_index("month")).rangeBetween(-2, W.currentRow)
-    return busy.select(year_month("month").alias("month"), money_out(F.sum("revenue").over(months)).alias("sum_brl"))
+    # The months of a person have gaps; one row per month bounds the partition.
+    months = person_values(t).groupBy("person", month_of("bought_at").alias("month")).agg(F.sum("revenue").alias("revenue"))
+    three = W.partitionBy("person").orderBy(months_index("month")).rangeBetween(-2, W.currentRow)
+    return months.select(
+        "person", year_month("month").alias("month"), money_out(F.sum("revenue").over(three)).alias("sum_brl"),
+        F.count("*").over(three).alias("months_in_frame"))
 
 
 @query("w20_rows_in_frame", SERIES + """

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import band, day, haversine_km, mean, money_out, pct
-from ..operators.joins import fan_out_totals, grand_total, per_parent, role_join, small_side
+from ..operators.joins import fan_out_totals, per_parent, role_join, small_side
 from ..operators.topk import top_k
 from ..sources.durable import cut_lineage
 from . import base
@@ -133,15 +134,15 @@ def lateness_by_distance(t) -> DataFrame:
     """
     legs = with_distance(order_legs(t), t.geolocation_centroid)
     per_order = legs.groupBy("order_id", "days_to_deliver", "is_late").agg(F.max("km").alias("km"))
-    per_band = cut_lineage(
-        per_order.groupBy(distance_band(F.col("km")).alias("distance_band")).agg(
-            F.count("*").alias("orders"), mean("days_to_deliver", 1).alias("avg_days_to_deliver"), F.count_if("is_late").alias("late")
-        )
+    per_band = per_order.groupBy(distance_band(F.col("km")).alias("distance_band")).agg(
+        F.count("*").alias("orders"), mean("days_to_deliver", 1).alias("avg_days_to_deliver"),
+        F.count_if("is_late").alias("late"),
     )
     return per_band.select(
         "distance_band",
         "orders",
-        pct("orders", grand_total(per_band, F.sum("orders")), 2).alias("pct_of_orders"),
+        # One row per band under the window.
+        pct("orders", F.sum("orders").over(W.partitionBy()), 2).alias("pct_of_orders"),
         "avg_days_to_deliver",
         pct("late", "orders", 2).alias("pct_late"),
     ).orderBy("distance_band")

@@ -7,7 +7,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import mean, money_out, pct
-from ..operators.joins import grand_total
 from ..operators.ordered import ntile
 from ..operators.topk import best_per_group, ranked_top_k, share_of_group, top_k, top_n_per_group
 from ..sources.durable import cut_lineage
@@ -106,22 +105,23 @@ def leading_category_per_state(t, states: int = 12) -> DataFrame:
 def seller_deciles(t, buckets: int = 10) -> DataFrame:
     """R-05: revenue concentration over equal-sized buckets of sellers."""
     bucketed = ntile(base.seller_revenue(t), [F.desc("revenue"), "seller_id"], buckets, "revenue_decile")
-    per_bucket = cut_lineage(
-        bucketed.groupBy("revenue_decile").agg(
-            F.count("*").alias("sellers"), F.sum("revenue").alias("revenue"), mean("revenue", 2).alias("avg_seller_revenue_brl")
+    # One row per bucket under these windows.
+    running = F.sum("revenue").over(W.orderBy("revenue_decile"))
+    total = F.sum("revenue").over(W.partitionBy())
+    return (
+        bucketed.groupBy("revenue_decile")
+        .agg(F.count("*").alias("sellers"), F.sum("revenue").alias("revenue"),
+             mean("revenue", 2).alias("avg_seller_revenue_brl"))
+        .select(
+            "revenue_decile",
+            "sellers",
+            money_out("revenue").alias("decile_revenue_brl"),
+            pct("revenue", total).alias("pct_of_total_revenue"),
+            pct(running, total).alias("cumulative_pct"),
+            "avg_seller_revenue_brl",
         )
+        .orderBy("revenue_decile")
     )
-    # One row per bucket from here on.
-    running = F.sum("revenue").over(W.orderBy("revenue_decile"))
-    total = grand_total(per_bucket, F.sum("revenue"))
-    return per_bucket.select(
-        "revenue_decile",
-        "sellers",
-        money_out("revenue").alias("decile_revenue_brl"),
-        pct("revenue", total).alias("pct_of_total_revenue"),
-        pct(running, total).alias("cumulative_pct"),
-        "avg_seller_revenue_brl",
-    ).orderBy("revenue_decile")
 
 
 def state_concentration(t) -> DataFrame:

@@ -18,9 +18,9 @@ RUNTIME_SETTINGS = {
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else created."""
-    explicit = spark.sparkContext.getConf()
+    explicit = spark.conf.getAll
     for key, value in RUNTIME_SETTINGS.items():
-        if explicit.get(key) is None:
+        if key not in explicit:
             spark.conf.set(key, value)
     return spark
 

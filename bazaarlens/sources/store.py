@@ -126,13 +126,12 @@ def analyzed_table(df: DataFrame, name: str, path: str) -> DataFrame:
 def write_by_month(df: DataFrame, timestamp: str, path: str) -> None:
     """Partition facts by calendar month, so date filters skip whole folders.
 
-    The hash of the row spreads a month over several tasks; each of them writes
-    a file of its own, so a hot month is not written by one task.
+    The rebalance hint brings a month together and splits it again into files
+    of the advisory size, however large the month is.
     """
-    spread = 16
     (
         df.withColumn("order_month", F.date_format(timestamp, "yyyy-MM"))
-        .repartition("order_month", F.pmod(F.xxhash64(*df.columns), F.lit(spread)))
+        .hint("rebalance", F.col("order_month"))
         .write.mode("overwrite").partitionBy("order_month").parquet(path)
     )
 
