@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import money_out, pct, quotient, year_month
 from ..operators.hierarchy import with_ancestors
-from ..operators.joins import grand_total, labelled, orphans, per_parent, role_join
+from ..operators.joins import grand_total, labelled, orphans, per_parent, repeated_sum, role_join
 from ..operators.skew import join_per_key
 from ..operators.series import densify, month_spine
 from ..operators.topk import top_k
@@ -188,7 +188,7 @@ def j15(t):
     return items.join(payments, "order_id").agg(
         F.sum(F.col("rows") * F.col("payments")).alias("joined_rows"),
         F.sum("distinct_lines").alias("true_lines"),
-        money_out(F.sum(F.col("value") * F.col("payments").cast("decimal(10,0)"))).alias("inflated_brl"),
+        money_out(repeated_sum("value", "payments")).alias("inflated_brl"),
     )
 
 

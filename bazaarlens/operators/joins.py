@@ -32,23 +32,14 @@ def per_parent(child: DataFrame, key: str, **measures: Column) -> DataFrame:
     return child.groupBy(key).agg(*[expr.alias(name) for name, expr in measures.items()])
 
 
-def fan_out_totals(
-    left: DataFrame, right: DataFrame, key: str, left_value: str, right_value: str
-) -> DataFrame:
-    """Totals of the row-by-row join of two children, without building its rows.
-
-    A key with m left and n right rows contributes m*n pairs, every left value n
-    times and every right value m times. ``left`` and ``right`` hold one row per
-    key with the columns ``rows`` and the summed value.
+def repeated_sum(value, copies) -> Column:
+    """Sum of ``value`` had every row been repeated ``copies`` times.
+
+    A row-by-row join of two children repeats every row of one child once per
+    row of the other. With both children aggregated per parent, the inflated
+    totals follow from the counts and the repeated rows are never built.
     """
-    pairs = left.select(key, F.col("rows").alias("_m"), F.col(left_value)).join(
-        right.select(key, F.col("rows").alias("_n"), F.col(right_value)), key
-    )
-    return pairs.agg(
-        F.sum(F.col("_m") * F.col("_n")).alias("row_count"),
-        F.sum(F.col(left_value) * F.col("_n").cast("decimal(10,0)")).alias(left_value),
-        F.sum(F.col(right_value) * F.col("_m").cast("decimal(10,0)")).alias(right_value),
-    )
+    return F.sum(F.col(value) * F.col(copies).cast("decimal(10,0)"))
 
 
 def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import band, day, haversine_km, mean, money_out, pct
-from ..operators.joins import fan_out_totals, per_parent, role_join, small_side
+from ..operators.joins import per_parent, repeated_sum, role_join, small_side
 from ..operators.topk import top_k
 from ..sources.durable import cut_lineage
 from . import base
@@ -63,34 +63,31 @@ def late_rate_by_state(t, minimum_orders: int = 300) -> DataFrame:
 
 def fan_out_trap(t) -> DataFrame:
     """R-22: totals of joining two children at once, and of joining them one to one."""
-    orders = base.delivered_orders(t).select("order_id")
-    items = per_parent(t.order_items, "order_id", rows=F.count("*"), item_revenue=F.sum("price"))
-    payments = per_parent(t.order_payments, "order_id", rows=F.count("*"), payment_total=F.sum("payment_value"))
-    sold = orders.join(items, "order_id")
-    # Inner join below, left join here: orders without payment keep their items.
-    matched = cut_lineage(
-        sold.join(payments.withColumnRenamed("rows", "payment_rows"), "order_id", "left")
+    items = per_parent(t.order_items, "order_id", lines=F.count("*"), items=F.sum("price"))
+    payments = per_parent(t.order_payments, "order_id", payments=F.count("*"), paid=F.sum("payment_value"))
+    orders = (
+        base.delivered_orders(t).select("order_id").join(items, "order_id")
+        # Orders without payment keep their items; an inner join has no row for them.
+        .join(payments, "order_id", "left")
     )
-    paid = matched.filter(F.col("payment_rows").isNotNull())
-    naive = fan_out_totals(
-        paid.select("order_id", "rows", "item_revenue"),
-        paid.select("order_id", F.col("payment_rows").alias("rows"), "payment_total"),
-        "order_id", "item_revenue", "payment_total",
-    )
-    correct = matched.agg(
-        F.count("*").alias("row_count"),
-        F.sum("item_revenue").alias("item_revenue"),
-        F.sum("payment_total").alias("payment_total"),
+    totals = orders.agg(
+        F.sum(F.col("lines") * F.col("payments")).alias("naive_rows"),
+        repeated_sum("items", "payments").alias("naive_items"),
+        repeated_sum("paid", "lines").alias("naive_paid"),
+        F.count("*").alias("rows"),
+        F.sum("items").alias("items"),
+        F.sum("paid").alias("paid"),
     )
 
-    def labelled(df: DataFrame, label: str) -> DataFrame:
-        return df.select(
-            F.lit(label).alias("method"), "row_count",
-            money_out("item_revenue").alias("item_revenue_brl"),
-            money_out("payment_total").alias("payment_total_brl"),
+    def labelled(label: str, rows: str, items: str, paid: str) -> Column:
+        return F.struct(
+            F.lit(label).alias("method"), F.col(rows).alias("row_count"),
+            money_out(items).alias("item_revenue_brl"), money_out(paid).alias("payment_total_brl"),
         )
 
-    return labelled(naive, NAIVE).unionByName(labelled(correct, CORRECT))
+    return totals.select(F.inline(F.array(
+        labelled(NAIVE, "naive_rows", "naive_items", "naive_paid"), labelled(CORRECT, "rows", "items", "paid")
+    )))
 
 
 def order_legs(t) -> DataFrame:
@@ -239,7 +236,7 @@ def geolocation_fan_out(t) -> DataFrame:
         F.sum(F.when(F.col("source_rows").isNotNull(), F.col("rows"))).alias("rows_with_centroid"),
         F.sum(F.col("rows") * F.col("source_rows")).alias("rows_with_raw_points"),
         F.sum("revenue").alias("revenue"),
-        F.sum(F.col("revenue") * F.col("source_rows").cast("decimal(10,0)")).alias("raw_revenue"),
+        repeated_sum("revenue", "source_rows").alias("raw_revenue"),
     )
     return totals.select(
         "item_rows", "rows_with_centroid", "rows_with_raw_points",

@@ -9,9 +9,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import day, days_between, money_out, month_of, pct, year_month
-from ..operators.ordered import ordered_scan, pareto, running_with_peers
+from ..operators.ordered import ordered_scan, pareto
+from ..operators.skew import join_per_key
 from ..operators.topk import top_k
-from ..sources.durable import cut_lineage
 from . import base
 from .ranking import short_id
 
@@ -38,17 +38,19 @@ def frames_on_ties(t, person: DataFrame | None = None, unit: str = "DAY") -> Dat
     """
     person = most_frequent_person(t) if person is None else person
     chosen = person_orders(t).join(F.broadcast(person.limit(1)), "person", "left_semi")
-    orders = cut_lineage(
-        base.order_revenue_of(t, chosen.select("order_id", "order_purchase_timestamp")).select(
-            "order_id",
-            F.to_date(F.date_trunc(unit, "order_purchase_timestamp")).alias("order_date"),
-            "revenue",
-        )
+    orders = base.order_revenue_of(t, chosen.select("order_id", "order_purchase_timestamp")).select(
+        "order_id",
+        F.to_date(F.date_trunc(unit, "order_purchase_timestamp")).alias("order_date"),
+        "revenue",
+    )
+    scanned = ordered_scan(orders, ["order_date", "order_id"], number="place", sums={"running": "revenue"})
+    # Rows of a date share the total reached by the last of them.
+    per_date = scanned.groupBy("order_date").agg(
+        F.max_by("running", "place").alias("with_peers"), F.count("*").alias("orders_that_day")
     )
-    peers = running_with_peers(orders, "order_date", "revenue", "with_peers")
-    scanned = ordered_scan(peers, ["order_date", "order_id"], number=None, sums={"running": "revenue"})
     return (
-        scanned.orderBy("order_date", "order_id")
+        join_per_key(scanned, per_date, ["order_date"], "orders_that_day")
+        .orderBy("order_date", "order_id")
         .select(
             short_id("order_id").alias("order_ref"),
             "order_date",
@@ -67,12 +69,12 @@ def repeat_customer_spend(t, people: int = 3, minimum_orders: int = 5) -> DataFr
     counts = placed.groupBy("person").agg(F.count("*").alias("orders")).filter(F.col("orders") >= minimum_orders)
     # At most ``people`` rows, so the broadcast is bounded.
     chosen = top_k(counts, people, [F.desc("orders"), "person"]).select("person")
-    orders = cut_lineage(base.order_revenue_of(t, person_orders(t).join(F.broadcast(chosen), "person")))
-    lifetime = orders.groupBy("person").agg(F.sum("revenue").alias("lifetime"))
+    orders = base.order_revenue_of(t, person_orders(t).join(F.broadcast(chosen), "person"))
     scanned = ordered_scan(
         orders, ["order_purchase_timestamp", "order_id"], by=["person"], number="order_seq",
         sums={"cumulative": "revenue"}, previous={"previous_at": "order_purchase_timestamp"},
     )
+    lifetime = scanned.groupBy("person").agg(F.sum("revenue").alias("lifetime"))
     return (
         scanned.join(F.broadcast(lifetime), "person")
         .orderBy("person", "order_seq")

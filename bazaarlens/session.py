@@ -6,12 +6,15 @@ from pyspark.sql import SparkSession
 
 # Runtime SQL settings, applied only where the caller left the default in place.
 # Skewed join keys are split by AQE; the force flag lets it do so even when a
-# following aggregation had hoped to reuse the join's partitioning.
+# following aggregation had hoped to reuse the join's partitioning. Table sizes
+# are estimated from compressed files; the factor keeps a side that is small
+# only on disk from being broadcast.
 RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.sources.fileCompressionFactor": "5.0",
     "spark.sql.session.timeZone": "UTC",
 }
 
