@@ -35,6 +35,8 @@ def local_session(cores: int | str = "*", app: str = "bazaarlens", memory: str =
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", memory)
+        # Do not record the Python call site of every column expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
     )

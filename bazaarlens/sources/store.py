@@ -137,11 +137,15 @@ def write_by_month(df: DataFrame, timestamp: str, path: str) -> None:
 
 
 def write_sorted(df: DataFrame, key: str, path: str, partitions: int | None = None) -> None:
-    """Range-sort files by a lookup key, so row groups outside it are skipped."""
-    spark = df.sparkSession
-    count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """Range-sort files by a lookup key, so row groups outside it are skipped.
+
+    The hash of the row is part of the range, so the rows of a hot key spread
+    over several neighbouring files.
+    """
+    count = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
-        df.repartitionByRange(count, key).sortWithinPartitions(key)
+        df.repartitionByRange(count, F.col(key), F.xxhash64(*df.columns))
+        .sortWithinPartitions(key)
         .write.mode("overwrite")
         .option(f"parquet.bloom.filter.enabled#{key}", "true")
         .parquet(path)

@@ -97,3 +97,34 @@ def test_required_and_headers():
     assert "product_category_name" not in schemas.PRODUCTS.required
     assert schemas.PRODUCTS.header_of("product_name_length") == "product_name_lenght"
     assert set(schemas.PUBLISHED_ROWS) == set(schemas.TABLES)
+
+
+def test_sorted_files_spread_a_hot_key(spark):
+    path = scratch_path(spark, "sorted")
+    rows = spark.range(20_000).selectExpr("if(id % 2 = 0, 5, id % 50) AS k", "id AS v")
+    store.write_sorted(rows, "k", path, partitions=8)
+    stored = spark.read.parquet(path)
+    files = stored.filter("k = 5").selectExpr("input_file_name() AS f").distinct().count()
+    assert files >= 3 and stored.exceptAll(rows).isEmpty() and stored.count() == 20_000
+
+
+def test_month_folders_hold_everything(spark):
+    path = scratch_path(spark, "months")
+    rows = spark.range(1000).selectExpr("id", "timestampadd(DAY, CAST(id AS INT), TIMESTAMP_NTZ'2000-01-01 08:00:00') AS ts")
+    store.write_by_month(rows, "ts", path)
+    stored = spark.read.parquet(path)
+    assert stored.count() == 1000
+    assert stored.filter("order_month = '2000-02'").count() == 29
+
+
+def test_settings_of_the_caller_are_kept(spark):
+    from bazaarlens.session import configure
+
+    key = "spark.sql.sources.fileCompressionFactor"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "2.5")
+    try:
+        configure(spark)
+        assert spark.conf.get(key) == "2.5"
+    finally:
+        spark.conf.set(key, before)
