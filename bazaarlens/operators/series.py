@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 def month_spine(spark: SparkSession, first: str, last: str) -> DataFrame:
     """Every month start from ``first`` to ``last`` inclusive."""
-    bounds = spark.range(1).select(F.lit(first).cast("date").alias("a"), F.lit(last).cast("date").alias("b"))
+    bounds = spark.range(0, 1, 1, 1).select(F.lit(first).cast("date").alias("a"), F.lit(last).cast("date").alias("b"))
     return month_spine_between(bounds, F.col("a"), F.col("b"))
 
 
@@ -26,8 +26,11 @@ def month_spine_between(bounds: DataFrame, first: Column, last: Column) -> DataF
 
 
 def densify(spine: DataFrame, series: DataFrame, fill: Mapping[str, object], on: str = "month") -> DataFrame:
-    """One row per spine entry; missing values become the given constants."""
-    joined = spine.join(series, on, "left")
+    """One row per spine entry; missing values become the given constants.
+
+    ``series`` has at most one row per month of the calendar, so it is broadcast.
+    """
+    joined = spine.join(F.broadcast(series), on, "left")
     filled = [F.coalesce(F.col(c), F.lit(v).cast(series.schema[c].dataType)).alias(c) for c, v in fill.items()]
     return joined.select(on, *filled)
 
