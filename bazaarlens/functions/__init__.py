@@ -3,9 +3,9 @@
 from .bands import band
 from .dates import day, days_between, month_of, months_index, quarter_of, year_month
 from .geo import haversine_km
-from .numeric import as_long, exact, mean, money, money_out, pct, quotient, rounded
+from .numeric import exact, mean, money, money_out, pct, quotient, rounded
 
 __all__ = [
-    "as_long", "band", "day", "days_between", "exact", "haversine_km", "mean", "money", "money_out",
+    "band", "day", "days_between", "exact", "haversine_km", "mean", "money", "money_out",
     "month_of", "months_index", "pct", "quarter_of", "quotient", "rounded", "year_month",
 ]

@@ -52,7 +52,3 @@ def mean(value, digits: int, where: Column | None = None) -> Column:
     """
     kept = col(value) if where is None else F.when(where, col(value))
     return quotient(F.sum(kept), F.count(kept), digits)
-
-
-def as_long(value) -> Column:
-    return col(value).cast("long")
