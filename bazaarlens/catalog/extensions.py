@@ -188,8 +188,11 @@ def x03(t):
 @query("x04_approximate_distinct", """
     select seller_id, count(distinct order_id) as orders, true as within_ten_percent from v_items group by 1""")
 def x04(t):
-    counted = t.order_items.groupBy("seller_id").agg(
-        F.count_distinct("order_id").alias("orders"), F.approx_count_distinct("order_id", 0.02).alias("approx"))
+    # Both counts work on the distinct pairs: next to an exact distinct count over
+    # the lines, Spark would carry a sketch for every pair.
+    pairs = t.order_items.select("seller_id", "order_id").distinct()
+    counted = pairs.groupBy("seller_id").agg(
+        F.count("*").alias("orders"), F.approx_count_distinct("order_id", 0.02).alias("approx"))
     error = F.abs(F.col("approx") - F.col("orders")) / F.col("orders")
     return counted.select("seller_id", "orders", (error <= 0.1).alias("within_ten_percent"))
 
