@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from bazaarlens import catalog
 from tests.compare import connect, difference
 from tests.conftest import MEDIUM, SMALL
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = catalog.runners(), catalog.oracle_texts()
 
 
 @pytest.fixture(scope="module")
