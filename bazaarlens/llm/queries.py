@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, quality
+from . import bpe, line_dedup, quality, token_counts, toxicity
 from .common import table
 
 RUNNERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,16 @@ def query(build):
     return build
 
 
+@query
+def op2_token_counts(spark, sf_dir):
+    return token_counts.length_table(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_byte_bpe(spark, sf_dir):
+    return bpe.digests(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_quality_rules(spark, sf_dir):
     return quality.judge(table(spark, sf_dir, "documents"), quality.trusted_ids(table(spark, sf_dir, "labels")))
@@ -46,3 +56,9 @@ SQL["op9_line_dedup"] = """
     select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
            sha256(coalesce(string_agg(line, chr(10) order by pos) filter (not gone), '')) as kept_sha256
     from judged group by doc_id"""
+
+
+@query
+def op10_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
