@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +17,25 @@ BLANKS = " \t\n\x0b\x0c\r"
 BLANK_RUN = "[\\x20\\x09-\\x0D]+"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's source to the executors, once per application."""
+    context = spark.sparkContext
+    if getattr(context, "_sent_bazaarlens", False):
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = os.path.join(tempfile.mkdtemp(prefix="bazaarlens-source-"), "bazaarlens_source.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, files in os.walk(top):
+            for name in files:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(top)))
+    context.addPyFile(archive)
+    context._sent_bazaarlens = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, line_dedup, quality, token_counts, toxicity
+from . import bpe, line_dedup, minhash, quality, token_counts, toxicity
 from .common import table
 
 RUNNERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,11 @@ def query(build):
     return build
 
 
+@query
+def op1_minhash_near_dedup(spark, sf_dir):
+    return minhash.near_classes(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_token_counts(spark, sf_dir):
     return token_counts.length_table(table(spark, sf_dir, "documents"))
