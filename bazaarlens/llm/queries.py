@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, line_dedup, minhash, quality, token_counts, toxicity
+from . import bpe, decontam, line_dedup, minhash, quality, suffix_repeats, token_counts, toxicity
 from .common import table
 
 RUNNERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,17 @@ def op2_token_counts(spark, sf_dir):
     return token_counts.length_table(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_suffix_array_dedup(spark, sf_dir):
+    return suffix_repeats.without_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op5_benchmark_decontamination(spark, sf_dir):
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row_key")
+
+
 @query
 def op6_byte_bpe(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents"))
