@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, line_dedup, minhash, quality, suffix_repeats, token_counts, toxicity
+from . import bpe, decontam, licenses, line_dedup, minhash, packing, quality, suffix_repeats, token_counts, toxicity
 from .common import table
 
 RUNNERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,14 @@ def op3_suffix_array_dedup(spark, sf_dir):
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op4_license_scan(spark, sf_dir):
+    """Each document is a file: its source is the top directory, then its language and the thousands of its id."""
+    docs = table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", "source", "lang", F.floor(F.col("doc_id") / 1000).cast("string"), F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    return licenses.scan(docs.select("doc_id", path.alias("path"), "text"))
+
+
 @query
 def op5_benchmark_decontamination(spark, sf_dir):
     return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row_key")
@@ -45,6 +53,11 @@ def op6_byte_bpe(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_token_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_quality_rules(spark, sf_dir):
     return quality.judge(table(spark, sf_dir, "documents"), quality.trusted_ids(table(spark, sf_dir, "labels")))
