@@ -35,6 +35,7 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 REPEAT_WINDOW = 8
 SYMBOLS = "#*$%&|<>"
+COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
 def ngram_bins(w: Column, bins: int = BINS) -> Column:
@@ -125,22 +126,24 @@ def _judged(docs: DataFrame, trusted: DataFrame, threshold: float, bins: int) ->
     df = base_counts(docs).withColumn("bins", ngram_bins(F.col("w"), bins))
     total = F.aggregate("bins", F.lit(0.0), lambda s, b: s + F.get(table, b))
     n = F.col("n_words")
-    df = df.withColumns({
-        "base_failed": (n < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * n),
-        "score": F.when(F.size("bins") > 0, total / F.size("bins")).otherwise(0.0),
-    })
-    return df.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
+    failed = (n < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * n)
+    score = F.when(F.size("bins") > 0, total / F.size("bins")).otherwise(0.0)
+    df = df.select("row", "doc_id", *COUNTS, failed.alias("base_failed"), score.alias("score"))
+    kept = (~F.col("base_failed") & (F.col("score") >= threshold)).alias("kept")
+    # The always true condition is not deterministic, so that no filter on the
+    # verdict moves below the steps above and multiplies their work.
+    verdict = F.when(F.monotonically_increasing_id() >= 0, F.struct(*COUNTS, "base_failed", kept, "score"))
+    return df.select("row", "doc_id", verdict.alias("verdict"))
 
 
 def judge(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, bins: int = BINS) -> DataFrame:
     """Counts, ``base_failed``, ``kept`` and ``score`` of every document."""
-    return _judged(docs, trusted, threshold, bins).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
+    return _judged(docs, trusted, threshold, bins).select("doc_id", "verdict.*")
 
 
 def keep_good(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, bins: int = BINS) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with all their columns."""
-    return _judged(docs, trusted, threshold, bins).filter("kept").select("row.*")
+    return _judged(docs, trusted, threshold, bins).filter("verdict.kept").select("row.*")
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
