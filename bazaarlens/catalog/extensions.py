@@ -118,7 +118,7 @@ def h07(t):
     zips = t.customers.select(F.col("customer_zip_code_prefix").alias("zip")).distinct()
     edges = zips.select("zip", F.explode(F.array(*[F.lit(d) for d in range(1, 5)])).alias("d")).select(
         F.left("zip", F.col("d")).alias("parent"), F.left("zip", F.col("d") + 1).alias("child")).distinct()
-    return closure(edges, max_depth=10).groupBy("distance").agg(
+    return closure(edges).groupBy("distance").agg(
         F.count("*").alias("pairs"), F.count_distinct("ancestor").alias("ancestors"),
         F.count_distinct("descendant").alias("descendants"))
 
@@ -140,27 +140,26 @@ def x01(t):
 
 @query("x01_incremental_rollup", DAILY)
 def x01_incremental(t):
-    # Two increments, the second of them delivered twice.
-    folder = scratch_path(t.spark, "rollup")
-    early = t.order_items.filter(F.col("order_item_id") <= 3)
-    late = t.order_items.filter(F.col("order_item_id") > 3)
-    rollup.write_batch(t, early, folder, 0)
-    rollup.write_batch(t, late, folder, 1)
-    rollup.write_batch(t, late, folder, 1)
-    root = scratch_path(t.spark, "rollup-compact")
-    rollup.compact(t.spark, folder, root)
-    return _daily_out(rollup.read_compacted(t.spark, root))
+    # Two increments, the second of them delivered twice and after a compaction.
+    folder, root = scratch_path(t.spark, "rollup"), scratch_path(t.spark, "rollup-compact")
+    orders = t.orders.select("order_id", (F.month("order_purchase_timestamp") <= 6).alias("early"))
+    rollup.write_batch(t, orders.filter("early"), folder, 0)
+    rollup.compact(t, folder, root)
+    rollup.write_batch(t, orders.filter("not early"), folder, 1)
+    rollup.write_batch(t, orders.filter("not early"), folder, 1)
+    return _daily_out(rollup.read_compacted(t, folder, root))
 
 
 @query("x01_streamed_rollup", DAILY)
 def x01_streamed(t):
-    lines = (
-        t.spark.readStream.schema(STAR_SCHEMAS["lineitem"])
-        .option("pathGlobFilter", "lineitem.parquet").parquet(t.root)
+    orders = (
+        t.spark.readStream.schema(STAR_SCHEMAS["orders"])
+        .option("pathGlobFilter", "orders.parquet").parquet(t.root)
     )
     folder, checkpoint = scratch_path(t.spark, "rollup"), scratch_path(t.spark, "rollup-state")
-    rollup.start_rollup(t, t.items_of(lines), folder, checkpoint).awaitTermination()
-    return _daily_out(rollup.read_rollup(t.spark, folder))
+    changed = orders.select(F.col("o_orderkey").alias("order_id"))
+    rollup.start_rollup(lambda: t, changed, folder, checkpoint).awaitTermination()
+    return _daily_out(rollup.read_rollup(t, folder))
 
 
 @query("x02_month_partitions", """

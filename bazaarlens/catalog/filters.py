@@ -134,7 +134,7 @@ def p14(t):
 def p15(t):
     # The crossing rows of a monthly series, which the calendar bounds.
     running = F.sum("revenue").over(W.orderBy("month")).cast("double")
-    before = F.coalesce(F.sum("revenue").over(trailing("month", 10_000, 1)).cast("double"), F.lit(0.0))
+    before = F.coalesce(F.sum("revenue").over(W.orderBy("month").rowsBetween(W.unboundedPreceding, -1)).cast("double"), F.lit(0.0))
     total = F.sum("revenue").over(W.partitionBy()).cast("double")
     series = trend.clean_series(t, **WINDOW).select("month", running.alias("a"), before.alias("b"), total.alias("t"))
     crossed = reduce(

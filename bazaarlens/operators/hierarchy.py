@@ -43,18 +43,18 @@ def prefix_tree(leaves: DataFrame, code: str, depths: int) -> DataFrame:
     return tree
 
 
-def closure(edges: DataFrame, max_depth: int) -> DataFrame:
+def closure(edges: DataFrame) -> DataFrame:
     """All (ancestor, descendant, distance) pairs of a parent-child relation.
 
-    New pairs of a round are extended by one edge in the next. Every round is
-    written to the shared folder, so neither the plan nor the lineage grows, and
-    the loop stops on an empty round or at ``max_depth`` (which ends cycles).
+    New pairs of a round are extended by one edge in the next; known pairs are
+    left out, which ends cycles. Every round is written to the shared folder, so
+    neither the plan nor the lineage grows, and the loop stops on an empty round.
     """
     step = cut_lineage(edges.select("parent", "child").distinct())
     fresh = step.select(F.col("parent").alias("ancestor"), F.col("child").alias("descendant"), F.lit(1).alias("distance"))
     rounds = [fresh]
     seen = fresh.select("ancestor", "descendant")
-    for distance in range(2, max_depth + 1):
+    for distance in count(2):
         extended = (
             fresh.join(step, F.col("descendant") == F.col("parent"))
             .select("ancestor", F.col("child").alias("descendant"))

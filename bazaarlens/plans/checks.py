@@ -142,11 +142,14 @@ def required_columns(name: str) -> tuple[str, ...]:
     return TABLES[name].required
 
 
-def require(report: DataFrame) -> None:
-    """Raise with the failed rows of a report (a report has a few rows)."""
-    failed = report.filter(~F.coalesce("ok", F.lit(False))).limit(100).collect()
+def require(report: DataFrame, shown: int = 100) -> None:
+    """Raise with the failed rows of a report; beyond ``shown`` of them it says how many there are."""
+    failed = report.filter(~F.coalesce("ok", F.lit(False))).limit(shown + 1).collect()
     if failed:
-        raise CheckFailed("; ".join(f"{r['subject']}: {r['actual']} (expected {r['expected']})" for r in failed))
+        told = "; ".join(f"{r['subject']}: {r['actual']} (expected {r['expected']})" for r in failed[:shown])
+        if len(failed) > shown:
+            told += f"; {shown} of {report.filter(~F.coalesce('ok', F.lit(False))).count()} failures shown"
+        raise CheckFailed(told)
 
 
 def profile(name: str, df: DataFrame) -> DataFrame:

@@ -1,16 +1,22 @@
 """Daily revenue per seller and category, kept up to date by increments.
 
-Every increment is aggregated and written to a folder of its own batch. Writing
-a batch again replaces its folder, so a retried batch cannot count twice.
-Readers add the batches up; compaction folds them into one.
+An increment names the orders that changed: lines that came, a delivery, a
+recalled delivery. All days those orders were placed on are computed anew from
+the stored tables, so a delivery that follows its lines by weeks, or is taken
+back, ends in the right sums. A batch writes its days and their rows to a folder
+of its own; for each day the last batch that touched it counts. Writing a batch
+again replaces its folder. Compaction keeps the last state of each day and is
+read together with the batches after it.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import day
@@ -18,12 +24,14 @@ from ..plans import base
 from ..sources.store import current_version, switch_version
 
 GRAIN = ("day", "seller_id", "category")
-SCHEMA = "day date, seller_id long, category string, revenue decimal(25,2), units long"
+PLACED = "order_purchase_timestamp"
 
 
-def partial_rollup(t, items: DataFrame) -> DataFrame:
-    """Aggregate some delivered line items to the grain of the rollup."""
-    orders = base.delivered_orders(t).select("order_id", day("order_purchase_timestamp").alias("day"))
+def partial_rollup(t, items: DataFrame, days: DataFrame | None = None) -> DataFrame:
+    """Aggregate delivered line items to the grain of the rollup, of all days or of ``days`` (day)."""
+    orders = base.delivered_orders(t).select("order_id", day(PLACED).alias("day"))
+    if days is not None:
+        orders = orders.join(days, "day", "left_semi")
     per_product = (
         items.select("order_id", "product_id", "seller_id", "price").join(orders, "order_id")
         .groupBy("day", "seller_id", "product_id")
@@ -36,41 +44,78 @@ def partial_rollup(t, items: DataFrame) -> DataFrame:
     )
 
 
-def merge(rollups: DataFrame) -> DataFrame:
-    return rollups.groupBy(*GRAIN).agg(
-        F.sum("revenue").cast("decimal(25,2)").alias("revenue"), F.sum("units").alias("units")
+def _schema(t) -> T.StructType:
+    """Columns of a batch; the type of the ids is that of the tables."""
+    return (
+        T.StructType()
+        .add("day", "date").add("seller_id", t.order_items.schema["seller_id"].dataType)
+        .add("category", "string").add("revenue", "decimal(25,2)").add("units", "long")
     )
 
 
-def write_batch(t, items: DataFrame, folder: str, batch: int | str) -> None:
-    partial_rollup(t, items).write.mode("overwrite").parquet(f"{folder}/batch={batch}")
+def write_batch(t, changed: DataFrame, folder: str, batch: int) -> None:
+    """Compute the days of the changed orders (order_id) anew, as batch ``batch``."""
+    days = (
+        t.orders.join(changed.select("order_id").distinct(), "order_id", "left_semi")
+        .select(day(PLACED).alias("day")).distinct()
+    )
+    days_path = f"{folder}/days/batch={batch}"
+    days.write.mode("overwrite").parquet(days_path)
+    days = t.spark.read.schema("day date").parquet(days_path)
+    partial_rollup(t, t.order_items, days).write.mode("overwrite").parquet(f"{folder}/rows/batch={batch}")
 
 
-def start_rollup(t, items: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
-    """Roll up a stream of line items, one batch folder per micro-batch."""
+def start_rollup(tables: Callable[[], object], changed: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
+    """Follow a stream of changed orders (order_id); ``tables`` opens the current tables."""
 
     def on_batch(frame: DataFrame, batch: int) -> None:
-        write_batch(t, frame, folder, batch)
+        write_batch(tables(), frame, folder, batch)
 
     return (
-        items.writeStream.foreachBatch(on_batch)
+        changed.writeStream.foreachBatch(on_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def read_rollup(spark: SparkSession, folder: str) -> DataFrame:
-    """All batches added up."""
-    return merge(spark.read.schema(SCHEMA).parquet(folder))
+def _latest(t, folders: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(day, batch) of the last batch per day, and the rows of those batches."""
+
+    def read(part: str, schema: T.StructType) -> DataFrame:
+        frames = [t.spark.read.schema(schema.add("batch", "long")).parquet(f"{folder}/{part}") for folder in folders]
+        out = frames[0]
+        for frame in frames[1:]:
+            out = out.unionByName(frame)
+        return out
+
+    # One row per calendar day.
+    last = read("days", T.StructType().add("day", "date")).groupBy("day").agg(F.max("batch").alias("batch"))
+    # A compacted batch and the batch it took over may both be read; they are equal.
+    rows = read("rows", _schema(t)).join(last, ["day", "batch"])
+    return last, rows.groupBy("batch", *GRAIN).agg(F.max("revenue").alias("revenue"), F.max("units").alias("units"))
 
 
-def compact(spark: SparkSession, folder: str, root: str) -> str:
-    """Fold all batches of ``folder`` into a new version under ``root``."""
+def read_rollup(t, folder: str) -> DataFrame:
+    """The last state of every day."""
+    return _latest(t, [folder])[1].drop("batch")
+
+
+def compact(t, folder: str, root: str) -> str:
+    """Write the last state of every day, compacted ones included, as a new version under ``root``."""
     version = f"version-{uuid.uuid4().hex}"
-    read_rollup(spark, folder).write.mode("overwrite").parquet(f"{root}/{version}/batch=0")
-    return switch_version(spark, root, version)
+    last, rows = _latest(t, _sources(t.spark, folder, root))
+    last.write.partitionBy("batch").parquet(f"{root}/{version}/days")
+    rows.write.partitionBy("batch").parquet(f"{root}/{version}/rows")
+    return switch_version(t.spark, root, version)
+
+
+def _sources(spark: SparkSession, folder: str, root: str) -> list[str]:
+    pointer = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/CURRENT")
+    exists = pointer.getFileSystem(spark._jsc.hadoopConfiguration()).exists(pointer)
+    return [folder, *([current_version(spark, root)] if exists else [])]
 
 
-def read_compacted(spark: SparkSession, root: str) -> DataFrame:
-    return read_rollup(spark, current_version(spark, root))
+def read_compacted(t, folder: str, root: str) -> DataFrame:
+    """The compacted days, replaced where a later batch in ``folder`` touched them."""
+    return _latest(t, _sources(t.spark, folder, root))[1].drop("batch")

@@ -58,7 +58,7 @@ def test_reported_day_counts(tables):
 
 def test_closure_stops_on_cycles_and_keeps_the_shortest(spark):
     edges = spark.createDataFrame([(1, 2), (2, 3), (3, 1), (3, 4), (1, 3)], "parent int, child int")
-    pairs = {(r["ancestor"], r["descendant"]): r["distance"] for r in closure(edges, 10).collect()}
+    pairs = {(r["ancestor"], r["descendant"]): r["distance"] for r in closure(edges).collect()}
     assert pairs[(1, 3)] == 1 and pairs[(1, 4)] == 2 and pairs[(2, 2)] == 3 and len(pairs) == 12
 
 
@@ -70,3 +70,8 @@ def test_small_side_checks_the_size(spark):
 
     assert hinted(small_side(spark.range(10), rows=10))
     assert not hinted(small_side(spark.range(11), rows=10))
+
+
+def test_closure_follows_a_long_chain_to_its_end(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(25)], "parent long, child long")
+    assert closure(edges).count() == 25 * 26 // 2

@@ -1,3 +1,5 @@
+from types import SimpleNamespace
+
 from pyspark.sql import functions as F
 
 from bazaarlens.sources.durable import scratch_path
@@ -10,31 +12,66 @@ def same(left, right):
     return left.exceptAll(right).isEmpty() and right.exceptAll(left).isEmpty()
 
 
+def tables_with(t, orders, items):
+    """The tables with other orders and lines."""
+    return SimpleNamespace(
+        spark=t.spark, orders=orders, delivered_orders=orders.filter("order_status = 'delivered'"),
+        order_items=items, products=t.products, translation=t.translation)
+
+
 def test_increments_and_retries_equal_one_pass(spark):
     t = open_star(spark, SMALL)
     folder, root = scratch_path(spark, "rollup"), scratch_path(spark, "rollup")
     even = F.col("order_id") % 2 == 0
-    rollup.write_batch(t, t.order_items.filter(even), folder, 0)
+    rollup.write_batch(t, t.orders.filter(even), folder, 0)
+    rollup.compact(t, folder, root)
     for _ in range(2):
-        rollup.write_batch(t, t.order_items.filter(~even), folder, 1)
+        rollup.write_batch(t, t.orders.filter(~even), folder, 1)
     want = rollup.partial_rollup(t, t.order_items)
-    assert same(rollup.read_rollup(spark, folder), want)
-    rollup.compact(spark, folder, root)
-    assert same(rollup.read_compacted(spark, root), want)
+    assert same(rollup.read_rollup(t, folder), want)
+    assert same(rollup.read_compacted(t, folder, root), want)  # a batch after the compaction
+    rollup.compact(t, folder, root)
+    assert same(rollup.read_compacted(t, folder, root), want)
+
+
+def test_late_and_recalled_deliveries(spark):
+    t = open_star(spark, SMALL)
+    folder = scratch_path(spark, "rollup")
+    late = F.col("order_id") % 3 == 0
+    waiting = t.orders.withColumn("order_status", F.when(late, "shipped").otherwise(F.col("order_status")))
+    before = tables_with(t, waiting, t.order_items)
+    rollup.write_batch(before, before.orders, folder, 0)
+    assert same(rollup.read_rollup(before, folder), rollup.partial_rollup(before, before.order_items))
+    rollup.write_batch(t, t.orders.filter(late), folder, 1)  # delivered after their lines came
+    assert same(rollup.read_rollup(t, folder), rollup.partial_rollup(t, t.order_items))
+    rollup.write_batch(before, before.orders.filter(late), folder, 2)  # and taken back
+    assert same(rollup.read_rollup(before, folder), rollup.partial_rollup(before, before.order_items))
+
+
+def test_ids_of_a_loaded_store_are_text(spark):
+    t = open_star(spark, SMALL)
+    text = lambda df, *names: df.withColumns({n: F.col(n).cast("string") for n in names})
+    stored = tables_with(t, text(t.orders, "order_id"), text(t.order_items, "order_id", "seller_id"))
+    folder = scratch_path(spark, "rollup")
+    rollup.write_batch(stored, stored.orders, folder, 0)
+    got = rollup.read_rollup(stored, folder)
+    assert got.schema["seller_id"].dataType.simpleString() == "string"
+    assert got.count() == rollup.partial_rollup(t, t.order_items).count()
 
 
 def test_stream_picks_up_where_it_stopped(spark):
     t = open_star(spark, SMALL)
-    source, folder, state = (scratch_path(spark, n) for n in ("lines", "rollup", "state"))
-    lines = t.raw("lineitem")
+    source, folder, state = (scratch_path(spark, n) for n in ("changes", "rollup", "state"))
+    orders = t.raw("orders")
 
     def run():
-        stream = spark.readStream.schema(STAR_SCHEMAS["lineitem"]).parquet(source)
-        rollup.start_rollup(t, t.items_of(stream), folder, state).awaitTermination()
+        stream = spark.readStream.schema(STAR_SCHEMAS["orders"]).parquet(source)
+        changed = stream.select(F.col("o_orderkey").alias("order_id"))
+        rollup.start_rollup(lambda: t, changed, folder, state).awaitTermination()
 
-    lines.filter("l_linenumber <= 3").write.mode("append").parquet(source)
+    orders.filter("o_orderkey % 2 = 0").write.mode("append").parquet(source)
     run()
-    lines.filter("l_linenumber > 3").write.mode("append").parquet(source)
+    orders.filter("o_orderkey % 2 = 1").write.mode("append").parquet(source)
     run()
     run()
-    assert same(rollup.read_rollup(spark, folder), rollup.partial_rollup(t, t.order_items))
+    assert same(rollup.read_rollup(t, folder), rollup.partial_rollup(t, t.order_items))
