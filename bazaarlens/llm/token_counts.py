@@ -23,7 +23,7 @@ from pyspark.sql import Window as W
 from .common import doc_texts, stored
 
 RANKS = "byte_bpe_50k.tiktoken"
-BLOCK = 4096  # lengths per block of the suffix sums
+BLOCK = 128  # lengths per block of the suffix sums
 
 
 def ranks_path(name: str = RANKS) -> str:
