@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .schemas import TableSpec
 
@@ -15,8 +16,9 @@ class MissingColumns(ValueError):
 def read_text_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """All columns as strings, under the names of the header.
 
-    A doubled quote inside a quoted field stands for a quote. Only tables with
-    free text need ``multi_line``: it keeps newlines inside fields but reads a
+    A doubled quote inside a quoted field stands for a quote. A record with more
+    or fewer fields than the header fails the read, which is why every column
+    is parsed even if few are used. Only tables with free text need ``multi_line``: it keeps newlines inside fields but reads a
     file in one task, so such tables should arrive as many files.
     """
     df = (
@@ -26,6 +28,8 @@ def read_text_csv(spark: SparkSession, path: str, multi_line: bool = False) -> D
         .option("multiLine", multi_line)
         .option("encoding", "UTF-8")
         .option("enforceSchema", False)
+        .option("mode", "FAILFAST")
+        .option("columnPruning", False)
         .csv(path)
     )
     # The byte order mark is not part of the first column's name.
@@ -42,13 +46,23 @@ def require_header(df: DataFrame, spec: TableSpec) -> None:
         raise MissingColumns(f"{spec.name}: missing column(s) {missing}; found {df.columns}")
 
 
+def _cast(text, dtype: T.DataType, where: str):
+    """``text`` as ``dtype``; a value that does not fit fails, whatever the session's ANSI setting."""
+    value = F.nullif(text, F.lit(""))
+    if isinstance(dtype, T.StringType):
+        return value
+    fitting = value.try_cast(dtype)
+    message = F.concat(F.lit(f"{where}: does not fit {dtype.simpleString()}: "), value)
+    return F.when(value.isNotNull() & fitting.isNull(), F.raise_error(message)).otherwise(fitting)
+
+
 def typed(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Pick, reorder, rename and cast the columns; empty fields become NULL.
 
     A value that does not fit its type fails the load.
     """
     return df.select(*[
-        F.nullif(F.col(spec.header_of(name)), F.lit("")).cast(dtype).alias(name)
+        _cast(F.col(spec.header_of(name)), dtype, f"{spec.name}.{name}").alias(name)
         for name, dtype, _ in spec.columns
     ])
 

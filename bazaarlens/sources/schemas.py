@@ -22,7 +22,6 @@ class TableSpec:
     name: str
     columns: tuple[tuple[str, T.DataType, bool], ...]
     key: tuple[str, ...] = ()
-    comment: str = ""
     headers: dict[str, str] = field(default_factory=dict)
 
     @property
@@ -57,7 +56,6 @@ CUSTOMERS = TableSpec(
      ("customer_zip_code_prefix", TEXT, False), ("customer_city", TEXT, False),
      ("customer_state", TEXT, False)),
     key=("customer_id",),
-    comment="One row per order; customer_unique_id is the person.",
 )
 SELLERS = TableSpec(
     "sellers",
@@ -69,7 +67,6 @@ TRANSLATION = TableSpec(
     "product_category_translation",
     (("product_category_name", TEXT, False), ("product_category_name_english", TEXT, False)),
     key=("product_category_name",),
-    comment="Incomplete lookup: join it from the left.",
 )
 PRODUCTS = TableSpec(
     "products",
@@ -90,7 +87,6 @@ ORDERS = TableSpec(
      ("order_delivered_carrier_date", STAMP, True), ("order_delivered_customer_date", STAMP, True),
      ("order_estimated_delivery_date", STAMP, True)),
     key=("order_id",),
-    comment="An order without delivery date was not delivered: exclude it, never fill it with zero.",
 )
 ORDER_ITEMS = TableSpec(
     "order_items",
@@ -98,7 +94,6 @@ ORDER_ITEMS = TableSpec(
      ("seller_id", TEXT, False), ("shipping_limit_date", STAMP, False), ("price", PRICE, False),
      ("freight_value", PRICE, False)),
     key=("order_id", "order_item_id"),
-    comment="Sellers of an order are known only here.",
 )
 ORDER_PAYMENTS = TableSpec(
     "order_payments",
@@ -112,14 +107,12 @@ ORDER_REVIEWS = TableSpec(
      ("review_comment_title", TEXT, True), ("review_comment_message", TEXT, True),
      ("review_creation_date", STAMP, False), ("review_answer_timestamp", STAMP, False)),
     key=("review_id", "order_id"),
-    comment="review_id repeats and an order may have several reviews: aggregate before joining.",
 )
 GEOLOCATION = TableSpec(
     "geolocation",
     (("geolocation_zip_code_prefix", TEXT, False), ("geolocation_lat", REAL, False),
      ("geolocation_lng", REAL, False), ("geolocation_city", TEXT, False),
      ("geolocation_state", TEXT, False)),
-    comment="Many points per zip and no key: join the centroid table instead.",
 )
 
 # Parents before children.

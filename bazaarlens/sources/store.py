@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans import checks
 from .csv_ingest import read_text_csv, require_header, typed
 from .schemas import TABLES
 from .tables import StoredTables, centroids
@@ -53,35 +54,63 @@ def switch_version(spark: SparkSession, root: str, version: str) -> str:
     return f"{root}/{version}"
 
 
-def write_versions(spark: SparkSession, frames: Mapping[str, DataFrame], root: str) -> DataFrame:
-    """Write all frames under a new version, then switch to it.
+def write_versions(
+    spark: SparkSession,
+    frames: Mapping[str, DataFrame],
+    root: str,
+    verify: Callable[[Mapping[str, DataFrame]], None] | None = None,
+) -> DataFrame:
+    """Write all frames under a new version, verify what was written, then switch to it.
 
-    A failure leaves the current version untouched. Returns the rows per table,
-    counted from what was written, and their total.
+    A failure, also one that ``verify`` raises, leaves the current version
+    untouched. Returns the rows per table, counted from what was written, and
+    their total.
     """
     version = f"version-{uuid.uuid4().hex}"
+    written = {}
     for name, frame in frames.items():
-        frame.write.mode("overwrite").parquet(f"{root}/{version}/{name}")
-    folder = switch_version(spark, root, version)
+        path = f"{root}/{version}/{name}"
+        frame.write.mode("overwrite").parquet(path)
+        written[name] = spark.read.schema(frame.schema).parquet(path)
+    if verify is not None:
+        verify(written)
+    switch_version(spark, root, version)
     counts = None
-    for name in frames:
-        one = spark.read.schema(frames[name].schema).parquet(f"{folder}/{name}").agg(
-            F.count("*").alias("row_count")
-        ).select(F.lit(name).alias("table_name"), "row_count")
+    for name, frame in written.items():
+        one = frame.agg(F.count("*").alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
         counts = one if counts is None else counts.unionByName(one)
     total = counts.agg(F.sum("row_count").alias("row_count")).select(F.lit("TOTAL").alias("table_name"), "row_count")
     return counts.unionByName(total)
 
 
-def load_tables(spark: SparkSession, csv_paths: Mapping[str, str], root: str) -> DataFrame:
+def require_integrity(frames: Mapping[str, DataFrame], expected_rows: Mapping[str, int] | None = None) -> None:
+    """Keys, references, required columns, the score range and, where given, the row counts of all tables."""
+    reports = [
+        checks.uniqueness(frames, {name: TABLES[name].key for name in frames if TABLES[name].key}),
+        checks.references(frames),
+        *[checks.null_counts(name, frame, checks.required_columns(name)) for name, frame in frames.items()
+          if checks.required_columns(name)],
+        checks.score_range(frames["order_reviews"]),
+    ]
+    if expected_rows:
+        reports.append(checks.row_counts({name: frames[name] for name in expected_rows}, expected_rows))
+    for report in reports:
+        checks.require(report)
+
+
+def load_tables(
+    spark: SparkSession, csv_paths: Mapping[str, str], root: str, expected_rows: Mapping[str, int] | None = None
+) -> DataFrame:
     """Load the nine CSV tables, parents first. All headers are checked before
-    anything is written."""
+    anything is written, and the written tables before readers see them."""
     texts = {
         name: read_text_csv(spark, csv_paths[name], name in FREE_TEXT) for name in TABLES
     }
     for name, df in texts.items():
         require_header(df, TABLES[name])
-    return write_versions(spark, {name: typed(df, TABLES[name]) for name, df in texts.items()}, root)
+    return write_versions(
+        spark, {name: typed(df, TABLES[name]) for name, df in texts.items()}, root,
+        lambda frames: require_integrity(frames, expected_rows))
 
 
 def open_store(spark: SparkSession, root: str) -> StoredTables:

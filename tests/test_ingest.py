@@ -82,6 +82,36 @@ def test_failed_load_keeps_the_old_version(spark, tmp_path):
     assert store.open_store(spark, root).order_items.count() == 1
 
 
+@pytest.mark.parametrize("table, row", [
+    ("sellers", "s2,09000,rio, extra,RJ"),  # surplus field
+    ("sellers", "s2,09000"),  # short row
+    ("sellers", 's2,"09000,rio,RJ'),  # quote left open
+    ("sellers", "s1,09000,rio,RJ"),  # duplicate key
+    ("sellers", "s2,09000,,RJ"),  # required column empty
+    ("order_items", "o1,2,nothing,s1,2017-01-07 00:00:00,9.90,1.10"),  # orphan
+    ("order_reviews", "r2,o1,6,,,2017-01-11 00:00:00,2017-01-12 00:00:00"),  # score out of range
+    ("order_items", "o1,2,i1,s1,2017-01-07 00:00:00,cheap,1.10"),  # not a number
+])
+def test_bad_rows_leave_the_old_version(spark, tmp_path, table, row):
+    root = scratch_path(spark, "load")
+    paths = write_csvs(tmp_path)
+    store.load_tables(spark, paths, root)
+    before = store.current_version(spark, root)
+    bad = tmp_path / "bad.csv"
+    bad.write_text(",".join(HEADERS[table]) + "\n" + "\n".join([*ROWS[table], row]) + "\n")
+    with pytest.raises(Exception):
+        store.load_tables(spark, {**paths, table: str(bad)}, root)
+    assert store.current_version(spark, root) == before
+
+
+def test_wrong_count_leaves_no_version(spark, tmp_path):
+    root = scratch_path(spark, "load")
+    with pytest.raises(ValueError, match="sellers"):
+        store.load_tables(spark, write_csvs(tmp_path), root, {"sellers": 2})
+    with pytest.raises(Exception):
+        store.open_store(spark, root)
+
+
 def test_refresh_switches_versions(spark, tmp_path):
     root = scratch_path(spark, "centroid")
     points = [("01001", 1.0, 2.0), ("01001", 3.0, 4.0)]
