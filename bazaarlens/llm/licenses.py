@@ -125,7 +125,8 @@ def document_frequencies(files: DataFrame) -> tuple[dict[str, int], int]:
             counts[""] += len(pdf)
             for text in pdf["text"]:
                 counts.update(known.intersection(words_of(text)))
-        yield pd.DataFrame({"word": list(counts), "n": list(counts.values())}, columns=["word", "n"])
+        if counts[""]:
+            yield pd.DataFrame({"word": list(counts), "n": list(counts.values())})
 
     rows = files.select("text").mapInPandas(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
     df = {r["word"]: r["n"] for r in rows}  # one row per word of the templates
@@ -149,7 +150,7 @@ def scan(files: DataFrame) -> DataFrame:
     matcher = files.sparkSession.sparkContext.broadcast(Matcher(*document_frequencies(texts)))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
+        for pdf in filter(len, batches):
             found = [matcher.value.scan(t) for t in pdf["text"]]
             license_, similarity, share = ([f[i] for f in found] for i in range(3))
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "path": pdf["path"], "license": license_, "similarity": similarity, "share": share})
