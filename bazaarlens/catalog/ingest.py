@@ -165,10 +165,15 @@ def s11(t):
           union all select 'order_items', (select count(*) from lineitem), (select count(*) from v_items)
           union all select 'products', (select count(*) from part), (select count(*) from v_products)
           union all select 'sellers', (select count(*) from supplier), (select count(*) from v_sellers)
-          union all select 'order_payments', (select count(*) from orders), (select count(*) from v_payments))""")
+          union all select 'order_payments', (select count(*) from orders), (select count(*) from v_payments)
+          union all select 'orders', (select count(*) from orders), (select count(*) from v_orders)
+          union all select 'order_reviews', (select count(*) from events), (select count(*) from v_reviews)
+          union all select 'product_category_translation', (select count(*) from part), (select count(*) from v_translation)
+          union all select 'geolocation', (select count(*) from customer), (select count(*) from v_geo))""")
 def s12(t):
     source = {"customers": "orders", "order_items": "lineitem", "products": "part", "sellers": "supplier",
-              "order_payments": "orders"}
+              "order_payments": "orders", "orders": "orders", "order_reviews": "events",
+              "product_category_translation": "part", "geolocation": "customer"}
     expected = {name: t.raw(raw).agg(F.count("*")).scalar() for name, raw in source.items()}
     return checks.row_counts({name: t.by_name(name) for name in source}, expected)
 
@@ -223,16 +228,33 @@ def s15(t):
     return checks.references({n: t.by_name(n) for n in names})
 
 
-@query("s16_null_and_range_check", """
-    select 'not null' as check_name, 'orders.' || c as subject, '0' as expected, n as actual, n = 0 as ok
-    from (select 'order_id' as c, count(*) filter (order_id is null) as n from v_orders
-          union all select 'order_delivered_customer_date', count(*) filter (order_delivered_customer_date is null) from v_orders)
+# The required columns that the views have, and one that may be empty.
+NEVER_NULL = {
+    "customers": ("v_customers", ("customer_id", "customer_unique_id", "customer_zip_code_prefix", "customer_state")),
+    "sellers": ("v_sellers", ("seller_id", "seller_zip_code_prefix", "seller_state")),
+    "product_category_translation": ("v_translation", ("product_category_name", "product_category_name_english")),
+    "products": ("v_products", ("product_id",)),
+    "orders": ("v_orders", ("order_id", "customer_id", "order_status", "order_purchase_timestamp",
+                            "order_estimated_delivery_date", "order_delivered_customer_date")),
+    "order_items": ("v_items", ("order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value")),
+    "order_payments": ("v_payments", ("order_id", "payment_sequential", "payment_value")),
+    "order_reviews": ("v_reviews", ("review_id", "order_id", "review_score")),
+}
+
+
+def _null_sql(name: str, view: str, columns) -> str:
+    return " union all ".join(
+        f"""select 'not null' as check_name, '{name}.{c}' as subject, '0' as expected, count(*) filter ({c} is null) as actual,
+        count(*) filter ({c} is null) = 0 as ok from {view}""" for c in columns)
+
+
+@query("s16_null_and_range_check", " union all ".join(_null_sql(n, *x) for n, x in NEVER_NULL.items()) + """
     union all
     select 'check', 'review_score between 1 and 5', '0', count(*) filter (review_score not between 1 and 5),
            count(*) filter (review_score not between 1 and 5) = 0 from v_reviews""")
 def s16(t):
-    nulls = checks.null_counts("orders", t.orders, ["order_id", "order_delivered_customer_date"])
-    return nulls.unionByName(checks.score_range(t.order_reviews))
+    nulls = [checks.null_counts(name, t.by_name(name), columns) for name, (_, columns) in NEVER_NULL.items()]
+    return reduce(DataFrame.unionByName, [*nulls, checks.score_range(t.order_reviews)])
 
 
 @query("s17_column_statistics", """

@@ -37,6 +37,8 @@ def local_session(cores: int | str = "*", app: str = "bazaarlens", memory: str =
         .config("spark.driver.memory", memory)
         # Do not record the Python call site of every column expression.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        # Checkpoints go when nothing refers to them any more.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
     )

@@ -129,8 +129,9 @@ def read_centroids(spark: SparkSession, root: str) -> DataFrame:
 
 
 def analyzed_table(df: DataFrame, name: str, path: str) -> DataFrame:
-    """Save ``df`` as table ``name`` at ``path``, collect its statistics, and
-    return those of every column: one row per column."""
+    """Save ``df`` at ``path``, collect its statistics under the table name
+    ``name``, and return those of every column: one row per column. The name is
+    given up again, the files stay."""
     spark = df.sparkSession
     df.write.mode("overwrite").option("path", path).saveAsTable(name)
     spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR ALL COLUMNS")
@@ -149,6 +150,7 @@ def analyzed_table(df: DataFrame, name: str, path: str) -> DataFrame:
             )
         )
         stats = one if stats is None else stats.unionByName(one)
+    spark.sql(f"DROP TABLE {name}")
     return stats
 
 

@@ -6,6 +6,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from bazaarlens.session import local_session  # noqa: E402
+from bazaarlens.sources.durable import release  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
 MEDIUM = "/root/testdata/sf0.01"
@@ -16,6 +17,7 @@ def spark():
     session = local_session(8, "bazaarlens-tests", "6g")
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    release(session)
     session.stop()
 
 

@@ -75,3 +75,17 @@ def test_small_side_checks_the_size(spark):
 def test_closure_follows_a_long_chain_to_its_end(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(25)], "parent long, child long")
     assert closure(edges).count() == 25 * 26 // 2
+
+
+def test_scratch_paths_are_removed(spark):
+    import os
+
+    from bazaarlens.sources import durable
+
+    before, durable._made[:] = list(durable._made), []
+    path = durable.scratch_path(spark, "gone")
+    spark.range(5).write.parquet(path)
+    assert os.path.isdir(path)
+    durable.release(spark)
+    assert not os.path.exists(path) and not durable._made
+    durable._made[:] = before
