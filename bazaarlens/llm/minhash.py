@@ -8,16 +8,18 @@
    of two texts is equal with the probability of their weighted Jaccard
    similarity. ROWS samples make a band key; equal keys make candidates.
 3. In each bucket of equal keys all nodes are compared with one of them, the
-   pivot, by the exact weighted Jaccard similarity of their whole texts.
-   Similar ones are linked, connected links give classes.
-4. What is left are pairs in a bucket whose classes differ. Since one minus the
-   similarity is a metric, a pair can only reach the threshold if both nodes'
-   distances to the pivot differ by no more than one minus the threshold; all
-   such pairs are compared. So every pair of candidates is compared, proven
-   dissimilar, or in one class already, and no bucket is listed as all pairs.
-
-Rows that share an id are one document. Texts without a word and rows without an
-id are classes of their own. Shorter texts than a shingle are one shingle.
+   pivot, by the exact weighted Jaccard similarity of their whole texts; those
+   in other classes also with a second pivot. Similar nodes are linked, and
+   connected links give classes.
+4. Nodes still in another class than the second pivot of a bucket are compared
+   with all nodes of such buckets that share one of their rarest shingles, of
+   those that make up one minus the threshold of their weight, and have enough
+   weight left from there on. Similar nodes must do so (prefix filter). So every pair of candidates is compared,
+   proven dissimilar, or in one class already, and no bucket is listed as all
+   pairs.
+
+Rows that share an id are one document. Texts without a word, null ones too, are
+copies of each other; each row without an id stands alone, its class is null. Shorter texts than a shingle are one shingle.
 Other columns are carried along unread.
 """
 
@@ -40,6 +42,7 @@ BANDS, ROWS = 14, 5
 DF_BITS = 18
 DF_BINS = 1 << DF_BITS
 DF_BLOCK = 1 << 12
+SLACK = 1e-6  # of a weight, for sums in floating point
 CHUNK = 2048  # shingles sampled at once
 
 _rng = np.random.Generator(np.random.Philox(11))
@@ -150,6 +153,31 @@ def _features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"node": pdf["node"], "shingles": [np.sort(word_shingles(t, SHINGLE)).tobytes() for t in pdf["text"]]})
 
 
+def _prefixes(idf, threshold: float):
+    """The rarest shingles of a node, up to one minus the threshold of its weight.
+
+    For each also the weight of the node's rarer shingles and its whole weight.
+    Two nodes that reach the threshold share one of them: what is left weighs
+    less than the threshold asks to be common.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = [[], [], [], []]
+            for node, data in zip(pdf["node"], pdf["shingles"]):
+                distinct, weights = weighted(np.frombuffer(data, np.uint64), idf.value)
+                order = np.lexsort((distinct, -idf.value[df_bin(distinct)]))
+                before = np.cumsum(weights[order], dtype=float)
+                total = before[-1] if len(before) else 0.0
+                before = np.concatenate([[0.0], before[:-1]])
+                n = int(np.searchsorted(before, (1 - threshold + SLACK) * total, "right")) if total else 0
+                for column, values in zip(out, (np.full(n, node), distinct[order[:n]].view(np.int64), before[:n], np.full(n, total))):
+                    column.append(values)
+            yield pd.DataFrame(dict(zip(("node", "shingle", "before", "total"), map(np.concatenate, out))))
+
+    return run
+
+
 def compare(pairs: DataFrame, features: DataFrame, idf) -> DataFrame:
     """``pairs`` (a, b) with their ``similarity``."""
 
@@ -164,6 +192,15 @@ def compare(pairs: DataFrame, features: DataFrame, idf) -> DataFrame:
     return pairs.join(right, "b").join(left, "a").mapInPandas(run, "a long, b long, similarity double")
 
 
+def _outside(buckets: DataFrame, second: DataFrame, classes: DataFrame) -> DataFrame:
+    """(key, node, second) of the nodes in a bucket whose class is not that of the second pivot."""
+    of_second = second.join(classes.withColumnRenamed("node", "second"), "second", "left").select(
+        "key", "second", F.coalesce("class_id", "second").alias("second_class"))
+    placed = buckets.select("key", "node").join(classes, "node", "left").select(
+        "key", "node", F.coalesce("class_id", "node").alias("class_id"))
+    return placed.join(of_second, "key").filter("class_id <> second_class").select("key", "node", "second")
+
+
 def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, class_id) of every row: the smallest id that it is linked with, over any number of links."""
     context = docs.sparkSession.sparkContext
@@ -174,9 +211,7 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     nodes = stored(signed.groupBy("h1", "h2").agg(F.min("doc_id").alias("node")), "nodes")
     members = stored(
         signed.join(nodes, ["h1", "h2"]).select(
-            "doc_id",
-            # Nothing to compare: a class of its own.
-            F.when(F.size("keys") > 0, F.col("node")).otherwise(F.col("doc_id")).alias("node"),
+            "doc_id", "node",
             F.when(F.col("doc_id") == F.col("node"), F.col("keys")).alias("keys")),
         "members")
     same_id = members.groupBy("doc_id").agg(F.min("node").alias("a"), F.collect_set("node").alias("others"))
@@ -200,20 +235,30 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     links = stored(compared.filter(F.col("similarity") >= threshold).select("a", "b").union(same_id), "links")
     classes = connected(links)
 
-    # Pairs of a bucket in different classes that the pivot does not rule out.
-    known = classes.select("node", "class_id")
-    pivot_class = known.select(F.col("node").alias("pivot"), F.col("class_id").alias("pivot_class"))
-    placed = stored(
-        buckets.filter("node <> pivot")
-        .join(compared.select(F.col("a").alias("pivot"), F.col("b").alias("node"), (1 - F.col("similarity")).alias("far")), ["pivot", "node"])
-        .join(known, "node", "left").join(pivot_class, "pivot", "left")
-        .select("key", "node", "far", F.coalesce("class_id", "node").alias("class_id"),
-                F.coalesce("pivot_class", "pivot").alias("pivot_class")), "placed")
-    outside = placed.filter("class_id <> pivot_class").select(
-        "key", F.col("node").alias("o"), F.col("far").alias("o_far"), F.col("class_id").alias("o_class"))
-    rest = outside.join(placed, "key").filter(
-        (F.col("o_class") != F.col("class_id")) & (F.abs(F.col("o_far") - F.col("far")) <= 1 - threshold + 1e-9))
-    rest = rest.select(F.least("o", "node").alias("a"), F.greatest("o", "node").alias("b")).distinct()
+    # A second pivot: the node nearest to the first one, which in a group of edited
+    # copies is a little edited one.
+    distances = buckets.filter("node <> pivot").join(
+        compared.select(F.col("a").alias("pivot"), F.col("b").alias("node"), "similarity"), ["pivot", "node"])
+    second = stored(distances.groupBy("key").agg(F.max_by("node", F.struct("similarity", -F.col("node"))).alias("second")), "second")
+    outside = stored(_outside(buckets, second, classes), "outside")
+    star = outside.select(F.least("node", "second").alias("a"), F.greatest("node", "second").alias("b")).distinct()
+    near = stored(compare(star, features, idf).filter(F.col("similarity") >= threshold).select("a", "b"), "near")
+    links = stored(links.union(near), "links")
+    classes = connected(links)
+
+    # What is still outside is compared with whatever shares a shingle of its prefix.
+    outside = stored(_outside(buckets, second, classes), "outside")
+    crowd = buckets.join(outside.select("key").distinct(), "key", "left_semi").select("node").distinct()
+    prefixes = stored(
+        features.join(crowd, "node", "left_semi").mapInPandas(_prefixes(idf, threshold), "node long, shingle long, before double, total double")
+        .join(classes, "node", "left").select("node", "shingle", "before", "total", F.coalesce("class_id", "node").alias("class_id")), "prefixes")
+    few = prefixes.join(outside.select("node").distinct(), "node", "left_semi").select(
+        "shingle", *[F.col(c).alias(f"o_{c}") for c in ("node", "before", "total", "class_id")])
+    # At the first shingle that both share, what follows must weigh enough to be common.
+    left_over = F.least(F.col("total") - F.col("before"), F.col("o_total") - F.col("o_before"))
+    needed = (threshold / (1 + threshold) - SLACK) * (F.col("total") + F.col("o_total"))
+    rest = few.join(prefixes, "shingle").filter((F.col("o_class_id") != F.col("class_id")) & (left_over >= needed)).select(
+        F.least("o_node", "node").alias("a"), F.greatest("o_node", "node").alias("b")).distinct()
     late = stored(compare(rest, features, idf).filter(F.col("similarity") >= threshold).select("a", "b"), "late")
     if not late.isEmpty():
         classes = connected(links.union(late))
