@@ -37,7 +37,7 @@ from .common import doc_texts, stored
 SEED_WORDS = 3
 RARE_FACTOR = 2
 MATCH, MISMATCH, GAP = 2, -1, -1
-THRESHOLD = 0.6
+THRESHOLD = 0.5
 BLOCK_WORDS = 200_000
 WINDOWS_AT_ONCE = 256
 WORD = re.compile(r"[^\W_]+")

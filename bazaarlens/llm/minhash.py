@@ -18,7 +18,8 @@
    proven dissimilar, or in one class already, and no bucket is listed as all
    pairs.
 
-Rows that share an id are one document. Texts without a word, null ones too, are
+Rows that share an id are one document; if their texts differ, copies of any of
+them count, near copies only of the smallest one. Texts without a word, null ones too, are
 copies of each other; each row without an id stands alone, its class is null. Shorter texts than a shingle are one shingle.
 Other columns are carried along unread.
 """

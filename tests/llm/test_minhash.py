@@ -20,8 +20,12 @@ def direct(rows, threshold=M.THRESHOLD):
     for _, text in rows:
         df[np.unique(M.df_bin(word_shingles(text, M.SHINGLE)))] += 1
     idf = M.idf_table(df, len(rows))
-    known = [(i, word_shingles(t, M.SHINGLE), " ".join((t or "").lower().split())) for i, t in rows if i is not None]
-    parent = {i: i for i, _, _ in known}
+    words = lambda t: " ".join((t or "").lower().split())
+    node = {}
+    for i, t in rows:
+        if i is not None:
+            node[words(t)] = min(i, node.get(words(t), i))
+    parent = {i: i for i, _ in rows if i is not None}
 
     def root(x):
         while parent[x] != x:
@@ -32,15 +36,19 @@ def direct(rows, threshold=M.THRESHOLD):
         a, b = root(a), root(b)
         parent[max(a, b)] = min(a, b)
 
-    holders, same = {}, {}
-    for k, (i, shingles, words) in enumerate(known):
-        join(i, same.setdefault(words, i))
-        for s in set(shingles.tolist()):
-            holders.setdefault(s, []).append(k)
+    smallest, holders = {}, {}
+    for i, t in rows:
+        if i is not None:
+            join(i, node[words(t)])
+            smallest[i] = min(t or "", smallest.get(i, t or ""))
+    shingles = {n: word_shingles(smallest[n], M.SHINGLE) for n in set(node.values())}
+    for n, own in shingles.items():
+        for s in set(own.tolist()):
+            holders.setdefault(s, []).append(n)
     common = Counter((a, b) for h in holders.values() for a in h for b in h if a < b)
-    for (a, b), n in common.items():
-        if root(known[a][0]) != root(known[b][0]) and M.similarity(known[a][1], known[b][1], idf) >= threshold:
-            join(known[a][0], known[b][0])
+    for a, b in common:
+        if root(a) != root(b) and M.similarity(shingles[a], shingles[b], idf) >= threshold:
+            join(a, b)
     return sorted(str((i, None if i is None else root(i))) for i, _ in rows)
 
 
