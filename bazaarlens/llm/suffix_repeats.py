@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -41,9 +42,10 @@ from .shingles import POWERS, mix, prefix_hashes, span_hashes
 
 MIN_LEN = 400
 KEY_LEN = 100
-MAX_SEGMENTS = 256
+MAX_SEGMENTS = 1024
 CHUNK = 1 << 21  # positions of a text looked at together
-ARRAY_BYTES = 1 << 21  # bytes of segments per suffix array
+ARRAY_BYTES = 1 << 19  # bytes of segments per suffix array
+TAILS_AT_ONCE = 1 << 14
 _PLACE = np.uint64((1 << 22) - 1)
 _OTHER = np.random.Generator(np.random.Philox(23)).integers(1, 1 << 63, 256, dtype=np.uint64)
 
@@ -114,67 +116,56 @@ def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 class SuffixArray:
     """Suffixes of several segments in order, with the common prefix of neighbours.
 
-    Suffixes end with their segment. Only those with at least ``min_len`` bytes
-    are kept: no other has a common prefix of that length.
+    Suffixes end with their segment. Only those are kept that share their first
+    ``min_len`` bytes with another one, or begin a segment with copies. They are
+    ordered by those bytes (as a hash: which group comes first does not matter)
+    and within a group by what follows.
     """
 
-    def __init__(self, segments: list[bytes], min_len: int):
+    def __init__(self, segments: list[bytes], copies: np.ndarray, min_len: int):
         sizes = np.array([len(s) for s in segments])
-        text = np.frombuffer(b"".join(segments), np.uint8).astype(np.int64) + 1
-        n = len(text)
-        segment = np.repeat(np.arange(len(segments)), sizes)
+        text = np.frombuffer(b"".join(segments), np.uint8)
         ends = np.cumsum(sizes)
-        left = ends[segment] - np.arange(n)  # bytes to the end of the segment
-        # Ranks of prefixes of 7 bytes, then of twice as many until a segment fits.
-        length, code = 7, np.zeros(n, np.int64)
-        for j in range(7):
-            following = np.zeros(n, np.int64)
-            following[: n - j] = np.where(left[: n - j] > j, text[j:], 0)
-            code = code * 257 + following
-        ranks = [self._rank(code)]
-        while length < sizes.max():
-            following = np.zeros(n, np.int64)
-            following[: n - length] = np.where(left[: n - length] > length, ranks[-1][length:] + 1, 0)
-            ranks.append(self._rank(ranks[-1].astype(np.int64) * (n + 1) + following))
-            length *= 2
-        kept = np.flatnonzero(left >= min_len)
-        self.suffixes = kept[np.argsort(ranks[-1][kept], kind="stable")]
-        self.segment, self.left = segment[self.suffixes], left[self.suffixes]
-        self.pos = self.suffixes - (ends - sizes)[self.segment]
+        counts = sizes - min_len + 1
+        segment = np.repeat(np.arange(len(segments)), counts)
+        pos = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        start = (ends - sizes)[segment] + pos
+        prefix = span_hashes(prefix_hashes(text), start, start + min_len)
+        _, group, members = np.unique(prefix, return_inverse=True, return_counts=True)
+        kept = np.flatnonzero((members[group] > 1) | ((pos == 0) & (copies[segment] > 1)))
+        start, group, segment, pos = start[kept], group[kept], segment[kept], pos[kept]
+        rest = ends[segment] - start - min_len  # bytes after the prefix
+        width = int(rest.max()) if len(rest) else 0
+        order = np.argsort(group, kind="stable")
+        if width:
+            padded = np.concatenate([text, np.zeros(width, np.uint8)])
+            tails = np.lib.stride_tricks.sliding_window_view(padded, width)[start + min_len]
+            for at in range(0, len(tails), TAILS_AT_ONCE):
+                part = tails[at:at + TAILS_AT_ONCE]
+                part[np.arange(width) >= rest[at:at + TAILS_AT_ONCE, None]] = 0
+            by_tail = np.argsort(tails.view(f"S{width}").ravel(), kind="stable")
+            order = by_tail[np.argsort(group[by_tail], kind="stable")]
+        self.segment, self.pos = segment[order], pos[order]
+        self.left = rest[order] + min_len
         # Byte before each suffix; -1 at the start of a segment.
-        self.before = np.where(self.pos > 0, text[self.suffixes - 1], -1)
-        self.lcp = self._common(text, ranks, left, length)
-
-    @staticmethod
-    def _rank(code: np.ndarray) -> np.ndarray:
-        return np.unique(code, return_inverse=True)[1].astype(np.int32)
-
-    def _common(self, text, ranks, left, length) -> np.ndarray:
-        """Common prefix of each suffix with the one before it; 0 for the first."""
-        a, b = self.suffixes[:-1].copy(), self.suffixes[1:].copy()
-        limit = np.minimum(left[a], left[b])
-        common = np.zeros(len(a), np.int64)
-        for rank in ranks[::-1]:
-            inside = common + length <= limit
-            same = inside & (rank[np.where(inside, a, 0)] == rank[np.where(inside, b, 0)])
-            common[same] += length
-            a[same] += length
-            b[same] += length
-            length //= 2
-        # At most 6 more bytes agree.
-        going = np.ones(len(a), bool)
-        for _ in range(6):
-            going &= common < limit
-            going &= text[np.where(going, a, 0)] == text[np.where(going, b, 0)]
-            common[going] += 1
-            a[going] += 1
-            b[going] += 1
-        return np.concatenate([[0], common]) if len(self.suffixes) else common
+        self.before = np.where(self.pos > 0, text[start[order] - 1].astype(np.int64), -1)
+        # Common prefix of each suffix with the one before it; 0 for the first of a group.
+        self.lcp = np.zeros(len(order), np.int64)
+        grouped = group[order]
+        for at in range(1, len(order), TAILS_AT_ONCE):
+            here = order[at:at + TAILS_AT_ONCE]
+            there = order[at - 1:at - 1 + len(here)]
+            common = np.full(len(here), min_len)
+            if width:
+                differs = tails[here] != tails[there]
+                first = np.where(differs.any(axis=1), differs.argmax(axis=1), width)
+                common = min_len + np.minimum(first, np.minimum(rest[here], rest[there]))
+            self.lcp[at:at + len(here)] = np.where(grouped[at:at + len(here)] == grouped[at - 1:at - 1 + len(here)], common, 0)
 
 
 def repeat_groups(array: SuffixArray, copies: np.ndarray, min_len: int) -> Iterator[tuple[int, int, int]]:
     """(first, last, length) in the suffix array of every repeat that no common left byte extends."""
-    n = len(array.suffixes)
+    n = len(array.segment)
     opens = array.before < 0
     differs = np.zeros(n, np.int64)
     differs[1:] = array.before[1:] != array.before[:-1]
@@ -210,26 +201,42 @@ def repeat_groups(array: SuffixArray, copies: np.ndarray, min_len: int) -> Itera
             yield first, previous, length
 
 
-def _array_places(rows: pd.DataFrame) -> pd.DataFrame:
-    array = SuffixArray(list(rows["bytes"]), MIN_LEN)
-    names, lengths, members = [], [], []
-    pieces = list(rows["bytes"])
-    for first, last, length in repeat_groups(array, rows["copies"].to_numpy(), MIN_LEN):
-        p = int(array.pos[first])
-        content = pieces[int(array.segment[first])][p:p + length]
-        names.append(int.from_bytes(hashlib.blake2b(content, digest_size=8).digest(), "little", signed=True))
-        lengths.append(length)
-        members.append(np.arange(first, last + 1))
-    if not members:
-        return pd.DataFrame({c: [] for c in ("repeat", "length", *SEGMENT, "pos")})
-    n, at = [len(m) for m in members], np.concatenate(members)
+def _names(pieces: list[bytes], array: SuffixArray, members: np.ndarray, lengths: np.ndarray) -> list[int]:
+    """A 64-bit name of each repeated string."""
+    contents = (pieces[s][p:p + n] for s, p, n in zip(array.segment[members].tolist(), array.pos[members].tolist(), lengths.tolist()))
+    return [int.from_bytes(hashlib.blake2b(c, digest_size=8).digest(), "little", signed=True) for c in contents]
+
+
+def _array_places(rows: pd.DataFrame, every_group: bool) -> pd.DataFrame:
+    """All places of all repeat groups, or only those that add to what is covered of a segment."""
+    pieces, copies = list(rows["bytes"]), rows["copies"].to_numpy()
+    array = SuffixArray(pieces, copies, MIN_LEN)
+    longest = np.zeros(len(array.segment), np.int64)
+    members, lengths = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for first, last, length in repeat_groups(array, copies, MIN_LEN):
+        if every_group:
+            members.append(np.arange(first, last + 1))
+            lengths.append(np.full(last - first + 1, length))
+        else:
+            own = longest[first:last + 1]
+            np.maximum(own, length, out=own)
+    if not every_group:
+        found = np.flatnonzero(longest)
+        found = found[np.lexsort((array.pos[found], array.segment[found]))]
+        segment, end = array.segment[found], array.pos[found] + longest[found]
+        # Ends of later segments are larger, so one running maximum serves all.
+        end = end + segment * (int(array.left.max(initial=0)) * 2 + 1)
+        reached = np.maximum.accumulate(np.concatenate([[-1], end[:-1]])) if len(end) else end
+        found = found[end > reached]
+        members, lengths = [found], [longest[found]]
+    at, length = np.concatenate(members), np.concatenate(lengths)
     own = rows.iloc[array.segment[at]]
     return pd.DataFrame({
-        "repeat": np.repeat(names, n), "length": np.repeat(lengths, n).astype(np.int32),
+        "repeat": np.array(_names(pieces, array, at, length), np.int64), "length": length.astype(np.int32),
         **{c: own[c].to_numpy() for c in SEGMENT}, "pos": array.pos[at].astype(np.int32)})
 
 
-def _arrays(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _arrays(batches: Iterator[pd.DataFrame], every_group: bool) -> Iterator[pd.DataFrame]:
     """Rows arrive ordered by key; arrays end where a bucket ends."""
     held: list[pd.DataFrame] = []
     for pdf in batches:
@@ -244,10 +251,10 @@ def _arrays(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if last == len(pdf):  # the bucket may go on
                 held.append(pdf)
                 break
-            yield _array_places(pd.concat([*held, pdf.iloc[:last]]))
+            yield _array_places(pd.concat([*held, pdf.iloc[:last]]), every_group)
             held, pdf = [], pdf.iloc[last:]
     if held:
-        yield _array_places(pd.concat(held))
+        yield _array_places(pd.concat(held), every_group)
 
 
 def _positions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -265,7 +272,7 @@ def _with_keys(docs: DataFrame) -> DataFrame:
         "doc_id", "text", F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64(F.lit("row"), "text", "doc_id").alias("k2"))
 
 
-def places(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def places(docs: DataFrame, every_group: bool = False) -> tuple[DataFrame, DataFrame]:
     """The windows (k1, k2, start, count, key, h1, h2) that may repeat, and the repeat groups' places in their segments."""
     texts = _with_keys(docs)
     windows = stored(texts.select("text", *ROW).mapInPandas(
@@ -283,7 +290,7 @@ def places(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     crowded = stored(cut.groupBy("key").count().filter(F.col("count") > MAX_SEGMENTS).select("key"), "crowded")
 
     few = cut.join(crowded, "key", "left_anti").repartition("key").sortWithinPartitions("key")
-    found = few.mapInPandas(_arrays, PLACE)
+    found = few.mapInPandas(partial(_arrays, every_group=every_group), PLACE)
 
     positions = stored(cut.join(crowded, "key", "left_semi").mapInPandas(
         _positions, "g1 long, g2 long, copies long, key long, h1 long, h2 long, pos int"), "positions")
@@ -295,7 +302,7 @@ def places(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def groups(docs: DataFrame) -> DataFrame:
     """All repeat groups with all occurrences: repeat, length, doc_id, start (in bytes)."""
-    windows, found = places(docs)
+    windows, found = places(docs, every_group=True)
     ids = _with_keys(docs).select("doc_id", *ROW)
     return found.join(windows, SEGMENT).join(ids, ROW).select(
         "repeat", "length", "doc_id", (F.col("start") + F.col("pos")).alias("start"))
