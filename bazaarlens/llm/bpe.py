@@ -1,10 +1,12 @@
 """Byte-level BPE over Arrow batches with the tokenizers library.
 
-Texts are encoded whole, in groups of about ``GROUP_CHARS`` characters. A
-byte-level vocabulary spells each byte as one printable character; decoding maps
-the characters of the tokens back through that table, so that a code point
-whose bytes lie in several tokens is put together again. Offsets are positions
-in the text; tokens that share a code point have the same offset.
+Texts are split whole by the vocabulary's pattern. A byte-level vocabulary spells
+each byte as one printable character; each piece is spelled so and handed to the
+library's BPE model, whose result is remembered for up to ``REMEMBERED`` pieces.
+Decoding maps the characters of the tokens back through the table, so that a
+code point whose bytes lie in several tokens is put together again. Offsets are
+positions in the text, from the characters of the pieces; tokens that share a
+code point overlap there.
 
 Null and empty texts have no token and decode to the empty string. A row
 without an id is encoded like others, repeated rows alike. Strings that spell
@@ -14,9 +16,8 @@ special tokens are ordinary text. Other columns are not read.
 from __future__ import annotations
 
 import hashlib
-import os
-from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from .common import doc_texts
 
 VOCABULARY = "byte_bpe_50k.json"
-GROUP_CHARS = 200_000
+REMEMBERED = 1 << 18
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -48,28 +49,54 @@ class Codec:
     """Encoder and decoder of one vocabulary file."""
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
+        import public_tokenizers
+        import regex
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.split = regex.compile(public_tokenizers.PATTERN).findall
+        tokenizer = Tokenizer.from_file(path)
+        self.model = tokenizer.model
         byte = byte_characters()
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.spelling = {b: c for c, b in byte.items()}
+        vocabulary = tokenizer.get_vocab(with_added_tokens=False)
         self.bytes_of = [b""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
             if all(c in byte for c in token):
                 self.bytes_of[i] = bytes(byte[c] for c in token)
-
-    def encode(self, texts: list[str]) -> Iterator:
-        """One encoding (ids, offsets) per text, in order."""
-        group, size = [], 0
-        for text in texts:
-            group.append(text)
-            size += len(text)
-            if size >= GROUP_CHARS:
-                yield from self.tokenizer.encode_batch(group, add_special_tokens=False)
-                group, size = [], 0
-        yield from self.tokenizer.encode_batch(group, add_special_tokens=False)
+        self.number = [str(i) for i in range(len(self.bytes_of))]
+        self.known: dict[str, tuple[int, ...]] = {}
+
+    def piece(self, piece: str) -> tuple[int, ...]:
+        """The ids of one match of the pattern."""
+        ids = self.known.get(piece)
+        if ids is None:
+            spelled = piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.spelling)
+            ids = tuple(t.id for t in self.model.tokenize(spelled))
+            if len(self.known) >= REMEMBERED:
+                self.known.clear()
+            self.known[piece] = ids
+        return ids
+
+    def encode(self, text: str) -> list[int]:
+        return list(chain.from_iterable(map(self.piece, self.split(text))))
+
+    def offsets(self, text: str) -> tuple[list[int], list[int]]:
+        """First and last-but-one character of every token."""
+        starts, ends, at = [], [], 0
+        for piece in self.split(text):
+            # The character that each byte of the piece belongs to.
+            owner = [at + k for k, c in enumerate(piece) for _ in c.encode("utf-8", "surrogatepass")]
+            byte = 0
+            for i in self.piece(piece):
+                starts.append(owner[byte])
+                byte += len(self.bytes_of[i])
+                ends.append(owner[byte - 1] + 1)
+            at += len(piece)
+        return starts, ends
+
+    def written(self, ids: list[int]) -> str:
+        """The ids in decimal, joined by blanks."""
+        return " ".join(map(self.number.__getitem__, ids))
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -86,13 +113,13 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
     path = path or vocabulary_path()
 
     def run(batches):
+        own = codec(path)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for doc_id, e in zip(batch.column("doc_id").to_pylist(), codec(path).encode(texts)):
-                starts, ends = [a for a, _ in e.offsets], [b for _, b in e.offsets]
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+                starts, ends = own.offsets(text)
+                columns = {"ids": own.encode(text), "starts": starts, "ends": ends}
                 yield pa.RecordBatch.from_pydict(
-                    {"doc_id": pa.array([doc_id], pa.int64()), **{
-                        k: pa.array([v], pa.list_(pa.int32())) for k, v in (("ids", e.ids), ("starts", starts), ("ends", ends))}})
+                    {"doc_id": pa.array([doc_id], pa.int64()), **{k: pa.array([v], pa.list_(pa.int32())) for k, v in columns.items()}})
 
     return doc_texts(docs).select("doc_id", "text").mapInArrow(
         run, "doc_id long, ids array<int>, starts array<int>, ends array<int>")
@@ -118,10 +145,10 @@ def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
         own = codec(path)
         for batch in batches:
             counts, ids_hash, data_hash = [], [], []
-            for e in own.encode(batch.column("text").to_pylist()):
-                ids = e.ids
+            for text in batch.column("text").to_pylist():
+                ids = own.encode(text)
                 counts.append(len(ids))
-                ids_hash.append(hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest())
+                ids_hash.append(hashlib.sha256(own.written(ids).encode()).hexdigest())
                 data_hash.append(hashlib.sha256(own.decode(ids)).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids_hash), pa.array(data_hash)],
