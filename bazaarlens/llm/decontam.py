@@ -1,13 +1,14 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
-
-1. Every run of SEED_WORDS words of a benchmark item is a seed. The documents
-   that hold each seed are counted over the whole corpus. A seed is rare if no
-   more than RARE_FACTOR times as many documents hold it as the median seed of its
-   item; an item that leaked everywhere so keeps its seeds.
-2. Where a document holds a rare seed, the words around it that could belong to
-   the item, plus some room for insertions, form a window; overlapping windows
-   are joined.
-3. The item is aligned with each window by Smith-Waterman over words. The score
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
+
+1. Every run of SEED_WORDS words of a benchmark item is a seed, however many
+   documents hold it: an edited copy may hold only a common one.
+2. Where a document holds a seed, the words around it that an alignment of the
+   threshold can reach form a window: MISMATCH and GAP bound the words that can
+   be inserted. Overlapping windows are joined.
+3. A window is left out if too few of the item's words occur in it for the
+   threshold, were all of them in order. So common seeds cost no alignment, and
+   every alignment of the threshold that holds a seed is found.
+4. The item is aligned with each window by Smith-Waterman over words. The score
    divided by that of a perfect match is the similarity; a document with
    THRESHOLD or more leaks the item.
 
@@ -35,11 +36,11 @@ from pyspark.sql import functions as F
 from .common import doc_texts, stored
 
 SEED_WORDS = 3
-RARE_FACTOR = 2
 MATCH, MISMATCH, GAP = 2, -1, -1
 THRESHOLD = 0.5
 BLOCK_WORDS = 200_000
 WINDOWS_AT_ONCE = 256
+SLACK = 1e-9
 WORD = re.compile(r"[^\W_]+")
 
 
@@ -58,6 +59,7 @@ class Index:
     seed_of: np.ndarray  # for each place: position in ``seeds``, in order
     item_of: np.ndarray
     offset_of: np.ndarray
+    lengths: np.ndarray  # words of each item
 
     def code(self, ids: np.ndarray) -> np.ndarray:
         """Codes of all runs of SEED_WORDS words; 0 where a word is not in the block."""
@@ -94,7 +96,8 @@ def build_index(rows: list[tuple[int, str]]) -> Index:
         if len(w) >= SEED_WORDS:
             item_ids.append(item_id)
             items.append(np.array([number.setdefault(x, len(number) + 1) for x in w], np.int64))
-    index = Index(item_ids, items, number, *[np.zeros(0, np.int64)] * 4)
+    lengths = np.array([len(x) for x in items], np.int64)
+    index = Index(item_ids, items, number, *[np.zeros(0, np.int64)] * 4, lengths)
     codes = [index.code(x) for x in items]
     if codes:
         flat = np.concatenate(codes)
@@ -105,30 +108,19 @@ def build_index(rows: list[tuple[int, str]]) -> Index:
     return index
 
 
-def rare_places(index: Index, df: np.ndarray, factor: float = RARE_FACTOR) -> np.ndarray:
-    """For each place of a seed, whether it is rare within its item."""
-    rare = np.zeros(len(index.seed_of), bool)
-    place_df = df[index.seed_of]
-    for item in range(len(index.items)):
-        own = index.item_of == item
-        rare[own] = place_df[own] <= factor * np.median(place_df[own])
-    return rare
-
-
-def windows(index: Index, rare: np.ndarray, ids: np.ndarray) -> list[tuple[int, int, int]]:
-    """(item, start, end) of the joined windows around rare seeds."""
+def windows(index: Index, ids: np.ndarray, threshold: float = THRESHOLD) -> list[tuple[int, int, int]]:
+    """(item, start, end) of the joined windows around seeds that may hold an alignment of the threshold."""
     at, seed = index.found(ids)
     if not len(at):
         return []
     first, last = np.searchsorted(index.seed_of, seed, "left"), np.searchsorted(index.seed_of, seed, "right")
     n = last - first
     place = np.repeat(first, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    at, place = np.repeat(at, n)[rare[place]], place[rare[place]]
-    if not len(at):
-        return []
+    at = np.repeat(at, n)
     item = index.item_of[place]
-    length = np.array([len(x) for x in index.items])[item]
-    room = length // 4 + SEED_WORDS
+    length = index.lengths[item]
+    # A perfect match less one GAP per inserted word must reach the threshold.
+    room = (MATCH * length * max(1 - threshold, 0) / -GAP + SLACK).astype(np.int64)
     start = np.maximum(at - index.offset_of[place] - room, 0)
     end = np.minimum(at - index.offset_of[place] + length + room, len(ids))
     out: list[tuple[int, int, int]] = []
@@ -138,7 +130,8 @@ def windows(index: Index, rare: np.ndarray, ids: np.ndarray) -> list[tuple[int,
             out[-1] = (i, out[-1][1], max(b, out[-1][2]))
         else:
             out.append((i, a, b))
-    return out
+    return [(i, a, b) for i, a, b in out
+            if np.isin(index.items[i], ids[a:b]).sum() >= threshold * len(index.items[i]) - SLACK]
 
 
 def align(item: np.ndarray, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -174,31 +167,12 @@ def _blocks(benchmark: DataFrame, block_words: int) -> Iterator[Index]:
         yield build_index([(r["item_id"], r["text"]) for r in own.collect()])
 
 
-def _document_counts(texts: DataFrame, shared) -> np.ndarray:
-    """Documents that hold each seed of the block."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        index = shared.value
-        df = np.zeros(len(index.seeds), np.int64)
-        for pdf in batches:
-            for text in pdf["text"]:
-                df[np.unique(index.found(index.numbers(text))[1])] += 1
-        seen = np.flatnonzero(df)
-        yield pd.DataFrame({"seed": seen, "n": df[seen]})
-
-    counts = texts.select("text").mapInPandas(run, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n"))
-    df = np.zeros(len(shared.value.seeds), np.int64)
-    for r in counts.collect():  # at most the seeds of one block
-        df[r["seed"]] = r["n"]
-    return df
-
-
-def _matches(texts: DataFrame, shared, rare, threshold: float) -> DataFrame:
+def _matches(texts: DataFrame, shared, threshold: float) -> DataFrame:
     def scored(pdf: pd.DataFrame, index: Index) -> list[tuple]:
         work: dict[int, list[tuple]] = {}
         for row, (doc_id, key, text) in enumerate(zip(pdf["doc_id"], pdf["row_key"], pdf["text"])):
             ids = index.numbers(text)
-            for item, a, b in windows(index, rare.value, ids):
+            for item, a, b in windows(index, ids, threshold):
                 work.setdefault(item, []).append((b - a, row, doc_id, key, a, ids[a:b]))
         best: dict[tuple, tuple] = {}
         for item, found in work.items():
@@ -230,8 +204,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, b
     found = None
     for index in _blocks(benchmark, block_words):
         shared = context.broadcast(index)
-        rare = context.broadcast(rare_places(index, _document_counts(texts, shared)))
-        part = _matches(texts, shared, rare, threshold)
+        part = _matches(texts, shared, threshold)
         found = part if found is None else found.union(part)
     return found if found is not None else docs.sparkSession.createDataFrame(
         [], "doc_id long, row_key long, item_id long, similarity double, start_word long, end_word long")

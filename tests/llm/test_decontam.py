@@ -81,6 +81,31 @@ def test_item_in_every_document_keeps_its_seeds(spark, case):
     assert {(r["doc_id"], r["item_id"]) for r in got} == {(i, 0) for i in range(50)}
 
 
+def test_one_heavily_edited_copy_against_plain_alignment(spark):
+    """Every document holds at most one copy of an item, and no other document holds its seeds."""
+    ship_package(spark)
+    rnd = random.Random(9)
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(6))
+    prose = lambda n: [word() for _ in range(n)]
+    items, docs = [(i, " ".join(prose(40))) for i in range(9)], []
+    for i, text in items:
+        w = text.split(" ")
+        if i < 3:  # every fifth word replaced
+            w = [word() if k % 5 == 4 else x for k, x in enumerate(w)]
+        elif i < 5:  # words inserted after every third one
+            w = [y for k, x in enumerate(w) for y in ([x] + prose(2) if k % 3 == 2 else [x])]
+        elif i < 7:  # one seed is left, and other documents hold it
+            w = [word() if k > 2 and k % 4 == 3 else x for k, x in enumerate(w)]
+            docs += [(100 * i + k, " ".join(prose(50) + w[:3] + prose(50))) for k in range(30)]
+        else:  # all words inserted in one place
+            w = w[:20] + prose(36) + w[20:]
+        docs.append((i, " ".join(prose(60) + w + prose(60))))
+    got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in D.leaks(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    plain = {(d, i): plain_score(t.split(" "), u.split(" ")) / (D.MATCH * 40) for d, u in docs for i, t in items if d == i or d // 100 == i}
+    assert got == {k: round(s, 6) for k, s in plain.items() if s >= D.THRESHOLD} and len(got) == 9
+
+
 def test_whole_words_of_the_test_data(spark):
     rows = spark.read.parquet(f"{SMALL}/documents.parquet").collect()
     items = spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()
