@@ -16,8 +16,9 @@ Words are runs of letters and digits, lower-cased. The benchmark is taken in
 blocks of about BLOCK_WORDS words, each one held by the executors while the
 documents pass by; the documents are not shuffled.
 
-Items without text or with fewer than SEED_WORDS words match nothing; repeated
-items count once. Null and empty texts leak nothing. Repeated rows and rows
+Items without a word match nothing; the seed of an item with fewer than SEED_WORDS
+words is the whole of it. Repeated items count once; an item without an id is
+reported with a null id unless one with an id has the same text. Null and empty texts leak nothing. Repeated rows and rows
 without an id are reported each. Other columns are carried along unread.
 """
 
@@ -52,7 +53,7 @@ def words_of(text: str | None) -> list[str]:
 class Index:
     """One block of benchmark items: words as numbers from 1, seeds as sorted codes."""
 
-    item_ids: list[int]
+    item_ids: list[int | None]
     items: list[np.ndarray]
     number: dict[str, int]
     seeds: np.ndarray  # distinct codes in order
@@ -60,15 +61,16 @@ class Index:
     item_of: np.ndarray
     offset_of: np.ndarray
     lengths: np.ndarray  # words of each item
+    runs: list[int]  # words of a seed: SEED_WORDS, and the lengths of shorter items
 
-    def code(self, ids: np.ndarray) -> np.ndarray:
-        """Codes of all runs of SEED_WORDS words; 0 where a word is not in the block."""
-        n = len(ids) - SEED_WORDS + 1
+    def code(self, ids: np.ndarray, run: int) -> np.ndarray:
+        """Codes of all runs of ``run`` words; 0 where a word is not in the block."""
+        n = len(ids) - run + 1
         if n <= 0:
             return np.zeros(0, np.int64)
         size = len(self.number) + 1
         code, known = np.zeros(n, np.int64), np.ones(n, bool)
-        for j in range(SEED_WORDS):
+        for j in range(run):
             part = ids[j:j + n]
             code = code * size + part
             known &= part > 0
@@ -79,26 +81,31 @@ class Index:
 
     def found(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Positions in a text where a seed begins, and which seed."""
-        code = self.code(ids)
-        at = np.flatnonzero(code)
-        if not len(at) or not len(self.seeds):
-            return at[:0], at[:0]
-        s = np.minimum(np.searchsorted(self.seeds, code[at]), len(self.seeds) - 1)
-        hit = self.seeds[s] == code[at]
-        return at[hit], s[hit]
-
-
-def build_index(rows: list[tuple[int, str]]) -> Index:
+        none = np.zeros(0, np.int64)
+        places, seeds = [none], [none]
+        for run in self.runs if len(self.seeds) else ():
+            code = self.code(ids, run)
+            at = np.flatnonzero(code)
+            s = np.minimum(np.searchsorted(self.seeds, code[at]), len(self.seeds) - 1)
+            hit = self.seeds[s] == code[at]
+            places.append(at[hit])
+            seeds.append(s[hit])
+        return np.concatenate(places), np.concatenate(seeds)
+
+
+def build_index(rows: list[tuple[int | None, str]]) -> Index:
     number: dict[str, int] = {}
     item_ids, items = [], []
     for item_id, text in rows:
         w = words_of(text)
-        if len(w) >= SEED_WORDS:
+        if w:
             item_ids.append(item_id)
             items.append(np.array([number.setdefault(x, len(number) + 1) for x in w], np.int64))
     lengths = np.array([len(x) for x in items], np.int64)
-    index = Index(item_ids, items, number, *[np.zeros(0, np.int64)] * 4, lengths)
-    codes = [index.code(x) for x in items]
+    runs = sorted({min(len(x), SEED_WORDS) for x in items})
+    index = Index(item_ids, items, number, *[np.zeros(0, np.int64)] * 4, lengths, runs)
+    # Numbers begin with 1, so codes of runs of different lengths differ.
+    codes = [index.code(x, min(len(x), SEED_WORDS)) for x in items]
     if codes:
         flat = np.concatenate(codes)
         order = np.argsort(flat, kind="stable")
@@ -159,7 +166,9 @@ def align(item: np.ndarray, texts: list[np.ndarray]) -> tuple[np.ndarray, np.nda
 
 def _blocks(benchmark: DataFrame, block_words: int) -> Iterator[Index]:
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    items = items.dropna().distinct()
+    # Without nulls, so that a null id is left only where no item with an id has the text.
+    items = items.dropna(subset=["text"]).groupBy("text").agg(F.collect_set("item_id").alias("ids"))
+    items = items.select(F.explode_outer("ids").alias("item_id"), "text")
     total = items.agg(F.sum(F.size(F.split("text", "\\s+")))).first()[0] or 0
     n = -(-total // block_words)
     for b in range(n):
@@ -191,7 +200,8 @@ def _matches(texts: DataFrame, shared, threshold: float) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pd.DataFrame(scored(pdf, shared.value), columns=["doc_id", "row_key", "item_id", "similarity", "start_word", "end_word"])
+            found = pd.DataFrame(scored(pdf, shared.value), columns=["doc_id", "row_key", "item_id", "similarity", "start_word", "end_word"])
+            yield found.assign(item_id=pd.array(found["item_id"].tolist(), "Int64"))
 
     return texts.mapInPandas(
         run, "doc_id long, row_key long, item_id long, similarity double, start_word long, end_word long")

@@ -125,3 +125,16 @@ def test_awkward_rows_and_items(spark, docs, no_docs):
     assert {r["doc_id"] for r in clean.collect()} & {6} == set()
     assert D.leaks(no_docs, benchmark).count() == 0 and D.leaks(docs, benchmark.limit(0)).count() == 0
     assert D.without_leaks(docs, benchmark.limit(0)).count() == docs.count()
+
+
+def test_items_without_an_id_and_short_items(spark):
+    ship_package(spark)
+    text = " ".join(f"word{k}" for k in range(20))
+    benchmark = spark.createDataFrame(
+        [(None, text), (2**60 + 1, "Zebra stripes"), (3, "quokka"), (4, ""), (5, None), (6, "three small words")], "item_id long, text string")
+    docs = spark.createDataFrame(
+        [(1, f"start {text} end"), (2, "the zebra, stripes and all"), (3, "a Quokka"), (4, "zebra and stripes"), (5, "three small words")],
+        "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"], r["similarity"]) for r in D.leaks(docs, benchmark).collect()}
+    assert got == {(1, None, 1.0), (2, 2**60 + 1, 1.0), (3, 3, 1.0), (5, 6, 1.0)}
+    assert {r["doc_id"] for r in D.without_leaks(docs, benchmark).collect()} == {4}
