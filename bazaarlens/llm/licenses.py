@@ -1,10 +1,13 @@
 """License scan: TF-IDF cosine to templates, then inheritance from the nearest directory.
 
-1. Passages of a text are its lines; a longer line is cut into overlapping
-   windows, so that the whole text is covered. A passage is compared with each
-   template by the cosine of their TF-IDF vectors over words. The document
-   frequencies of the templates' words are counted over all files; any other
-   word weighs like the median of those.
+1. Passages of a text are its lines (of a line of more than 2 WINDOW words,
+   overlapping windows of that many words) and, for each template, every run of
+   as many words of a line as the template has, so that other words around a
+   notice do not matter. A passage is compared with the template by the cosine
+   of their TF-IDF vectors over words. The document frequencies of the
+   templates' words are counted over all files; any other word weighs like the
+   median of those. Only passages that a bound proves to be below THRESHOLD are
+   not compared.
 2. The best template of THRESHOLD or more is the file's own license. A file is a
    licence file if its name says so or if licence passages make up FILE_SHARE
    of its words; its license holds for its directory.
@@ -13,8 +16,8 @@
    deepest match is kept, and files are joined with their directory.
 
 Null and empty texts have no license of their own but inherit. A file without a
-path has no directory and cannot inherit. Of equal cosines the first template
-counts; if several licence files share a directory the one with the highest
+path has no directory and cannot inherit. Of equal cosines the first line, and in
+it the first template counts; if several licence files share a directory the one with the highest
 cosine, then the smallest license name. Repeated rows are treated alike. Other
 columns are not read.
 """
@@ -27,6 +30,7 @@ from collections.abc import Iterator
 from math import log, sqrt
 from statistics import median
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +40,7 @@ from .common import ship_package, stored
 THRESHOLD = 0.6
 FILE_SHARE = 0.5
 WINDOW = 40  # words
+SLACK = 1e-9  # of a cosine, for sums in floating point
 WORD = re.compile(r"[a-z0-9]+(?:\.[0-9]+)?")
 FILE_NAME = r"(?i)^(licen[cs]e|copying|notice)([.-].*)?$"
 
@@ -67,6 +72,8 @@ def words_of(text: str) -> list[str]:
 
 
 VOCABULARY = sorted({w for _, t in TEMPLATES for w in words_of(t)})
+NUMBER = {w: i for i, w in enumerate(VOCABULARY)}
+LENGTHS = [len(words_of(t)) for _, t in TEMPLATES]
 
 
 class Matcher:
@@ -80,12 +87,18 @@ class Matcher:
             vector = {w: n * self.idf[w] for w, n in Counter(words_of(text)).items()}
             norm = sqrt(sum(x * x for x in vector.values()))
             self.vectors.append((name, {w: x / norm for w, x in vector.items()}))
+        # Per template and word of the vocabulary, then per other word: the unit vector.
+        self.units = np.array([[v.get(w, 0.0) for w in VOCABULARY] + [0.0] for _, v in self.vectors])
+        self.weights = np.array([self.idf[w] for w in VOCABULARY] + [self.other])
+
+    def _weighted(self, passage: list[str]) -> tuple[dict[str, float], float]:
+        """TF-IDF vector of a passage, and its length."""
+        weights = {w: n * self.idf.get(w, self.other) for w, n in Counter(passage).items()}
+        return weights, sqrt(sum(x * x for x in weights.values()))
 
     def best(self, passage: list[str]) -> tuple[float, str | None]:
         """Cosine and license of the nearest template."""
-        counts = Counter(passage)
-        weights = {w: n * self.idf.get(w, self.other) for w, n in counts.items()}
-        norm = sqrt(sum(x * x for x in weights.values()))
+        weights, norm = self._weighted(passage)
         top: tuple[float, str | None] = (0.0, None)
         for name, vector in self.vectors:
             cosine = sum(x * weights[w] for w, x in vector.items() if w in weights) / norm if norm else 0.0
@@ -93,26 +106,53 @@ class Matcher:
                 top = cosine, name
         return top
 
+    def possible(self, words: list[str]) -> np.ndarray:
+        """Templates that some passage of these words can reach.
+
+        The cosine is at most the length of the template's unit vector over the
+        words that both have (Cauchy-Schwarz).
+        """
+        present = [NUMBER[w] for w in NUMBER.keys() & set(words)]
+        return np.flatnonzero((self.units[:, present] ** 2).sum(axis=1) >= (THRESHOLD - SLACK) ** 2)
+
+    def passages(self, words: list[str], template: int) -> Iterator[tuple[int, int, float]]:
+        """start, end and cosine of the passages of a line that reach the threshold."""
+        n, size = len(words), LENGTHS[template]
+        number = np.fromiter((NUMBER.get(w, len(VOCABULARY)) for w in words), np.int64, n)
+        weights = self.weights[number]
+        products = np.concatenate([[0.0], np.cumsum(self.units[template][number] * weights)])
+        squares = np.concatenate([[0.0], np.cumsum(weights**2)])
+        start = np.arange(n - size + 1 if n > size else 0)
+        end = start + size
+        whole = np.array([0]) if n <= 2 * WINDOW else np.arange(0, n - WINDOW // 2, WINDOW // 2)
+        start = np.concatenate([whole, start])
+        end = np.concatenate([np.minimum(whole + (n if n <= 2 * WINDOW else WINDOW), n), end])
+        # Repeated words only lengthen the passage's vector.
+        bound = (products[end] - products[start]) / np.sqrt(squares[end] - squares[start])
+        vector = self.vectors[template][1]
+        for k in np.flatnonzero(bound >= THRESHOLD - SLACK):
+            a, b = int(start[k]), int(end[k])
+            own, norm = self._weighted(words[a:b])
+            cosine = sum(x * own[w] for w, x in vector.items() if w in own) / norm
+            if cosine >= THRESHOLD:
+                yield a, b, cosine
+
     def scan(self, text: str) -> tuple[str | None, float, float]:
         """License, cosine, and the share of the words in licence passages."""
         total = licensed = 0
         top: tuple[float, str | None] = (0.0, None)
+        if not len(self.possible(words_of(text))):
+            return None, 0.0, 0.0
         for line in text.split("\n"):
             words = words_of(line)
             total += len(words)
-            if len(words) <= 2 * WINDOW:
-                passages = [words] if words else []
-            else:
-                passages = [words[i:i + WINDOW] for i in range(0, len(words) - WINDOW // 2, WINDOW // 2)]
-            for passage in passages:
-                # No cosine can be high without two words of the templates among few others.
-                if sum(map(self.idf.__contains__, passage)) * 4 < len(passage):
-                    continue
-                found = self.best(passage)
-                if found[0] >= THRESHOLD:
-                    licensed += len(passage)
-                    if found[0] > top[0] + 1e-12:
-                        top = found
+            covered = np.zeros(len(words), bool)
+            for template in self.possible(words):
+                for a, b, cosine in self.passages(words, template):
+                    covered[a:b] = True
+                    if cosine > top[0] + 1e-12:
+                        top = cosine, self.vectors[template][0]
+            licensed += int(covered.sum())
         return top[1], round(top[0], 6), licensed / total if total else 0.0
 
 

@@ -1,5 +1,7 @@
 """License scans against a plain version."""
 
+import random
+from collections import Counter
 from math import log, sqrt
 
 from bazaarlens.llm import licenses as L
@@ -58,3 +60,41 @@ def test_test_data(spark):
 
 def test_empty_table(spark):
     assert L.scan(spark.createDataFrame([], "doc_id long, path string, text string")).count() == 0
+
+
+def test_notice_with_other_words_on_its_line(spark):
+    """With the document frequencies of sf0.1's order, and in a long line of a file."""
+    notices = {MIT: "MIT", "Licensed under the Apache License, Version 2.0.": "Apache-2.0", GPL: "GPL-3.0", "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0"}
+    matcher = L.Matcher({"the": 900, "license": 500, "under": 500, "licensed": 400, "version": 300, "mit": 150}, 10_000)
+    for notice, name in notices.items():
+        for n in (5, 28, 100, 400):
+            others = [f"other{k}" for k in range(n)]
+            for at in (0, n // 2, n):
+                text = " ".join([*others[:at], notice, *others[at:]])
+                assert matcher.scan(text)[:2] == (name, 1.0)
+    assert matcher.scan("Copyright 2020 Some Name. " + MIT)[0] == "MIT"
+    frame = spark.createDataFrame(FILES, "doc_id long, path string, text string")
+    assert {(r["license"], r["origin"]) for r in L.scan(frame).collect() if r["doc_id"] == 15} == {("GPL-3.0", "own")}
+
+
+def test_passages_against_all_windows():
+    """The bounds leave out nothing that reaches the threshold."""
+    rnd = random.Random(4)
+    matcher = L.Matcher({"the": 90, "license": 5, "of": 80, "under": 20, "version": 9}, 100)
+    for _ in range(150):
+        words = L.words_of(rnd.choice(L.TEMPLATES)[1]) + [rnd.choice(L.VOCABULARY[:40] + [f"x{k}" for k in range(9)]) for _ in range(rnd.randint(0, 90))]
+        for _ in range(rnd.randint(0, 6)):
+            words[rnd.randrange(len(words))] = rnd.choice(["the", "x1", "y"])
+        n, runs = len(words), {}
+        for t, (name, template) in enumerate(L.TEMPLATES):
+            size = len(L.words_of(template))
+            spans = {(i, i + size) for i in range(n - size + 1)} | ({(0, n)} if n <= 80 else {(i, min(i + 40, n)) for i in range(0, n - 20, 20)})
+            vector = {w: k * matcher.idf[w] for w, k in Counter(L.words_of(template)).items()}
+            for a, b in spans:
+                own = {w: k * matcher.idf.get(w, matcher.other) for w, k in Counter(words[a:b]).items()}
+                length = lambda v: sqrt(sum(y * y for y in v.values()))
+                runs[t, a, b] = sum(y * own.get(w, 0) for w, y in vector.items()) / length(own) / length(vector)
+        got = {(t, a, b): c for t in matcher.possible(words) for a, b, c in matcher.passages(words, t)}
+        want = {k: c for k, c in runs.items() if c >= L.THRESHOLD}
+        assert got.keys() == want.keys() and all(abs(got[k] - c) < 1e-9 for k, c in want.items())
+        assert matcher.scan(" ".join(words))[1] == round(max(want.values(), default=0.0), 6)
