@@ -6,9 +6,10 @@ lost. Pieces are dealt into groups by a hash, and each group of at most
 the least room that suffices, found in a segment tree over the free room.
 
 A row is one pack: the ids as 16-bit little-endian numbers padded to the pack
-length, the cumulative segment lengths (0 first), and for each segment its
-document and the offset of its first token there. Positions restart at every
-segment (``positions``). ``write`` puts the rows into a folder, ``unpack`` gives
+length, the cumulative segment lengths (0 first), for each segment its document
+and the offset of its first token there, and the position of each token in its
+segment as 32-bit little-endian numbers, 0 for the padding: positions restart at
+every segment (``positions``). ``write`` puts the rows into a folder, ``unpack`` gives
 the documents back.
 
 Null and empty texts have no token and are in no pack. Repeated rows and rows
@@ -33,7 +34,7 @@ PACK = 2048
 PAD = 50256  # free in the vocabulary
 PIECES = 4096
 BYTES_PER_TOKEN = 3  # only decides how many groups there are
-ROW = ("pack_id long, n_tokens int, cu_seqlens array<int>, doc_ids array<long>, doc_offsets array<long>, ids binary")
+ROW = ("pack_id long, n_tokens int, cu_seqlens array<int>, doc_ids array<long>, doc_offsets array<long>, ids binary, positions binary")
 
 
 class FreeRoom:
@@ -122,11 +123,13 @@ def _packed(rows: pd.DataFrame, group: int, part: int, size: int) -> pd.DataFram
     for k, members in enumerate(best_fit(n, size)):
         content = b"".join(data[i] for i in members)
         used = len(content) // 2
+        edges = np.cumsum([0, *(n[i] for i in members)]).tolist()
         out.append((
-            (group << 24) + (part << 12) + k, used, np.cumsum([0, *(n[i] for i in members)]).tolist(),
+            (group << 24) + (part << 12) + k, used, edges,
             [None if pd.isna(ids[i]) else int(ids[i]) for i in members], [offsets[i] for i in members],
-            content + np.full(size - used, PAD, "<u2").tobytes()))
-    return pd.DataFrame(out, columns=["pack_id", "n_tokens", "cu_seqlens", "doc_ids", "doc_offsets", "ids"])
+            content + np.full(size - used, PAD, "<u2").tobytes(),
+            np.pad(positions(edges), (0, size - used)).astype("<u4").tobytes()))
+    return pd.DataFrame(out, columns=["pack_id", "n_tokens", "cu_seqlens", "doc_ids", "doc_offsets", "ids", "positions"])
 
 
 def pack(docs: DataFrame, size: int = PACK, path: str | None = None) -> DataFrame:
@@ -164,7 +167,7 @@ def positions(cu_seqlens: list[int]) -> np.ndarray:
 
 
 def write(packs: DataFrame, folder: str) -> None:
-    """The packs as Parquet: a matrix row of ids, the segment lengths and where positions restart."""
+    """The packs as Parquet: matrix rows of ids and of positions, and the segment lengths."""
     packs.write.parquet(folder)
 
 

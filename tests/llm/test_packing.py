@@ -1,5 +1,6 @@
 """Best fit against a plain search, and an exact round trip of the ids."""
 
+import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -70,3 +71,14 @@ def test_awkward_rows_small_groups_and_files(spark, docs, no_docs, monkeypatch):
 
 def test_positions_restart():
     assert P.positions([0, 3, 5]).tolist() == [0, 1, 2, 0, 1]
+
+
+def test_positions_are_written_with_each_pack(spark, docs):
+    ship_package(spark)
+    folder = scratch_path(spark, "packs-positions")
+    P.write(P.pack(docs, 128), folder)
+    rows = spark.read.parquet(folder).collect()
+    assert any(len(r["cu_seqlens"]) > 2 for r in rows) and any(r["n_tokens"] < 128 for r in rows)
+    for r in rows:
+        want = [k for a, b in zip(r["cu_seqlens"], r["cu_seqlens"][1:]) for k in range(b - a)]
+        assert np.frombuffer(r["positions"], "<u4").tolist() == want + [0] * (128 - r["n_tokens"])
