@@ -301,7 +301,15 @@ def places(docs: DataFrame, every_group: bool = False) -> tuple[DataFrame, DataF
 
 
 def groups(docs: DataFrame) -> DataFrame:
-    """All repeat groups with all occurrences: repeat, length, doc_id, start (in bytes)."""
+    """Repeat groups by window: repeat, length, doc_id, start (in bytes).
+
+    Groups are not maximal over whole texts. A repeat longer than a window (at
+    most 2 * MIN_LEN - KEY_LEN bytes) comes as a chain of overlapping groups that
+    nothing joins, and a group may begin where a window does although all its
+    places could be extended to the left. In a bucket of more than MAX_SEGMENTS
+    segments each repeated position is a group of MIN_LEN bytes, so the groups
+    there depend on the size of the bucket. The bytes they cover do not.
+    """
     windows, found = places(docs, every_group=True)
     ids = _with_keys(docs).select("doc_id", *ROW)
     return found.join(windows, SEGMENT).join(ids, ROW).select(
