@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, licenses, line_dedup, minhash, packing, quality, suffix_repeats, token_counts, toxicity
+from . import bpe, decontam, importance, licenses, line_dedup, minhash, packing, quality, suffix_repeats, token_counts, toxicity
 from .common import table
 
 RUNNERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,3 +91,9 @@ SQL["op9_line_dedup"] = """
 def op10_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op11_importance_resampling(spark, sf_dir):
+    out = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
