@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, importance, licenses, line_dedup, minhash, packing, quality, suffix_repeats, token_counts, toxicity
+from . import bpe, decontam, divergence, importance, licenses, line_dedup, minhash, packing, quality, suffix_repeats, token_counts, toxicity
 from .common import table
 
 RUNNERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +97,54 @@ def op10_toxicity(spark, sf_dir):
 def op11_importance_resampling(spark, sf_dir):
     out = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query
+def op13_source_divergence(spark, sf_dir):
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+SQL["op13_source_divergence"] = r"""
+    with texts as (
+        select row_number() over () as row, coalesce(lang, '') as lang, coalesce(source, '') as source,
+               regexp_extract_all(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as terms
+        from documents),
+    used as (select row, lang, source, unnest(terms) as term from texts),
+    kept as (select lang, term from used group by lang, term having count(distinct row) >= 3),
+    groups as (select distinct lang, source from texts),
+    found as (
+        select u.lang, u.source, u.term, count(*) as n
+        from used u join kept k on k.lang = u.lang and k.term = u.term group by u.lang, u.source, u.term),
+    cells as (
+        select g.lang, g.source, k.term, coalesce(f.n, 0) as n
+        from groups g join kept k on k.lang = g.lang
+        left join found f on f.lang = g.lang and f.source = g.source and f.term = k.term),
+    sized as (
+        select *, sum(n) over (partition by lang, source)::hugeint + count(*) over (partition by lang, source) as size
+        from cells),
+    p as (select lang, source, term, n, 1 + (1000000000::hugeint * (n + 1)) // size as p from sized),
+    whole as (select lang, term, sum(n)::hugeint as n from cells group by lang, term),
+    q as (
+        select lang, term, 1 + (1000000000::hugeint * (n + 1)) //
+               (sum(n) over (partition by lang) + count(*) over (partition by lang))::hugeint as q
+        from whole),
+    pair_sums as (
+        select a.lang, a.source, b.source as item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) as value
+        from p a join p b on b.lang = a.lang and b.term = a.term and b.source <> a.source
+        group by a.lang, a.source, b.source),
+    pairs as (
+        select a.lang, a.source, b.source as item, coalesce(s.value, 0) as value
+        from groups a join groups b on b.lang = a.lang and b.source <> a.source
+        left join pair_sums s on s.lang = a.lang and s.source = a.source and s.item = b.source),
+    leading_terms as (
+        select p.lang, p.source, p.term as item, ((p - q) * (p - q)) // q as value
+        from p join q on q.lang = p.lang and q.term = p.term where n > 0 and p > q),
+    parts as (
+        select lang, source, 'pair' as part, item, value from pairs
+        union all select lang, source, 'term', item, value from leading_terms),
+    ranked as (
+        select *, row_number() over (partition by lang, source, part order by value desc, item) as rank from parts)
+    select lang, source, part, item, value::bigint as value, rank::int as rank
+    from ranked where part = 'pair' or rank <= 200"""
