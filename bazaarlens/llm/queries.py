@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, divergence, importance, licenses, line_dedup, minhash, packing, quality, suffix_repeats, token_counts, toxicity
+from . import bpe, brown, decontam, divergence, importance, licenses, line_dedup, minhash, packing, quality, suffix_repeats, token_counts, toxicity
 from .common import table
 
 RUNNERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -148,3 +148,9 @@ SQL["op13_source_divergence"] = r"""
         select *, row_number() over (partition by lang, source, part order by value desc, item) as rank from parts)
     select lang, source, part, item, value::bigint as value, rank::int as rank
     from ranked where part = 'pair' or rank <= 200"""
+
+
+@query
+def op12_lm_scoring(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return brown.score(docs, brown.train(brown.training_rows(docs)))
