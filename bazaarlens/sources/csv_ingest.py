@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .csv_blocks import read_quoted_csv
 from .schemas import TableSpec
 
 
@@ -18,10 +19,18 @@ def read_text_csv(spark: SparkSession, path: str, multi_line: bool = False) -> D
 
     A doubled quote inside a quoted field stands for a quote. A record with more
     or fewer fields than the header fails the read, which is why every column
-    is parsed even if few are used. Only tables with free text need ``multi_line``: it keeps newlines inside fields but reads a
-    file in one task, so such tables should arrive as many files.
+    is parsed even if few are used. Only tables with free text need ``multi_line``:
+    it keeps newlines inside fields, and reads blocks of a file in parallel.
     """
-    df = (
+    df = _read_csv(spark, path, multi_line)
+    # The byte order mark is not part of the first column's name.
+    names = [name.removeprefix("\ufeff") for name in df.columns]
+    return read_quoted_csv(spark, path, names) if multi_line else df.toDF(*names)
+
+
+def _read_csv(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
+    """Spark's reader; with ``multi_line`` it reads a file in one task, which is enough for a header."""
+    return (
         spark.read.option("header", True)
         .option("quote", '"')
         .option("escape", '"')
@@ -32,8 +41,6 @@ def read_text_csv(spark: SparkSession, path: str, multi_line: bool = False) -> D
         .option("columnPruning", False)
         .csv(path)
     )
-    # The byte order mark is not part of the first column's name.
-    return df.toDF(*[name.removeprefix("\ufeff") for name in df.columns])
 
 
 def missing_columns(df: DataFrame, spec: TableSpec) -> list[str]:
