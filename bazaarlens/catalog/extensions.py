@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 from pyspark.sql import functions as F
 
 from ..functions import money_out, pct
@@ -129,6 +131,13 @@ DAILY = """
     from v_sold s join v_labelled l using (product_id) where l.category is not null group by 1, 2, 3"""
 
 
+def with_orders(t, orders):
+    """The tables, with other orders."""
+    return SimpleNamespace(
+        spark=t.spark, orders=orders, delivered_orders=orders.filter("order_status = 'delivered'"),
+        order_items=t.order_items, products=t.products, translation=t.translation)
+
+
 def _daily_out(df):
     return df.select("day", "seller_id", "category", money_out("revenue").alias("revenue_brl"), "units")
 
@@ -150,6 +159,23 @@ def x01_incremental(t):
     return _daily_out(rollup.read_compacted(t, folder, root))
 
 
+@query("x01_retracting_rollup", DAILY)
+def x01_retracting(t):
+    # Orders arrive with other dates and states, are compacted, and are put right by later batches.
+    folder, root = scratch_path(t.spark, "rollup"), scratch_path(t.spark, "rollup-compact")
+    key, status, placed = F.col("order_id"), F.col("order_status"), F.col("order_purchase_timestamp")
+    early = t.orders.withColumns({
+        "order_status": F.when(key % 5 == 0, "delivered").when(key % 5 == 1, "shipped").otherwise(status),
+        "order_purchase_timestamp": F.when(key % 3 == 0, F.timestamp_add("DAY", F.lit(40), placed)).otherwise(placed),
+    })
+    rollup.write_batch(with_orders(t, early), t.orders.select("order_id"), folder, 0)
+    rollup.compact(t, folder, root)
+    gone = early.filter(key % 7 != 0)
+    rollup.write_batch(with_orders(t, gone), t.orders.filter(key % 7 == 0), folder, 1, root)
+    rollup.write_batch(t, t.orders.filter((key % 5 <= 1) | (key % 3 == 0) | (key % 7 == 0)), folder, 2, root)
+    return _daily_out(rollup.read_compacted(t, folder, root))
+
+
 @query("x01_streamed_rollup", DAILY)
 def x01_streamed(t):
     orders = (

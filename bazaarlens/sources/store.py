@@ -25,6 +25,15 @@ def _file_system(spark: SparkSession, path: str):
     return _hadoop_path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def file_exists(spark: SparkSession, path: str) -> bool:
+    return _file_system(spark, path).exists(_hadoop_path(spark, path))
+
+
+def make_file(spark: SparkSession, path: str) -> None:
+    """An empty file, as a mark."""
+    _file_system(spark, path).create(_hadoop_path(spark, path), True).close()
+
+
 def current_version(spark: SparkSession, root: str) -> str:
     """Folder of the version readers should use."""
     stream = _file_system(spark, root).open(_hadoop_path(spark, f"{root}/{POINTER}"))

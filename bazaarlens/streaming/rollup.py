@@ -1,12 +1,18 @@
 """Daily revenue per seller and category, kept up to date by increments.
 
-An increment names the orders that changed: lines that came, a delivery, a
-recalled delivery. All days those orders were placed on are computed anew from
-the stored tables, so a delivery that follows its lines by weeks, or is taken
-back, ends in the right sums. A batch writes its days and their rows to a folder
-of its own; for each day the last batch that touched it counts. Writing a batch
-again replaces its folder. Compaction keeps the last state of each day and is
-read together with the batches after it.
+An increment names the orders that changed in any way: lines that came, a
+delivery, a recalled delivery, another date, a deletion. A ledger holds what each
+order last contributed (day, seller, category, revenue, units). A batch computes
+the present contributions of its orders from the stored tables, takes the former
+ones from the ledger, and writes the difference, by day, seller and category.
+The rollup is the sum of all differences, so only days that change are written,
+and an order that moved or went leaves nothing behind.
+
+A batch counts once it is marked as done; one that stopped halfway is written
+again from the same former state, one that is done is not written again. Changes
+made to an order after a batch read it belong to a later batch that names the
+order again. Compaction writes the last contribution of every order and the sums
+as a new version, which is read together with the batches after it.
 """
 
 from __future__ import annotations
@@ -21,48 +27,121 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import day
 from ..plans import base
-from ..sources.store import current_version, switch_version
+from ..sources.store import current_version, file_exists, make_file, switch_version
 
 GRAIN = ("day", "seller_id", "category")
+MEASURES = {"revenue": "decimal(25,2)", "units": "bigint"}
 PLACED = "order_purchase_timestamp"
 
 
-def partial_rollup(t, items: DataFrame, days: DataFrame | None = None) -> DataFrame:
-    """Aggregate delivered line items to the grain of the rollup, of all days or of ``days`` (day)."""
-    orders = base.delivered_orders(t).select("order_id", day(PLACED).alias("day"))
-    if days is not None:
-        orders = orders.join(days, "day", "left_semi")
+def _daily(t, items: DataFrame, orders: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """Line items of ``orders`` (order_id, day), summed per product first, then per ``by``."""
+    of_order = [c for c in by if c not in GRAIN]
     per_product = (
         items.select("order_id", "product_id", "seller_id", "price").join(orders, "order_id")
-        .groupBy("day", "seller_id", "product_id")
+        .groupBy(*of_order, "day", "seller_id", "product_id")
         .agg(F.sum("price").alias("revenue"), F.count("*").alias("units"))
     )
     return (
         per_product.join(base.categories(t), "product_id")
-        .groupBy(*GRAIN)
-        .agg(F.sum("revenue").cast("decimal(25,2)").alias("revenue"), F.sum("units").alias("units"))
+        .groupBy(*by)
+        .agg(F.sum("revenue").cast(MEASURES["revenue"]).alias("revenue"), F.sum("units").alias("units"))
     )
 
 
-def _schema(t) -> T.StructType:
-    """Columns of a batch; the type of the ids is that of the tables."""
-    return (
-        T.StructType()
-        .add("day", "date").add("seller_id", t.order_items.schema["seller_id"].dataType)
-        .add("category", "string").add("revenue", "decimal(25,2)").add("units", "long")
-    )
+def _placed(orders: DataFrame) -> DataFrame:
+    return orders.select("order_id", day(PLACED).alias("day"))
 
 
-def write_batch(t, changed: DataFrame, folder: str, batch: int) -> None:
-    """Compute the days of the changed orders (order_id) anew, as batch ``batch``."""
-    days = (
-        t.orders.join(changed.select("order_id").distinct(), "order_id", "left_semi")
-        .select(day(PLACED).alias("day")).distinct()
-    )
-    days_path = f"{folder}/days/batch={batch}"
-    days.write.mode("overwrite").parquet(days_path)
-    days = t.spark.read.schema("day date").parquet(days_path)
-    partial_rollup(t, t.order_items, days).write.mode("overwrite").parquet(f"{folder}/rows/batch={batch}")
+def partial_rollup(t, items: DataFrame) -> DataFrame:
+    """Aggregate delivered line items to the grain of the rollup."""
+    return _daily(t, items, _placed(base.delivered_orders(t)), GRAIN)
+
+
+def _schema(t, *names: str) -> T.StructType:
+    """The named columns of a batch; the type of the ids is that of the tables."""
+    ids = {c: t.order_items.schema[c].dataType.simpleString() for c in ("order_id", "seller_id")}
+    types = {**ids, "day": "date", "category": "string", "batch": "bigint", **MEASURES}
+    return T.StructType.fromDDL(", ".join(f"{n} {types[n]}" for n in names))
+
+
+LEDGER = ("order_id", *GRAIN, *MEASURES)
+CHANGES = (*GRAIN, *MEASURES)
+
+
+def _done(folder: str, batch: int) -> str:
+    return f"{folder}/done/batch={batch}"
+
+
+def _read(t, folder: str, part: str, columns: tuple[str, ...], before: int | None = None, root: str | None = None) -> DataFrame:
+    """Rows of the done batches, with their batch: the compacted state first, then what came after it.
+
+    ``before`` leaves that batch and later ones out.
+    """
+    schema = _schema(t, *columns, "batch")
+    upto, frame = -1, t.spark.createDataFrame([], schema)
+    if root and file_exists(t.spark, f"{root}/CURRENT"):
+        version = current_version(t.spark, root)
+        upto = _last_batch(version)
+        frame = t.spark.read.schema(schema).parquet(f"{version}/{part}")
+    if not file_exists(t.spark, f"{folder}/{part}"):
+        return frame
+    names = _batches(t.spark, folder, upto, before)
+    if not names:
+        return frame
+    stored = t.spark.read.schema(schema).option("basePath", f"{folder}/{part}").parquet(*[f"{folder}/{part}/{n}" for n in names])
+    return stored if upto < 0 else frame.unionByName(stored)
+
+
+def _last_batch(version: str) -> int:
+    return int(version.rstrip("/").split("/")[-1].split("-")[1])
+
+
+def _batches(spark: SparkSession, folder: str, after: int, before: int | None = None) -> list[str]:
+    """Folder names of the done batches after ``after`` and before ``before``."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/done")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    numbers = sorted(int(s.getPath().getName().split("=")[1]) for s in fs.listStatus(path))
+    return [f"batch={n}" for n in numbers if n > after and (before is None or n < before)]
+
+
+def _last_contributions(ledger: DataFrame) -> DataFrame:
+    """The rows of the last batch that named each order."""
+    last = ledger.groupBy("order_id").agg(F.max("batch").alias("batch"))
+    return ledger.join(last, ["order_id", "batch"])
+
+
+def write_batch(t, changed: DataFrame, folder: str, batch: int, root: str | None = None) -> None:
+    """Bring the rollup up to date with the changed orders (order_id), as batch ``batch``.
+
+    With ``root``, former contributions are also taken from the compacted version.
+    """
+    spark = t.spark
+    if file_exists(spark, _done(folder, batch)):
+        return
+    path = f"{folder}/named/batch={batch}"
+    named_type = t.order_items.schema["order_id"].dataType
+    changed.select(F.col("order_id").cast(named_type).alias("order_id")).distinct().write.mode("overwrite").parquet(path)
+    named = spark.read.schema(_schema(t, "order_id")).parquet(path)
+
+    orders = _placed(base.delivered_orders(t)).join(named, "order_id", "left_semi")
+    present = _daily(t, t.order_items, orders, ("order_id", *GRAIN))
+    # An order that contributes nothing (any more) has one row without a day.
+    path = f"{folder}/ledger/batch={batch}"
+    named.join(present, "order_id", "left").select(*LEDGER).write.mode("overwrite").parquet(path)
+    present = spark.read.schema(_schema(t, *LEDGER)).parquet(path)
+
+    former = _read(t, folder, "ledger", LEDGER, before=batch, root=root).join(named, "order_id", "left_semi")
+    former = _last_contributions(former).select(*CHANGES).withColumns({m: -F.col(m) for m in MEASURES})
+    changes = _summed(present.select(*CHANGES).unionByName(former).filter("day is not null"))
+    changes.filter("revenue <> 0 or units <> 0").write.mode("overwrite").parquet(f"{folder}/changes/batch={batch}")
+    make_file(spark, _done(folder, batch))
+
+
+def _summed(changes: DataFrame) -> DataFrame:
+    return changes.groupBy(*GRAIN).agg(*[F.sum(m).cast(kind).alias(m) for m, kind in MEASURES.items()])
 
 
 def start_rollup(tables: Callable[[], object], changed: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
@@ -79,43 +158,27 @@ def start_rollup(tables: Callable[[], object], changed: DataFrame, folder: str,
     )
 
 
-def _latest(t, folders: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(day, batch) of the last batch per day, and the rows of those batches."""
-
-    def read(part: str, schema: T.StructType) -> DataFrame:
-        frames = [t.spark.read.schema(schema.add("batch", "long")).parquet(f"{folder}/{part}") for folder in folders]
-        out = frames[0]
-        for frame in frames[1:]:
-            out = out.unionByName(frame)
-        return out
-
-    # One row per calendar day.
-    last = read("days", T.StructType().add("day", "date")).groupBy("day").agg(F.max("batch").alias("batch"))
-    # A compacted batch and the batch it took over may both be read; they are equal.
-    rows = read("rows", _schema(t)).join(last, ["day", "batch"])
-    return last, rows.groupBy("batch", *GRAIN).agg(F.max("revenue").alias("revenue"), F.max("units").alias("units"))
-
-
-def read_rollup(t, folder: str) -> DataFrame:
-    """The last state of every day."""
-    return _latest(t, [folder])[1].drop("batch")
+def read_rollup(t, folder: str, root: str | None = None) -> DataFrame:
+    """The present sums; days, sellers and categories without units are not listed."""
+    return _summed(_read(t, folder, "changes", CHANGES, root=root)).filter("units <> 0")
 
 
 def compact(t, folder: str, root: str) -> str:
-    """Write the last state of every day, compacted ones included, as a new version under ``root``."""
-    version = f"version-{uuid.uuid4().hex}"
-    last, rows = _latest(t, _sources(t.spark, folder, root))
-    last.write.partitionBy("batch").parquet(f"{root}/{version}/days")
-    rows.write.partitionBy("batch").parquet(f"{root}/{version}/rows")
-    return switch_version(t.spark, root, version)
-
+    """Write the present state, compacted batches included, as a new version under ``root``.
 
-def _sources(spark: SparkSession, folder: str, root: str) -> list[str]:
-    pointer = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/CURRENT")
-    exists = pointer.getFileSystem(spark._jsc.hadoopConfiguration()).exists(pointer)
-    return [folder, *([current_version(spark, root)] if exists else [])]
+    The batches it holds are not read again and may be removed from ``folder``.
+    """
+    spark = t.spark
+    former = _last_batch(current_version(spark, root)) if file_exists(spark, f"{root}/CURRENT") else -1
+    upto = max([former, *(int(n.split("=")[1]) for n in _batches(spark, folder, former))])
+    version = f"version-{max(upto, 0)}-{uuid.uuid4().hex}"
+    ledger = _last_contributions(_read(t, folder, "ledger", LEDGER, before=upto + 1, root=root)).filter("day is not null")
+    ledger.select(*LEDGER).write.parquet(f"{root}/{version}/ledger/batch={upto}")
+    sums = _summed(_read(t, folder, "changes", CHANGES, before=upto + 1, root=root)).filter("units <> 0")
+    sums.write.parquet(f"{root}/{version}/changes/batch={upto}")
+    return switch_version(spark, root, version)
 
 
 def read_compacted(t, folder: str, root: str) -> DataFrame:
-    """The compacted days, replaced where a later batch in ``folder`` touched them."""
-    return _latest(t, _sources(t.spark, folder, root))[1].drop("batch")
+    """The compacted sums, and the changes of later batches in ``folder``."""
+    return read_rollup(t, folder, root)

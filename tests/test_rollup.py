@@ -1,3 +1,5 @@
+import datetime as dt
+import random
 from types import SimpleNamespace
 
 from pyspark.sql import functions as F
@@ -75,3 +77,54 @@ def test_stream_picks_up_where_it_stopped(spark):
     run()
     run()
     assert same(rollup.read_rollup(t, folder), rollup.partial_rollup(t, t.order_items))
+
+
+def test_batches_of_any_changes_equal_a_recomputation(spark):
+    """Orders are inserted, delivered, recalled, re-dated and deleted at random; batches stop halfway and come again."""
+    t = open_star(spark, SMALL)
+    everything = t.orders.filter("order_id < 400").collect()
+    items = t.order_items.filter("order_id < 400")
+    rnd, state = random.Random(8), {}
+    folder, root = scratch_path(spark, "rollup"), scratch_path(spark, "rollup")
+    for batch in range(5):
+        named = []
+        for row in rnd.sample(everything, 90):
+            act, old = rnd.choice(["insert", "deliver", "recall", "move", "delete"]), state.get(row["order_id"], row.asDict())
+            if act == "delete":
+                state.pop(row["order_id"], None)
+            else:
+                status = {"deliver": "delivered", "recall": "shipped"}.get(act, old["order_status"])
+                placed = old["order_purchase_timestamp"] + dt.timedelta(days=rnd.randint(-40, 40) if act == "move" else 0)
+                state[row["order_id"]] = {**old, "order_status": status, "order_purchase_timestamp": placed}
+            named.append((row["order_id"],))
+        now = tables_with(t, spark.createDataFrame(list(state.values()), t.orders.schema), items)
+        changed = spark.createDataFrame(named, "order_id long")
+        if batch == 2:  # stopped before it was marked
+            half = tables_with(t, now.orders.limit(20), items)
+            rollup.write_batch(half, changed, folder, batch, root)
+            mark = spark._jvm.org.apache.hadoop.fs.Path(rollup._done(folder, batch))
+            mark.getFileSystem(spark._jsc.hadoopConfiguration()).delete(mark, False)
+        rollup.write_batch(now, changed, folder, batch, root)
+        rollup.write_batch(now, changed, folder, batch, root)
+        want = rollup.partial_rollup(now, items)
+        assert same(rollup.read_rollup(now, folder), want)
+        assert same(rollup.read_compacted(now, folder, root), want)
+        if batch in (1, 2):
+            rollup.compact(now, folder, root)
+            assert same(rollup.read_compacted(now, folder, root), want)
+
+
+def test_only_touched_days_are_written(spark):
+    t = open_star(spark, SMALL)
+    folder = scratch_path(spark, "rollup")
+    rollup.write_batch(t, t.orders, folder, 0)
+    one = t.delivered_orders.limit(1).select("order_id", "order_purchase_timestamp").first()
+    moved = t.orders.withColumn("order_purchase_timestamp", F.when(
+        F.col("order_id") == one["order_id"], F.timestamp_add("DAY", F.lit(3), "order_purchase_timestamp")).otherwise(F.col("order_purchase_timestamp")))
+    rollup.write_batch(tables_with(t, moved, t.order_items), t.orders.filter(F.col("order_id") == one["order_id"]), folder, 1)
+    days = {r["day"] for r in spark.read.parquet(f"{folder}/changes/batch=1").select("day").collect()}
+    first = one["order_purchase_timestamp"].date()
+    assert days == {first, first + dt.timedelta(days=3)}
+    rollup.write_batch(t, t.orders.filter("order_id % 2 = 0"), folder, 2)
+    unchanged = spark.read.parquet(f"{folder}/changes/batch=2")
+    assert {r["day"] for r in unchanged.select("day").collect()} <= days
