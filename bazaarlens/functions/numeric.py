@@ -25,19 +25,22 @@ def money_out(value) -> Column:
     return rounded(value, 2)
 
 
-def exact(value) -> Column:
-    """Operand of a quotient: an exact decimal of up to 18 integer digits."""
-    return col(value).cast("decimal(20,2)")
+def exact(value, scale: int = 2) -> Column:
+    """Operand of a quotient: an exact decimal of up to 18 integer digits.
+
+    Amounts have two decimals; ``scale`` must be given for a value with more.
+    """
+    return col(value).cast(f"decimal({18 + scale},{scale})")
 
 
-def quotient(part, whole, digits: int) -> Column:
+def quotient(part, whole, digits: int, scale: int = 2) -> Column:
     """``part / whole`` rounded once, NULL for a zero denominator.
 
     The division is decimal: as a double, a value half way between two results
-    can fall on either side of the tie.
+    can fall on either side of the tie. ``scale`` are the decimals of ``part``.
     """
     divisor = exact(whole)
-    return F.round(exact(part) / F.when(divisor != 0, divisor), digits).cast("double")
+    return F.round(exact(part, scale) / F.when(divisor != 0, divisor), digits).cast("double")
 
 
 def pct(part, whole, digits: int = 1) -> Column:
@@ -45,10 +48,10 @@ def pct(part, whole, digits: int = 1) -> Column:
     return quotient(F.lit(100) * exact(part), whole, digits)
 
 
-def mean(value, digits: int, where: Column | None = None) -> Column:
-    """Average of an exact number, from its exact sum and its count.
+def mean(value, digits: int, where: Column | None = None, scale: int = 2) -> Column:
+    """Average of an exact number of up to ``scale`` decimals, from its exact sum and its count.
 
     Summing doubles would make the last digits depend on the task order.
     """
     kept = col(value) if where is None else F.when(where, col(value))
-    return quotient(F.sum(kept), F.count(kept), digits)
+    return quotient(F.sum(kept), F.count(kept), digits, scale)

@@ -7,17 +7,52 @@ ranked, so that a hot product, seller or order has shrunk to one row by then.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import day, days_between, month_of
+from ..functions import day, days_between, exact, month_of
 from ..operators.joins import labelled, per_parent
 
 
+PLACED = "order_purchase_timestamp"
+# Folder of a stored order, in tables that are laid out by month.
+MONTH = "order_month"
+# Decimals of an average score, which is summed exactly.
+SCORE_SCALE = 12
+
+
 def delivered_orders(t) -> DataFrame:
     return t.delivered_orders
 
 
+def placed_in(orders: DataFrame, first: str | None = None, end: str | None = None) -> Column:
+    """Condition on orders placed in [first, end), given as ISO days.
+
+    Where orders are stored by month, the months are bounded too, so that a scan
+    skips the folders of all others.
+    """
+    placed, found = F.col(PLACED), F.lit(True)
+    if first:
+        found = found & (placed >= F.lit(first).cast("timestamp_ntz"))
+    if end:
+        found = found & (placed < F.lit(end).cast("timestamp_ntz"))
+    if MONTH in orders.columns:
+        if first:
+            found = found & (F.col(MONTH) >= first[:7])
+        if end:
+            last = dt.date.fromisoformat(end) - dt.timedelta(days=1)
+            found = found & (F.col(MONTH) <= f"{last:%Y-%m}")
+    return found
+
+
+def months_later(start: str, months: int) -> str:
+    """First day of the month that many months after that of ``start``."""
+    year, month = divmod(int(start[:4]) * 12 + int(start[5:7]) - 1 + months, 12)
+    return f"{year:04d}-{month + 1:02d}-01"
+
+
 def lateness(t) -> DataFrame:
     """Delivered orders with their lateness by calendar day.
 
@@ -107,17 +142,20 @@ def with_state(t, orders: DataFrame) -> DataFrame:
 
 
 def monthly_revenue(t, orders: DataFrame | None = None) -> DataFrame:
-    """Sparse series: months without orders have no row."""
+    """Sparse series: months without orders have no row.
+
+    A selection of orders meets the items before they are grouped.
+    """
+    revenue = order_revenue(t) if orders is None else order_revenue_of(t, orders.select("order_id", PLACED))
     return (
-        order_revenue(t, orders)
-        .groupBy(month_of("order_purchase_timestamp").alias("month"))
+        revenue.groupBy(month_of(PLACED).alias("month"))
         .agg(F.sum("revenue").alias("revenue"), F.count("*").alias("orders"))
     )
 
 
 def reviews_per_order(t) -> DataFrame:
-    """One score per order, so orders with several reviews count once."""
-    score = F.sum("review_score").cast("double") / F.count("review_score")
+    """One score per order, an exact decimal, so orders with several reviews count once."""
+    score = (exact(F.sum("review_score")) / exact(F.count("review_score"))).cast(f"decimal(30,{SCORE_SCALE})")
     return t.order_reviews.filter(F.col("review_score").isNotNull()).groupBy("order_id").agg(
         score.alias("review_score")
     )

@@ -118,6 +118,13 @@ def pair_distances(t) -> DataFrame:
     return with_distance(pairs, t.geolocation_centroid)
 
 
+def leg_distances(t) -> DataFrame:
+    """Legs with their distance: looked up where the pairs are stored, else computed from centroids."""
+    if t.zip_distances is None:
+        return with_distance(order_legs(t), t.geolocation_centroid)
+    return order_legs(t).join(t.zip_distances, ["customer_zip", "seller_zip"], "left")
+
+
 def distance_band(km) -> Column:
     steps = [(km.isNull(), UNMAPPED)] + [(km < limit, label) for limit, label in DISTANCE_BANDS]
     return band(steps, FARTHEST)
@@ -129,7 +136,7 @@ def lateness_by_distance(t) -> DataFrame:
     Unmapped legs are NULL and ignored by MAX, so an order is unmapped only if
     all of its legs are.
     """
-    legs = with_distance(order_legs(t), t.geolocation_centroid)
+    legs = leg_distances(t)
     per_order = legs.groupBy("order_id", "days_to_deliver", "is_late").agg(F.max("km").alias("km"))
     per_band = per_order.groupBy(distance_band(F.col("km")).alias("distance_band")).agg(
         F.count("*").alias("orders"), mean("days_to_deliver", 1).alias("avg_days_to_deliver"),
@@ -163,7 +170,7 @@ def reviews_by_outcome(t) -> DataFrame:
         .agg(
             F.count("*").alias("orders"),
             F.count(score).alias("orders_reviewed"),
-            F.round(F.avg(score), 2).alias("avg_review_score"),
+            mean(score, 2, scale=base.SCORE_SCALE).alias("avg_review_score"),
             F.count_if(score <= 2).alias("low"),
         )
         .orderBy("delivery_outcome")
@@ -191,7 +198,7 @@ def worst_sellers(t, minimum_orders: int = 100, rows: int = 15) -> DataFrame:
         .agg(
             F.count_if(dated).alias("orders"),
             F.count_if("is_late").alias("late_orders"),
-            F.round(F.avg(F.when(dated, F.col("review_score"))), 2).alias("avg_review_score"),
+            mean("review_score", 2, where=dated, scale=base.SCORE_SCALE).alias("avg_review_score"),
             F.sum("revenue").alias("revenue"),
         )
         .filter(F.col("orders") >= minimum_orders)

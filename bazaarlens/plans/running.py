@@ -12,6 +12,7 @@ from ..functions import day, days_between, money_out, month_of, pct, year_month
 from ..operators.ordered import ordered_scan, pareto
 from ..operators.skew import join_per_key
 from ..operators.topk import top_k
+from ..sources.durable import cut_lineage
 from . import base
 from .ranking import short_id
 
@@ -23,9 +24,9 @@ def person_orders(t) -> DataFrame:
     return orders.join(people, "customer_id").drop("customer_id")
 
 
-def most_frequent_person(t) -> DataFrame:
-    """The person with most delivered orders, smallest id on a tie (one row)."""
-    counts = person_orders(t).groupBy("person").agg(F.count("*").alias("orders"))
+def most_frequent_person(placed: DataFrame) -> DataFrame:
+    """The person with most of the given orders, smallest id on a tie (one row)."""
+    counts = placed.groupBy("person").agg(F.count("*").alias("orders"))
     return top_k(counts, 1, [F.desc("orders"), "person"]).select("person")
 
 
@@ -36,8 +37,9 @@ def frames_on_ties(t, person: DataFrame | None = None, unit: str = "DAY") -> Dat
     from the distributed scan. Among tied dates a ROWS frame may use any order;
     here it uses the order id.
     """
-    person = most_frequent_person(t) if person is None else person
-    chosen = person_orders(t).join(F.broadcast(person.limit(1)), "person", "left_semi")
+    placed = cut_lineage(person_orders(t)) if person is None else person_orders(t)
+    person = most_frequent_person(placed) if person is None else person
+    chosen = placed.join(F.broadcast(person.limit(1)), "person", "left_semi")
     orders = base.order_revenue_of(t, chosen.select("order_id", "order_purchase_timestamp")).select(
         "order_id",
         F.to_date(F.date_trunc(unit, "order_purchase_timestamp")).alias("order_date"),
@@ -64,12 +66,12 @@ def frames_on_ties(t, person: DataFrame | None = None, unit: str = "DAY") -> Dat
 
 def repeat_customer_spend(t, people: int = 3, minimum_orders: int = 5) -> DataFrame:
     """R-13: cumulative spend of the most frequent repeat customers."""
-    with_items = t.order_items.select("order_id").distinct()
-    placed = person_orders(t).join(with_items, "order_id", "left_semi")
-    counts = placed.groupBy("person").agg(F.count("*").alias("orders")).filter(F.col("orders") >= minimum_orders)
+    # Orders with their revenue and person, written once: both the choice and the spend read them.
+    revenue = cut_lineage(person_orders(t).join(base.item_totals(t).select("order_id", "revenue"), "order_id"))
+    counts = revenue.groupBy("person").agg(F.count("*").alias("orders")).filter(F.col("orders") >= minimum_orders)
     # At most ``people`` rows, so the broadcast is bounded.
     chosen = top_k(counts, people, [F.desc("orders"), "person"]).select("person")
-    orders = base.order_revenue_of(t, person_orders(t).join(F.broadcast(chosen), "person"))
+    orders = revenue.join(F.broadcast(chosen), "person")
     scanned = ordered_scan(
         orders, ["order_purchase_timestamp", "order_id"], by=["person"], number="order_seq",
         sums={"cumulative": "revenue"}, previous={"previous_at": "order_purchase_timestamp"},
@@ -92,18 +94,12 @@ def repeat_customer_spend(t, people: int = 3, minimum_orders: int = 5) -> DataFr
 
 def state_months(t, first: str, end: str, states: Sequence[str] | None = None) -> DataFrame:
     """Revenue per state and month, orders placed in [first, end)."""
-    placed = F.col("order_purchase_timestamp")
-    orders = base.with_state(
-        t,
-        base.delivered_orders(t).filter(
-            (placed >= F.lit(first).cast("timestamp_ntz")) & (placed < F.lit(end).cast("timestamp_ntz"))
-        ),
-    )
+    orders = base.delivered_orders(t)
+    orders = base.with_state(t, orders.filter(base.placed_in(orders, first, end)))
     if states is not None:
         orders = orders.filter(F.col("customer_state").isin(*states))
-    per_order = orders.select(
-        "order_id", "customer_state", month_of("order_purchase_timestamp").alias("month")
-    ).join(base.item_totals(t), "order_id")
+    per_order = base.order_revenue_of(t, orders.select(
+        "order_id", "customer_state", month_of("order_purchase_timestamp").alias("month")))
     return per_order.groupBy("customer_state", "month").agg(F.sum("revenue").alias("revenue"))
 
 

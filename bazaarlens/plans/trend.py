@@ -24,18 +24,18 @@ def change_pct(now, before) -> Column:
 
 def gappy_orders(t, before: str, missing_month: str | None) -> DataFrame:
     """Early delivered orders; the test data gets its missing month here."""
-    orders = base.delivered_orders(t).filter(F.col("order_purchase_timestamp") < F.lit(before).cast("timestamp_ntz"))
+    orders = base.delivered_orders(t)
+    orders = orders.filter(base.placed_in(orders, end=before))
     if missing_month:
-        start = F.lit(missing_month).cast("date")
-        stop = F.add_months(start, 1)
-        placed = F.col("order_purchase_timestamp")
-        orders = orders.filter((placed < start.cast("timestamp_ntz")) | (placed >= stop.cast("timestamp_ntz")))
+        orders = orders.filter(~base.placed_in(orders, missing_month, base.months_later(missing_month, 1)))
     return orders
 
 
 def clean_series(t, first: str, last: str) -> DataFrame:
-    spine = month_spine(t.spark, first, last)
-    return densify(spine, base.monthly_revenue(t), {"revenue": 0, "orders": 0})
+    """Every month from ``first`` to ``last``; only their orders are read."""
+    spine, orders = month_spine(t.spark, first, last), base.delivered_orders(t)
+    orders = orders.filter(base.placed_in(orders, f"{first[:7]}-01", base.months_later(last, 1)))
+    return densify(spine, base.monthly_revenue(t, orders), {"revenue": 0, "orders": 0})
 
 
 def lag_with_and_without_spine(t, before: str, first: str, last: str, missing_month: str | None = None) -> DataFrame:
@@ -130,13 +130,12 @@ def category_momentum(t, before: str, after: str, minimum: int = 20_000, growing
 
     ``before`` and ``after`` are quarter starts. Only those two quarters are read.
     """
-    placed = F.col("order_purchase_timestamp")
+    orders = base.delivered_orders(t)
 
     def inside(start: str) -> Column:
-        begin = F.lit(start).cast("date")
-        return (placed >= begin.cast("timestamp_ntz")) & (placed < F.add_months(begin, 3).cast("timestamp_ntz"))
+        return base.placed_in(orders, start, base.months_later(start, 3))
 
-    orders = base.delivered_orders(t).filter(inside(before) | inside(after)).select(
+    orders = orders.filter(inside(before) | inside(after)).select(
         "order_id", quarter_of("order_purchase_timestamp").alias("quarter")
     )
     per_product = (

@@ -8,9 +8,9 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans import checks
+from ..plans import checks, delivery
 from .csv_ingest import read_text_csv, require_header, typed
-from .schemas import TABLES
+from .schemas import TABLES, TableSpec
 from .tables import StoredTables, centroids
 
 FREE_TEXT = ("order_reviews",)
@@ -68,21 +68,27 @@ def write_versions(
     frames: Mapping[str, DataFrame],
     root: str,
     verify: Callable[[Mapping[str, DataFrame]], None] | None = None,
+    layouts: Mapping[str, Callable[[DataFrame, str], None]] | None = None,
+    finish: Callable[[str], None] | None = None,
 ) -> DataFrame:
     """Write all frames under a new version, verify what was written, then switch to it.
 
-    A failure, also one that ``verify`` raises, leaves the current version
-    untouched. Returns the rows per table, counted from what was written, and
-    their total.
+    ``layouts`` says how a table is written to its path, if not as it comes;
+    ``finish`` gets the path of the verified version and adds to it. A failure,
+    also one that ``verify`` raises, leaves the current version untouched.
+    Returns the rows per table, counted from what was written, and their total.
     """
     version = f"version-{uuid.uuid4().hex}"
     written = {}
     for name, frame in frames.items():
         path = f"{root}/{version}/{name}"
-        frame.write.mode("overwrite").parquet(path)
+        write = (layouts or {}).get(name, lambda df, at: df.write.mode("overwrite").parquet(at))
+        write(frame, path)
         written[name] = spark.read.schema(frame.schema).parquet(path)
     if verify is not None:
         verify(written)
+    if finish is not None:
+        finish(f"{root}/{version}")
     switch_version(spark, root, version)
     counts = None
     for name, frame in written.items():
@@ -92,13 +98,14 @@ def write_versions(
     return counts.unionByName(total)
 
 
-def require_integrity(frames: Mapping[str, DataFrame], expected_rows: Mapping[str, int] | None = None) -> None:
+def require_integrity(
+    frames: Mapping[str, DataFrame], expected_rows: Mapping[str, int] | None = None, specs: Mapping[str, TableSpec] = TABLES,
+) -> None:
     """Keys, references, required columns, the score range and, where given, the row counts of all tables."""
     reports = [
-        checks.uniqueness(frames, {name: TABLES[name].key for name in frames if TABLES[name].key}),
+        checks.uniqueness(frames, {name: specs[name].key for name in frames if specs[name].key}),
         checks.references(frames),
-        *[checks.null_counts(name, frame, checks.required_columns(name)) for name, frame in frames.items()
-          if checks.required_columns(name)],
+        *[checks.null_counts(name, frame, specs[name].required) for name, frame in frames.items() if specs[name].required],
         checks.score_range(frames["order_reviews"]),
     ]
     if expected_rows:
@@ -108,22 +115,36 @@ def require_integrity(frames: Mapping[str, DataFrame], expected_rows: Mapping[st
 
 
 def load_tables(
-    spark: SparkSession, csv_paths: Mapping[str, str], root: str, expected_rows: Mapping[str, int] | None = None
+    spark: SparkSession, csv_paths: Mapping[str, str], root: str, expected_rows: Mapping[str, int] | None = None,
+    specs: Mapping[str, TableSpec] = TABLES,
 ) -> DataFrame:
     """Load the nine CSV tables, parents first. All headers are checked before
-    anything is written, and the written tables before readers see them."""
+    anything is written, and the written tables before readers see them.
+
+    Orders are stored by month and customers sorted by person; centroids and the
+    distances of the zips that occur together are stored beside the tables.
+    """
     texts = {
-        name: read_text_csv(spark, csv_paths[name], name in FREE_TEXT) for name in TABLES
+        name: read_text_csv(spark, csv_paths[name], name in FREE_TEXT) for name in specs
     }
     for name, df in texts.items():
-        require_header(df, TABLES[name])
+        require_header(df, specs[name])
+
+    def derive(path: str) -> None:
+        t = StoredTables(spark, path, specs)
+        centroids(t.geolocation).write.parquet(f"{path}/geolocation_centroid")
+        delivery.pair_distances(t).write.parquet(f"{path}/zip_distances")
+
     return write_versions(
-        spark, {name: typed(df, TABLES[name]) for name, df in texts.items()}, root,
-        lambda frames: require_integrity(frames, expected_rows))
+        spark, {name: typed(df, specs[name]) for name, df in texts.items()}, root,
+        lambda frames: require_integrity(frames, expected_rows, specs),
+        {"orders": lambda df, path: write_by_month(df, "order_purchase_timestamp", path),
+         "customers": lambda df, path: write_sorted(df, "customer_unique_id", path)},
+        derive)
 
 
-def open_store(spark: SparkSession, root: str) -> StoredTables:
-    return StoredTables(spark, current_version(spark, root))
+def open_store(spark: SparkSession, root: str, specs: Mapping[str, TableSpec] = TABLES) -> StoredTables:
+    return StoredTables(spark, current_version(spark, root), specs)
 
 
 def refresh_centroids(spark: SparkSession, geolocation: DataFrame, root: str) -> DataFrame:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import money
-from .schemas import TABLES
+from .schemas import TABLES, TableSpec
 
 # Declared layouts of the star-schema inputs (no footer pass to infer them).
 STAR_SCHEMAS = {
@@ -35,15 +37,33 @@ def centroids(geolocation: DataFrame) -> DataFrame:
     )
 
 
+# What a load derives from the tables and stores beside them.
+DERIVED = {
+    "geolocation_centroid": "zip string, lat double, lng double, source_rows long",
+    "zip_distances": "customer_zip string, seller_zip string, km double",
+}
+
+
 class StoredTables:
-    """Tables written by :func:`bazaarlens.sources.store.load_tables`."""
+    """Tables written by :func:`bazaarlens.sources.store.load_tables`: orders by
+    month, customers sorted by person, centroids and distances beside them.
 
-    def __init__(self, spark: SparkSession, root: str):
+    ``specs`` are the declarations that the load was given.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, specs: Mapping[str, TableSpec] = TABLES):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.specs = specs
 
     def _read(self, name: str) -> DataFrame:
-        return self.spark.read.schema(TABLES[name].schema).parquet(f"{self.root}/{name}")
+        schema = T.StructType([*self.specs[name].schema.fields])
+        if name == "orders":
+            schema = schema.add("order_month", "string")
+        return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
+
+    def _derived(self, name: str) -> DataFrame:
+        return self.spark.read.schema(DERIVED[name]).parquet(f"{self.root}/{name}")
 
     @cached_property
     def customers(self) -> DataFrame:
@@ -87,7 +107,12 @@ class StoredTables:
 
     @cached_property
     def geolocation_centroid(self) -> DataFrame:
-        return centroids(self.geolocation)
+        return self._derived("geolocation_centroid")
+
+    @cached_property
+    def zip_distances(self) -> DataFrame | None:
+        """km per pair of zips that occurs, where it is stored."""
+        return self._derived("zip_distances")
 
     def by_name(self, name: str) -> DataFrame:
         return self.translation if name == "product_category_translation" else getattr(self, name)
@@ -101,6 +126,12 @@ class StarTables(StoredTables):
     dates, several payments and reviews per order, several points per zip.
     """
 
+    zip_distances = None
+
+    @cached_property
+    def geolocation_centroid(self) -> DataFrame:
+        return centroids(self.geolocation)
+
     def raw(self, name: str) -> DataFrame:
         reader = self.spark.read
         if name in STAR_SCHEMAS:
