@@ -32,7 +32,7 @@ def op2_token_counts(spark, sf_dir):
 @query
 def op3_suffix_array_dedup(spark, sf_dir):
     return suffix_repeats.without_repeats(table(spark, sf_dir, "documents")).select(
-        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), "n_passages", "n_passage_words")
 
 
 @query

@@ -19,7 +19,10 @@ minimizer of their first MIN_LEN bytes:
    other surroundings) is not gathered. Its positions are grouped by a 128-bit hash
    of their MIN_LEN bytes instead, pre-aggregated; a group of two is a repeat.
 
-A document's repeated bytes are the union of the groups' places in it.
+A document's repeated bytes are the union of the groups' places in it. Beside
+them it is told how much of it lies in passages of words (``passages``), which may
+be shorter than MIN_LEN bytes. Words are runs of other characters than blanks; rows
+are compared with rows of another text, or with all of their copies.
 
 Null and empty texts and those shorter than MIN_LEN have no repeat. Identical
 rows are repeats of each other, with or without an id. Other columns are not
@@ -38,6 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import doc_texts, stored
+from .passages import RUN_WORDS, passages, run_hashes, shared_windows
 from .shingles import POWERS, mix, prefix_hashes, span_hashes
 
 MIN_LEN = 400
@@ -103,14 +107,21 @@ def _find_windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """A row per segment, and one per text with runs of words that may be shared."""
     for pdf in batches:
         rows = []
-        for text, wanted in zip(pdf["text"], pdf["wanted"]):
+        for text, wanted, t, windows in zip(pdf["text"], pdf["wanted"], pdf["t"], pdf["windows"]):
             data = _data(text)
-            for w in wanted:
+            for w in (wanted if wanted is not None else ()):
                 piece = data[w["start"]: w["start"] + w["count"] - 1 + MIN_LEN].tobytes()
-                rows.append((w["key"], w["h1"], w["h2"], w["copies"], piece))
-        yield pd.DataFrame(rows, columns=[*SEGMENT, "copies", "bytes"])
+                rows.append((w["key"], w["h1"], w["h2"], w["copies"], piece, None, None, None))
+            if windows is not None:
+                rows.append((None, None, None, None, None, t, *run_hashes(text, windows)))
+        columns = list(zip(*rows)) or [()] * 8
+        numbers = (*SEGMENT, "copies", "t")  # as Int64 from the start: with nulls they would turn into floats
+        yield pd.DataFrame({
+            name: pd.array(values, "Int64") if name in numbers else pd.Series(values, dtype=object)
+            for name, values in zip([*SEGMENT, "copies", "bytes", "t", "at", "run"], columns)})
 
 
 class SuffixArray:
@@ -269,11 +280,13 @@ def _positions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _with_keys(docs: DataFrame) -> DataFrame:
     return doc_texts(docs).select(
-        "doc_id", "text", F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64(F.lit("row"), "text", "doc_id").alias("k2"))
+        "doc_id", "text", F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64(F.lit("row"), "text", "doc_id").alias("k2"),
+        F.xxhash64("text").alias("t"))
 
 
-def places(docs: DataFrame, every_group: bool = False) -> tuple[DataFrame, DataFrame]:
-    """The windows (k1, k2, start, count, key, h1, h2) that may repeat, and the repeat groups' places in their segments."""
+def places(docs: DataFrame, every_group: bool = False, runs_wanted: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The windows (k1, k2, start, count, key, h1, h2) that may repeat, the repeat groups' places in their segments,
+    and the hashes of the word runs in the windows that ``runs_wanted`` (k1, k2, t, windows) names."""
     texts = _with_keys(docs)
     windows = stored(texts.select("text", *ROW).mapInPandas(
         _find_windows, "k1 long, k2 long, start long, count int, key long, h1 long, h2 long"), "windows")
@@ -284,9 +297,15 @@ def places(docs: DataFrame, every_group: bool = False) -> tuple[DataFrame, DataF
             F.count("*").alias("copies"), F.min(F.struct(*ROW, "start", "count")).alias("one"))
         .select(*SEGMENT, "copies", "one.*"), "segments")
     wanted = segments.groupBy(*ROW).agg(F.collect_list(F.struct("start", "count", *SEGMENT, "copies")).alias("wanted"))
-    cut = stored(
-        texts.join(wanted, ROW).select("text", "wanted")
-        .mapInPandas(_cut, "key long, h1 long, h2 long, copies long, bytes binary"), "cut")
+    if runs_wanted is None:
+        wanted = wanted.selectExpr("*", "cast(null as long) as t", "cast(null as array<struct<start:int,count:int>>) as windows")
+    else:
+        wanted = wanted.join(runs_wanted, ROW, "full").withColumn("t", F.coalesce("t", F.lit(0)))
+    both = stored(
+        texts.drop("t").join(wanted, ROW).select("text", "wanted", "t", "windows")
+        .mapInPandas(_cut, "key long, h1 long, h2 long, copies long, bytes binary, t long, at array<int>, run array<long>"), "cut")
+    cut = both.filter("key is not null").select(*SEGMENT, "copies", "bytes")
+    runs = both.filter("t is not null").select("t", F.explode(F.arrays_zip("at", "run")).alias("x")).select("t", "x.at", "x.run")
     crowded = stored(cut.groupBy("key").count().filter(F.col("count") > MAX_SEGMENTS).select("key"), "crowded")
 
     few = cut.join(crowded, "key", "left_anti").repartition("key").sortWithinPartitions("key")
@@ -297,7 +316,7 @@ def places(docs: DataFrame, every_group: bool = False) -> tuple[DataFrame, DataF
     again = stored(positions.groupBy("g1", "g2").agg(F.sum("copies").alias("n")).filter("n > 1").select("g1", "g2"), "again")
     crowd = positions.join(again, ["g1", "g2"]).select(
         F.col("g1").alias("repeat"), F.lit(MIN_LEN).alias("length"), *SEGMENT, "pos")
-    return windows, stored(found.union(crowd), "places")
+    return windows, stored(found.union(crowd), "places"), runs
 
 
 def groups(docs: DataFrame) -> DataFrame:
@@ -310,7 +329,7 @@ def groups(docs: DataFrame) -> DataFrame:
     segments each repeated position is a group of MIN_LEN bytes, so the groups
     there depend on the size of the bucket. The bytes they cover do not.
     """
-    windows, found = places(docs, every_group=True)
+    windows, found, _ = places(docs, every_group=True)
     ids = _with_keys(docs).select("doc_id", *ROW)
     return found.join(windows, SEGMENT).join(ids, ROW).select(
         "repeat", "length", "doc_id", (F.col("start") + F.col("pos")).alias("start"))
@@ -336,24 +355,37 @@ def _join_spans(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _remove(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         rows = []
-        for doc_id, text, found in zip(pdf["doc_id"], pdf["text"], pdf["found"]):
+        columns = ("doc_id", "text", "found", "copies", "n_passages", "n_passage_words")
+        for doc_id, text, found, copies, n_passages, n_passage_words in zip(*(pdf[c] for c in columns)):
             data = text.encode("utf-8", "surrogatepass")
             spans = merged([(f["start"] + a, f["start"] + b) for f in (found if found is not None else ())
                             for a, b in zip(f["spans"][::2], f["spans"][1::2])])
             edges = [0, *(x for s in spans for x in s), len(data)]
             kept = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2]))
-            rows.append((doc_id, len(data), len(data) - len(kept), len(spans), [x for s in spans for x in s], kept))
-        out = pd.DataFrame(rows, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "spans", "kept"])
+            # Of a text that comes twice, all is a passage.
+            n = len(data.split()) if copies > 1 else 0
+            passage = (1, n) if n >= RUN_WORDS else (int(n_passages or 0), int(n_passage_words or 0))
+            rows.append((doc_id, len(data), len(data) - len(kept), len(spans), [x for s in spans for x in s], kept, *passage))
+        out = pd.DataFrame(rows, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "spans", "kept", "n_passages", "n_passage_words"])
         yield out.astype({"doc_id": "Int64"})
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, the removed spans (start, end, start, ...) and the kept bytes of every row."""
-    windows, found = places(docs)
+    """doc_id, n_bytes, n_removed, n_spans, the removed spans (start, end, start, ...) and the kept bytes of every row,
+    with n_passages and n_passage_words: its runs of more than 50 words that another row holds, whatever their bytes."""
+    keyed = _with_keys(docs)
+    # One row stands for all with the same text.
+    same = stored(keyed.groupBy("t").agg(F.min(F.struct(*ROW)).alias("one"), F.count("*").alias("copies")), "same-texts")
+    wanted = shared_windows(keyed).join(same, "t").select("one.*", "t", "windows")
+    windows, found, runs = places(docs, runs_wanted=wanted)
+    passage = same.join(passages(runs), "t", "left").filter("copies > 1 or n_passages > 0")
+    passage = keyed.select("t", *ROW).distinct().join(passage, "t").select(*ROW, "copies", "n_passages", "n_passage_words")
     spans = stored(
         found.groupBy(*SEGMENT).agg(F.collect_set(F.struct("pos", "length")).alias("own"))
         .mapInPandas(_join_spans, "key long, h1 long, h2 long, spans array<int>"), "spans")
     per_row = windows.join(spans, SEGMENT).groupBy(*ROW).agg(
         F.collect_set(F.struct("start", "spans")).alias("found"))
-    return _with_keys(docs).join(per_row, ROW, "left").select("doc_id", "text", "found").mapInPandas(
-        _remove, "doc_id long, n_bytes long, n_removed long, n_spans long, spans array<long>, kept binary")
+    per_row = per_row.join(passage, ROW, "full")
+    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    return keyed.join(per_row, ROW, "left").select("doc_id", "text", "found", *map(zero, ("copies", "n_passages", "n_passage_words"))).mapInPandas(
+        _remove, "doc_id long, n_bytes long, n_removed long, n_spans long, spans array<long>, kept binary, n_passages long, n_passage_words long")

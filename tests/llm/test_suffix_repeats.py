@@ -2,9 +2,11 @@
 
 import hashlib
 import random
+from collections import Counter
 
 import numpy as np
 
+from bazaarlens.llm import passages
 from bazaarlens.llm import suffix_repeats as R
 from bazaarlens.llm.common import ship_package
 from bazaarlens.llm.queries import RUNNERS
@@ -28,6 +30,24 @@ def direct(rows):
     return sorted(map(str, out))
 
 
+def direct_passages(rows):
+    """(id, maximal runs, words) of what lies in runs of 51 words that another row holds."""
+    texts = [(i, (t or "").encode().split(), t or "") for i, t in rows]
+    copies, holders = Counter(t for _, _, t in texts), {}
+    for _, w, t in texts:
+        for k in range(len(w) - 50):
+            holders.setdefault(b" ".join(w[k:k + 51]), set()).add(t)
+    out = []
+    for i, w, t in texts:
+        spans = R.merged([(k, k + 51) for k in range(len(w) - 50) if copies[t] > 1 or len(holders[b" ".join(w[k:k + 51])]) > 1])
+        out.append((i, len(spans), sum(b - a for a, b in spans)))
+    return sorted(map(str, out))
+
+
+def passages_of(rows):
+    return sorted(str((r["doc_id"], r["n_passages"], r["n_passage_words"])) for r in rows)
+
+
 def found(df):
     return sorted(str((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], hashlib.sha256(bytes(r["kept"])).hexdigest()))
                   for r in R.without_repeats(df).collect())
@@ -36,12 +56,14 @@ def found(df):
 def test_whole_table(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()]
     got = RUNNERS["op3_suffix_array_dedup"](spark, SMALL).collect()
-    assert sorted(str(tuple(r)) for r in got) == direct(rows)
+    assert sorted(str(tuple(r)[:5]) for r in got) == direct(rows)
+    assert passages_of(got) == direct_passages(rows)
 
 
 def test_awkward_rows(spark, docs, no_docs):
     ship_package(spark)
     assert found(docs) == direct([(r[0], r[1]) for r in awkward.rows()])
+    assert passages_of(R.without_repeats(docs).collect()) == direct_passages([(r[0], r[1]) for r in awkward.rows()])
     assert R.without_repeats(no_docs).count() == 0
 
 
@@ -101,3 +123,22 @@ def test_array_order_and_common_prefixes():
         a, b = suffixes[k - 1:k + 1]
         n = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
         assert array.lcp[k] == (n if n >= 4 else 0) and (n < 4 or a <= b)
+
+
+def test_passages_shorter_than_a_byte_repeat(spark, monkeypatch):
+    """Shared runs of 45 to 60 short words in other surroundings; very long texts in pieces."""
+    ship_package(spark)
+    rnd = random.Random(9)
+    prose = lambda n: " ".join("".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(1, 5))) for _ in range(n))
+    rows, i = [], 0
+    for n in range(45, 61):
+        shared = prose(n)
+        for blank in (" ", "\n"):
+            rows.append((i := i + 1, f"{prose(rnd.randint(0, 70))}{blank}{shared.replace(' ', blank)} {prose(30)}"))
+    rows += [(900, prose(400) + " " + rows[4][1]), (901, rows[9][1]), (902, "a a " * 80), (903, "a a " * 90), (904, None), (905, prose(51))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert passages_of(R.without_repeats(frame).collect()) == direct_passages(rows)
+    monkeypatch.setattr(passages, "CHUNK", 20)
+    for _, text in rows:
+        whole = passages.passage_windows(text or "")
+        assert whole[1].sum() == max(0, len((text or "").split()) - 50)
