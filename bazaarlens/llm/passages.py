@@ -79,7 +79,8 @@ def _find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def shared_windows(texts: DataFrame) -> DataFrame:
     """t and its windows whose minimizers other texts have, too; ``texts`` has t (a hash of the text) and text."""
     windows = stored(texts.select("t", "text").mapInPandas(_find, "t long, start int, count tinyint, key long"), "passage-windows")
-    shared = windows.groupBy("key").agg(F.min("t").alias("a"), F.max("t").alias("b")).filter("a <> b").select("key")
+    # Written, so that both sides of the join come from a plain shuffle and a hot key is split.
+    shared = stored(windows.groupBy("key").agg(F.min("t").alias("a"), F.max("t").alias("b")).filter("a <> b").select("key"), "passage-keys")
     return windows.join(shared, "key", "left_semi").groupBy("t").agg(
         F.collect_set(F.struct("start", F.col("count").cast("int").alias("count"))).alias("windows"))
 
