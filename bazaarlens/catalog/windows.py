@@ -12,6 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import days_between, money_out, month_of, months_index, pct, year_month
+from ..operators.frames import trailing_range, trailing_rows
 from ..operators.joins import grand_total
 from ..operators.ordered import ntile, ordered_scan, running_with_peers, value_ranks
 from ..operators.series import full_frame_only, trailing
@@ -205,6 +206,43 @@ def w17(t):
         money_out(F.sum("revenue").over(trailing("month", 5))).alias("sum_6_brl"))
 
 
+SELLER_ORDERS = """
+    with so as (select seller_id, order_id, bought_at, sum(price) as revenue from v_sold group by all)"""
+
+
+def seller_orders(t):
+    """One row per seller and delivered order."""
+    orders = base.delivered_orders(t).select("order_id", F.col("order_purchase_timestamp").alias("bought_at"))
+    return base.order_sellers(t, orders)
+
+
+@query("w17_trailing_rows_per_seller", SELLER_ORDERS + """
+    select seller_id, order_id, round(cast(sum(revenue) over f as double), 2) as last_3_brl, count(*) over f as rows_in_frame,
+           round(cast(max(revenue) over f as double), 2) as largest_brl,
+           round(cast(sum(revenue) over (partition by seller_id order by bought_at, order_id
+                                         rows between 3 preceding and 1 preceding) as double), 2) as prior_3_brl
+    from so window f as (partition by seller_id order by bought_at, order_id rows between 2 preceding and current row)""")
+def w17_per_seller(t):
+    # A seller may own a third of the orders: frames are computed in blocks with a halo.
+    measures = {"last_3": ("sum", "revenue"), "rows_in_frame": ("count", "order_id"), "largest": ("max", "revenue")}
+    order, by = ["bought_at", "order_id"], ["seller_id"]
+    now = trailing_rows(seller_orders(t), order, by, measures, 2)
+    return trailing_rows(now, order, by, {"prior_3": ("sum", "revenue")}, 3, 1).select(
+        "seller_id", "order_id", money_out("last_3").alias("last_3_brl"), "rows_in_frame",
+        money_out("largest").alias("largest_brl"), money_out("prior_3").alias("prior_3_brl"))
+
+
+@query("w19_range_days_per_seller", SELLER_ORDERS + """
+    select seller_id, order_id, round(cast(sum(revenue) over f as double), 2) as last_60_days_brl, count(*) over f as orders_60_days
+    from so window f as (partition by seller_id order by cast(bought_at as date)
+                         range between interval 60 day preceding and current row)""")
+def w19_per_seller(t):
+    orders = cut_lineage(seller_orders(t).withColumn("day", F.to_date("bought_at")))
+    measures = {"last_60_days": ("sum", "revenue"), "orders_60_days": ("count", "order_id")}
+    return trailing_range(orders, "day", ["seller_id"], measures, 60).select(
+        "seller_id", "order_id", money_out("last_60_days").alias("last_60_days_brl"), "orders_60_days")
+
+
 @query("w18_frame_without_current_row", SERIES + """
     select strftime(month, '%Y-%m') as month,
            round(cast(sum(revenue) over (order by month rows between 3 preceding and 1 preceding) as double), 2) as prior_3_brl

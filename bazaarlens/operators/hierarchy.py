@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import count
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,30 +44,26 @@ def prefix_tree(leaves: DataFrame, code: str, depths: int) -> DataFrame:
 
 
 def closure(edges: DataFrame) -> DataFrame:
-    """All (ancestor, descendant, distance) pairs of a parent-child relation.
+    """All (ancestor, descendant, distance) pairs of a parent-child relation, at their least distance.
 
-    New pairs of a round are extended by one edge in the next; known pairs are
-    left out, which ends cycles. Every round is written to the shared folder, so
-    neither the plan nor the lineage grows, and the loop stops on an empty round.
+    Paths are doubled: a least path of more than ``reach`` edges, up to twice as
+    many, is one of exactly ``reach`` edges and a known one. So every round joins
+    the pairs at that distance with all known pairs, keeps the least sum, and
+    leaves known pairs out, which also ends cycles. A chain of n edges takes about
+    log2(n) rounds. Every round is written to the shared folder, so neither the
+    plan nor the lineage grows.
     """
-    step = cut_lineage(edges.select("parent", "child").distinct())
-    fresh = step.select(F.col("parent").alias("ancestor"), F.col("child").alias("descendant"), F.lit(1).alias("distance"))
-    rounds = [fresh]
-    seen = fresh.select("ancestor", "descendant")
-    for distance in count(2):
-        extended = (
-            fresh.join(step, F.col("descendant") == F.col("parent"))
-            .select("ancestor", F.col("child").alias("descendant"))
-            .distinct()
-            .join(seen, ["ancestor", "descendant"], "left_anti")
-            .withColumn("distance", F.lit(distance))
+    known = cut_lineage(edges.select(
+        F.col("parent").alias("ancestor"), F.col("child").alias("descendant"), F.lit(1).alias("distance")).distinct())
+    reach = 1
+    while True:
+        farthest = known.filter(F.col("distance") == reach).select("ancestor", F.col("descendant").alias("via"))
+        if farthest.isEmpty():
+            return known
+        onward = known.select(F.col("ancestor").alias("via"), "descendant", (F.col("distance") + reach).alias("distance"))
+        longer = (
+            farthest.join(onward, "via").groupBy("ancestor", "descendant").agg(F.min("distance").alias("distance"))
+            .join(known.select("ancestor", "descendant"), ["ancestor", "descendant"], "left_anti")
         )
-        fresh = cut_lineage(extended)
-        if fresh.isEmpty():
-            break
-        rounds.append(fresh)
-        seen = seen.unionByName(fresh.select("ancestor", "descendant"))
-    out = rounds[0]
-    for part in rounds[1:]:
-        out = out.unionByName(part)
-    return out
+        known = known.unionByName(cut_lineage(longer))
+        reach *= 2
