@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import money_out, pct
 from ..operators.hierarchy import closure, prefix_rollup
 from ..operators.joins import grand_total
+from ..operators.lattice import grouping_lattice
 from ..operators.ordered import value_ranks
 from ..operators.topk import share_of_group
 from ..plans import customers, delivery
@@ -106,6 +107,18 @@ def h06(t):
     )
 
 
+@query("h06_grouping_lattice", ROLLED)
+def h06_lattice(t):
+    # Five levels, each from the level below it; a leaf is read once.
+    levels = [f"p{d}" for d in range(1, 6)]
+    leaves = customers.zip_leaves(t).select("state", "revenue", "orders", *[F.substring("zip", 1, d).alias(c) for d, c in enumerate(levels, 1)])
+    measures = {"revenue": ("sum", "revenue"), "orders": ("sum", "orders"), "leaf_zips": ("groups", None), "state": ("min", "state")}
+    rows = grouping_lattice(leaves, [levels[:d] for d in range(1, 6)], measures)
+    return rows.select(
+        (F.col("set") + 1).cast("long").alias("depth"), F.coalesce(*reversed(levels)).alias("node"),
+        money_out("revenue").alias("revenue_brl"), F.col("orders"), "leaf_zips", "state")
+
+
 @query("h07_closure", """
     with recursive edge as (
         select distinct left(customer_zip_code_prefix, d) as parent, left(customer_zip_code_prefix, d + 1) as child
@@ -213,13 +226,12 @@ def x03(t):
 @query("x04_approximate_distinct", """
     select seller_id, count(distinct order_id) as orders, true as within_ten_percent from v_items group by 1""")
 def x04(t):
-    # Both counts work on the distinct pairs: next to an exact distinct count over
-    # the lines, Spark would carry a sketch for every pair.
-    pairs = t.order_items.select("seller_id", "order_id").distinct()
-    counted = pairs.groupBy("seller_id").agg(
-        F.count("*").alias("orders"), F.approx_count_distinct("order_id", 0.02).alias("approx"))
+    # The sketch is made of the lines and shuffles one row per seller and task; the
+    # exact count, which shuffles every pair, only stands beside it to compare.
+    approx = t.order_items.groupBy("seller_id").agg(F.approx_count_distinct("order_id", 0.02).alias("approx"))
+    exact = t.order_items.select("seller_id", "order_id").distinct().groupBy("seller_id").agg(F.count("*").alias("orders"))
     error = F.abs(F.col("approx") - F.col("orders")) / F.col("orders")
-    return counted.select("seller_id", "orders", (error <= 0.1).alias("within_ten_percent"))
+    return exact.join(approx, "seller_id").select("seller_id", "orders", (error <= 0.1).alias("within_ten_percent"))
 
 
 @query("x04_mergeable_distinct", """

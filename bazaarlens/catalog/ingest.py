@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from ..functions import money_out, month_of
 from ..operators.series import month_spine_between
 from ..plans import checks, ranking
-from ..sources import csv_ingest, store
+from ..sources import csv_ingest, store, versions
 from ..sources.durable import scratch_path
 from ..sources.schemas import ORDERS, PRODUCTS, TABLES, TRANSLATION, TableSpec
 from .registry import query
@@ -314,6 +314,21 @@ def s18_time(t):
     ])
 
 
+@query("s19_version_difference", """
+    select 'inserted' as change, count(*) as orders, cast(sum(order_id) as bigint) as ids from v_orders where order_id % 11 = 0
+    union all select 'removed', count(*), cast(sum(order_id) as bigint) from v_orders where order_id % 13 = 0 and order_id % 11 <> 0
+    union all select 'changed', count(*), cast(sum(order_id) as bigint) from v_orders
+    where order_id % 17 = 0 and order_id % 11 <> 0 and order_id % 13 <> 0""")
+def s19_difference(t):
+    # Two stored versions: orders that came, that went, and that got another state.
+    key, old, new = F.col("order_id"), scratch_path(t.spark, "version"), scratch_path(t.spark, "version")
+    versions.write_version(t.orders.filter(key % 11 != 0), ["order_id"], old, 32)
+    state = F.when(key % 17 == 0, "returned").otherwise(F.col("order_status"))
+    versions.write_version(t.orders.filter((key % 13 != 0) | (key % 11 == 0)).withColumn("order_status", state), ["order_id"], new, 32)
+    found = versions.difference(t.spark, old, new, t.orders.schema, ["order_id"])
+    return found.groupBy("change").agg(F.count("*").alias("orders"), F.sum("order_id").alias("ids"))
+
+
 @query("s19_reproducibility_check", """
     select count(distinct seller_id) as first_rows, count(distinct seller_id) as second_rows, true as equal from v_sold""")
 def s19(t):

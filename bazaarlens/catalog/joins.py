@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import money_out, pct, quotient, year_month
 from ..operators.hierarchy import with_ancestors
-from ..operators.joins import grand_total, labelled, orphans, per_parent, repeated_sum, role_join
+from ..operators.joins import grand_total, labelled, orphans, per_parent, repeated_sum, role_join, small_side
 from ..operators.skew import join_per_key
 from ..operators.series import densify, month_spine
 from ..operators.topk import top_k
@@ -81,7 +81,9 @@ def j06(t):
     sellers = t.sellers.select("seller_id", F.col("seller_zip_code_prefix").alias("seller_zip"))
     legs = base.order_sellers(t, places.drop("customer_id")).join(sellers, "seller_id").select(
         "order_id", "customer_zip", "seller_zip").distinct()
-    points = t.geolocation_centroid.select("zip", F.round("lat", 6).alias("lat"))
+    # Counted to be small, the centroids are broadcast; a larger table is joined from
+    # its files, so that a hot zip is split.
+    points = small_side(cut_lineage(t.geolocation_centroid.select("zip", F.round("lat", 6).alias("lat"))))
     return role_join(legs, points, "zip", [("customer_zip", "customer"), ("seller_zip", "seller")]).select(
         "order_id", "customer_zip", "seller_zip", "customer_lat", "seller_lat"
     )
