@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions import money_out, pct, quotient, year_month
+from ..functions import money_out, month_of, pct, quotient, year_month
 from ..operators.hierarchy import with_ancestors
 from ..operators.joins import grand_total, labelled, orphans, per_parent, repeated_sum, role_join, small_side
 from ..operators.skew import join_per_key
 from ..operators.series import densify, month_spine
 from ..operators.topk import top_k
 from ..plans import base, trend
+from ..sources.buckets import BucketedTables
 from ..sources.durable import cut_lineage
 from .registry import query
 from .reports import EARLY_MONTHS, GAP
@@ -176,6 +177,24 @@ def j14(t):
     return t.orders.select("order_id").join(items, "order_id").join(paid, "order_id", "left")
 
 
+@query("j14_co_bucketed_children", """
+    with i as (select order_id, sum(price) as items, count(*) as lines from v_items group by 1),
+    p as (select order_id, sum(payment_value) as paid, count(*) as payments from v_payments group by 1)
+    select cast(date_trunc('month', o.order_purchase_timestamp) as date) as month, count(*) as orders,
+           cast(sum(lines) as bigint) as lines, cast(sum(payments) as bigint) as payments,
+           round(cast(sum(items) as double), 2) as items_brl, round(cast(sum(paid) as double), 2) as paid_brl
+    from v_orders o join i using (order_id) left join p using (order_id) group by 1""")
+def j14_co_bucketed(t):
+    # Orders, lines and payments lie together: only the months are shuffled.
+    b = BucketedTables(t)
+    items = per_parent(b.order_items, "order_id", items=F.sum("price"), lines=F.count("*"))
+    paid = per_parent(b.order_payments, "order_id", paid=F.sum("payment_value"), payments=F.count("*"))
+    joined = b.orders.select("order_id", "order_purchase_timestamp").join(items, "order_id").join(paid, "order_id", "left")
+    return joined.groupBy(month_of("order_purchase_timestamp").alias("month")).agg(
+        F.count("*").alias("orders"), F.sum("lines").alias("lines"), F.sum("payments").alias("payments"),
+        money_out(F.sum("items")).alias("items_brl"), money_out(F.sum("paid")).alias("paid_brl"))
+
+
 @query("j15_fan_out_inflation", """
     select count(*) as joined_rows, count(distinct (order_id, order_item_id)) as true_lines,
            round(cast(sum(price) as double), 2) as inflated_brl
