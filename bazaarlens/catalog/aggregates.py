@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions import mean, money_out, pct, quarter_of, quotient
+from ..functions import mean, money_out, month_of, pct, quarter_of, quotient
+from ..operators.bitmaps import count_distinct, stored_bitmaps
 from ..operators.ordered import ntile
 from ..plans import base, customers
+from ..sources.durable import cut_lineage
 from .registry import query
 from .reports import DATED
 
@@ -189,3 +192,27 @@ def a21(t):
         F.count("*").alias("people"), money_out(F.min("lifetime_value")).alias("smallest_brl"),
         money_out(F.max("lifetime_value")).alias("largest_brl"),
     )
+
+
+@query("a04_mergeable_bitmaps", """
+    with levels as (
+        select 0 as depth, '' as node, person, order_id from v_order_value
+        where bought_at >= timestamp '1995-03-01' and bought_at < timestamp '1996-02-01'
+        union all
+        select 1, left(zip, 1), person, order_id from v_order_value
+        where bought_at >= timestamp '1995-03-01' and bought_at < timestamp '1996-02-01')
+    select depth, node, count(distinct person) as people, count(distinct order_id) as orders from levels group by all""")
+def a04_bitmaps(t):
+    # Bitmaps per month and first digit of the zip; eleven months are merged, per digit and over all.
+    people = t.customers.select("customer_id", F.col("customer_unique_id").alias("person"), F.left("customer_zip_code_prefix", F.lit(1)).alias("node"))
+    facts = cut_lineage(base.order_revenue(t).join(people, "customer_id").select(
+        month_of("order_purchase_timestamp").alias("month"), "node", "person", "order_id"))
+    made = {name: stored_bitmaps(facts, ["month", "node"], column) for column, name in (("person", "people"), ("order_id", "orders"))}
+
+    def counts(depth: int) -> DataFrame:
+        node = F.left("node", F.lit(depth))
+        of = {name: count_distinct(b.filter(F.col("month").between("1995-03-01", "1996-01-01")).withColumn("node", node), ["node"], name)
+              for name, b in made.items()}
+        return of["people"].join(of["orders"], "node").select(F.lit(depth).alias("depth"), "node", "people", "orders")
+
+    return counts(0).unionByName(counts(1))
