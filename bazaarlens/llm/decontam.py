@@ -1,144 +1,147 @@
-"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
-
-1. Every run of SEED_WORDS words of a benchmark item is a seed, however many
-   documents hold it: an edited copy may hold only a common one.
-2. Where a document holds a seed, the words around it that an alignment of the
-   threshold can reach form a window: MISMATCH and GAP bound the words that can
-   be inserted. Overlapping windows are joined.
-3. A window is left out if too few of the item's words occur in it for the
-   threshold, were all of them in order. So common seeds cost no alignment, and
-   every alignment of the threshold that holds a seed is found.
-4. The item is aligned with each window by Smith-Waterman over words. The score
+"""Benchmark decontamination: rare n-gram seeds joined to items, then Smith-Waterman alignment.
+
+1. The pairs of neighbouring words of a benchmark item, and those with one word
+   between, are its possible seeds. One pass over the documents counts those that
+   hold each pair.
+2. Of each item the rarest pairs become seeds: so many that no alignment of the
+   threshold avoids them all. ``best_without`` proves that, as the best score of
+   an alignment that avoids a set of pairs, so an edited copy is not lost
+   wherever its edits fall.
+3. A second pass finds the seeds in the documents; the hits are joined with the
+   items by seed. Around a hit the words that an alignment of the threshold can
+   reach form a window (MISMATCH and GAP bound the inserted words), and
+   overlapping windows of an item are joined.
+4. A window is left out if too few of the item's words occur in it for the
+   threshold, were all of them in order.
+5. The item is aligned with each window by Smith-Waterman over words. The score
    divided by that of a perfect match is the similarity; a document with
    THRESHOLD or more leaks the item.
 
-Words are runs of letters and digits, lower-cased. The benchmark is taken in
-blocks of about BLOCK_WORDS words, each one held by the executors while the
-documents pass by; the documents are not shuffled.
-
-Items without a word match nothing; the seed of an item with fewer than SEED_WORDS
-words is the whole of it. Repeated items count once; an item without an id is
-reported with a null id unless one with an id has the same text. Null and empty texts leak nothing. Repeated rows and rows
-without an id are reported each. Other columns are carried along unread.
+Words are runs of letters and digits, lower-cased, and are compared by a 63-bit
+hash. Both passes skip pairs by a bitmap of the benchmark's pairs, of MOST_BITS
+at most; what it lets through in vain is dropped by the join. Documents are read
+twice whatever the size of the benchmark, and only words near a hit are shuffled.
+
+Items without a word match nothing; those of up to WHOLE_WORDS words (or so few that
+one word reaches the threshold) are found only whole. Repeated items count once; an
+item without an id is reported with a null id unless one with an id has the same
+text. Null and empty texts leak nothing. Repeated rows and rows without an id are
+reported each. Of equal alignments the first is reported. Very long texts are
+searched whole. Other columns are carried along unread.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
-from itertools import repeat
+from functools import cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
 from .common import doc_texts, stored
+from .words import Remembered
 
-SEED_WORDS = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
 THRESHOLD = 0.5
-BLOCK_WORDS = 200_000
+WHOLE_WORDS = 3
+MOST_BITS = 1 << 28
+BITS_PER_PAIR = 16
+BLOCK = 1 << 16  # bits
 WINDOWS_AT_ONCE = 256
+WORDS_AT_ONCE = 1 << 20
+ROWS_PER_TASK = 50_000
 SLACK = 1e-9
 WORD = re.compile(r"[^\W_]+")
+RESULT = "doc_id long, row_key long, item_id long, similarity double, start_word int, end_word int"
 
 
 def words_of(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
 
-@dataclass
-class Index:
-    """One block of benchmark items: words as numbers from 1, seeds as sorted codes."""
-
-    item_ids: list[int | None]
-    items: list[np.ndarray]
-    number: dict[str, int]
-    seeds: np.ndarray  # distinct codes in order
-    seed_of: np.ndarray  # for each place: position in ``seeds``, in order
-    item_of: np.ndarray
-    offset_of: np.ndarray
-    lengths: np.ndarray  # words of each item
-    runs: list[int]  # words of a seed: SEED_WORDS, and the lengths of shorter items
-
-    def code(self, ids: np.ndarray, run: int) -> np.ndarray:
-        """Codes of all runs of ``run`` words; 0 where a word is not in the block."""
-        n = len(ids) - run + 1
-        if n <= 0:
-            return np.zeros(0, np.int64)
-        size = len(self.number) + 1
-        code, known = np.zeros(n, np.int64), np.ones(n, bool)
-        for j in range(run):
-            part = ids[j:j + n]
-            code = code * size + part
-            known &= part > 0
-        return np.where(known, code, 0)
-
-    def numbers(self, text: str) -> np.ndarray:
-        return np.fromiter(map(self.number.get, words_of(text), repeat(0)), np.int64)
-
-    def found(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Positions in a text where a seed begins, and which seed."""
-        none = np.zeros(0, np.int64)
-        places, seeds = [none], [none]
-        for run in self.runs if len(self.seeds) else ():
-            code = self.code(ids, run)
-            at = np.flatnonzero(code)
-            s = np.minimum(np.searchsorted(self.seeds, code[at]), len(self.seeds) - 1)
-            hit = self.seeds[s] == code[at]
-            places.append(at[hit])
-            seeds.append(s[hit])
-        return np.concatenate(places), np.concatenate(seeds)
-
-
-def build_index(rows: list[tuple[int | None, str]]) -> Index:
-    number: dict[str, int] = {}
-    item_ids, items = [], []
-    for item_id, text in rows:
-        w = words_of(text)
-        if w:
-            item_ids.append(item_id)
-            items.append(np.array([number.setdefault(x, len(number) + 1) for x in w], np.int64))
-    lengths = np.array([len(x) for x in items], np.int64)
-    runs = sorted({min(len(x), SEED_WORDS) for x in items})
-    index = Index(item_ids, items, number, *[np.zeros(0, np.int64)] * 4, lengths, runs)
-    # Numbers begin with 1, so codes of runs of different lengths differ.
-    codes = [index.code(x, min(len(x), SEED_WORDS)) for x in items]
-    if codes:
-        flat = np.concatenate(codes)
-        order = np.argsort(flat, kind="stable")
-        index.seeds, index.seed_of = np.unique(flat[order], return_inverse=True)
-        index.item_of = np.repeat(np.arange(len(items)), [len(c) for c in codes])[order]
-        index.offset_of = np.concatenate([np.arange(len(c)) for c in codes])[order]
-    return index
-
-
-def windows(index: Index, ids: np.ndarray, threshold: float = THRESHOLD) -> list[tuple[int, int, int]]:
-    """(item, start, end) of the joined windows around seeds that may hold an alignment of the threshold."""
-    at, seed = index.found(ids)
-    if not len(at):
-        return []
-    first, last = np.searchsorted(index.seed_of, seed, "left"), np.searchsorted(index.seed_of, seed, "right")
-    n = last - first
-    place = np.repeat(first, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    at = np.repeat(at, n)
-    item = index.item_of[place]
-    length = index.lengths[item]
-    # A perfect match less one GAP per inserted word must reach the threshold.
-    room = (MATCH * length * max(1 - threshold, 0) / -GAP + SLACK).astype(np.int64)
-    start = np.maximum(at - index.offset_of[place] - room, 0)
-    end = np.minimum(at - index.offset_of[place] + length + room, len(ids))
-    out: list[tuple[int, int, int]] = []
-    for k in np.lexsort((start, item)):
-        i, a, b = int(item[k]), int(start[k]), int(end[k])
-        if out and out[-1][0] == i and a <= out[-1][2]:
-            out[-1] = (i, out[-1][1], max(b, out[-1][2]))
-        else:
-            out.append((i, a, b))
-    return [(i, a, b) for i, a, b in out
-            if np.isin(index.items[i], ids[a:b]).sum() >= threshold * len(index.items[i]) - SLACK]
+@cache
+def _hashes() -> Remembered:
+    """Word to a positive 63-bit number; one per Python worker."""
+    return Remembered(lambda w: (xxh64_intdigest(w.encode()) >> 1) or 1)
+
+
+def numbers(text: str | None) -> np.ndarray:
+    return np.fromiter(map(_hashes().__getitem__, words_of(text)), np.int64)
+
+
+def pair_codes(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """A 64-bit number for each pair of words."""
+    code = first.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + second.astype(np.uint64)
+    code = (code ^ (code >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return (code ^ (code >> np.uint64(32))).view(np.int64)
+
+
+def pairs_at(ids: np.ndarray, singles: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code, place of the first word and span of all pairs; span 0 is a word by itself."""
+    codes, places, spans = [], [], []
+    for span in (0, 1, 2) if singles else (1, 2):
+        n = max(len(ids) - span, 0)
+        codes.append(pair_codes(ids[:n], ids[span:] if span else np.zeros(n, np.int64)))
+        places.append(np.arange(n))
+        spans.append(np.full(n, span))
+    return np.concatenate(codes), np.concatenate(places), np.concatenate(spans)
+
+
+def is_whole(length: int, threshold: float) -> bool:
+    """Whether an item of so many words counts only if all of it is found."""
+    return length <= WHOLE_WORDS or threshold * length <= 1 + SLACK
+
+
+def room(length, threshold: float):
+    """Words that an alignment of the threshold can have besides the item's: each one costs a GAP."""
+    return (MATCH * length * max(1 - threshold, 0) / -GAP + SLACK).astype(np.int64)
+
+
+def best_without(length: int, adjacent: np.ndarray, skipping: np.ndarray) -> int:
+    """Best score of an alignment with an item that holds none of the marked pairs.
+
+    ``adjacent[i]`` marks the words i and i + 1, ``skipping[i]`` i and i + 2. Matches
+    that follow each other with a unmatched words of the item and b of the text
+    between them cost max(a, b) at least; a and b of at most one make a pair.
+    """
+    best = [MATCH] * length
+    far = 0
+    for j in range(1, length):
+        reach = best[j - 1] - (2 if adjacent[j - 1] else 0)
+        if j >= 2:
+            reach = max(reach, best[j - 2] - (2 if skipping[j - 2] else 1))
+        if j >= 3:
+            far = max(far - 1, best[j - 3] - 2)
+            reach = max(reach, far)
+        best[j] = MATCH + max(reach, 0)
+    return max(best)
+
+
+def choose(length: int, places: np.ndarray, spans: np.ndarray, codes: np.ndarray, weights: np.ndarray, threshold: float) -> np.ndarray:
+    """Marks the places of the pairs that become seeds: the lightest, as many as the threshold needs."""
+    order = np.lexsort((codes, weights))
+    rank = np.zeros(len(codes), np.int64)
+    rank[order] = np.cumsum(np.r_[False, codes[order][1:] != codes[order][:-1]])
+    if is_whole(length, threshold):
+        usable = spans == min(length - 1, 1)
+        return usable & (rank == rank[usable].min())
+
+    def enough(n: int) -> bool:
+        used = {s: np.zeros(length, bool) for s in (1, 2)}
+        for s, mark in used.items():
+            mark[places[(spans == s) & (rank < n)]] = True
+        return best_without(length, used[1], used[2]) < (threshold - SLACK) * MATCH * length
+
+    low, high = 1, int(rank.max()) + 1
+    while low < high:
+        middle = (low + high) // 2
+        low, high = (low, middle) if enough(middle) else (middle + 1, high)
+    return rank < low
 
 
 def align(item: np.ndarray, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -164,60 +167,213 @@ def align(item: np.ndarray, texts: list[np.ndarray]) -> tuple[np.ndarray, np.nda
     return best, where
 
 
-def _blocks(benchmark: DataFrame, block_words: int) -> Iterator[Index]:
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
+def _items(benchmark: DataFrame) -> DataFrame:
+    """item_key, ids and words of the distinct texts that have a word."""
+    texts = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     # Without nulls, so that a null id is left only where no item with an id has the text.
-    items = items.dropna(subset=["text"]).groupBy("text").agg(F.collect_set("item_id").alias("ids"))
-    items = items.select(F.explode_outer("ids").alias("item_id"), "text")
-    total = items.agg(F.sum(F.size(F.split("text", "\\s+")))).first()[0] or 0
-    n = -(-total // block_words)
-    for b in range(n):
-        own = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == b).orderBy("item_id", "text")
-        yield build_index([(r["item_id"], r["text"]) for r in own.collect()])
+    texts = texts.dropna(subset=["text"]).groupBy("text").agg(F.collect_set("item_id").alias("ids"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pdf[["item_key", "ids"]].assign(item=[numbers(t) for t in pdf["text"]])
+
+    texts = texts.select(F.xxhash64("text").alias("item_key"), "ids", "text")
+    return texts.mapInPandas(run, "item_key long, ids array<long>, item array<long>").filter(F.size("item") > 0)
+
+
+def _pairs(items: DataFrame) -> DataFrame:
+    """item_key, length, place, span and pair of all possible seeds; a word itself only of an item of one word."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for key, item in zip(pdf["item_key"], pdf["item"]):
+                pair, place, span = pairs_at(np.asarray(item, np.int64), len(item) == 1)
+                yield pd.DataFrame({"item_key": key, "length": len(item), "place": place, "span": span, "pair": pair})
+
+    return items.select("item_key", "item").mapInPandas(run, "item_key long, length int, place int, span int, pair long")
+
+
+def _bitmap(pairs: DataFrame, most_bits: int) -> np.ndarray:
+    """A bit for each remainder of a pair; a power of two of bits, most_bits at most."""
+    n, bits = pairs.count(), BLOCK
+    while bits < min(n * BITS_PER_PAIR, most_bits):
+        bits *= 2
+    bits = min(bits, most_bits)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            blocks = []
+            for held in pdf["held"]:
+                block = np.zeros(BLOCK, np.uint8)
+                block[np.asarray(held, np.int64)] = 1
+                blocks.append(np.packbits(block).tobytes())
+            yield pd.DataFrame({"block": pdf["block"], "bits": blocks})
+
+    bit = F.col("pair").bitwiseAND(F.lit(bits - 1))
+    rows = pairs.select(F.shiftright(bit, BLOCK.bit_length() - 1).alias("block"), bit.bitwiseAND(F.lit(BLOCK - 1)).alias("bit"))
+    rows = rows.groupBy("block").agg(F.collect_set("bit").alias("held")).mapInPandas(run, "block long, bits binary").collect()
+    size = max(bits, BLOCK) // 8
+    bitmap = np.zeros(size, np.uint8)
+    for r in rows:
+        at = r["block"] * (BLOCK // 8)
+        bitmap[at:at + BLOCK // 8] = np.frombuffer(r["bits"], np.uint8)
+    return bitmap[: max(bits // 8, 1)]
+
+
+def _in_bitmap(bitmap: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    bit = codes & np.int64(len(bitmap) * 8 - 1)
+    return (bitmap[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8)) & 1 == 1
+
+
+def _frequencies(texts: DataFrame, shared, singles: bool) -> DataFrame:
+    """Documents that hold each pair of the bitmap, added up in each batch first."""
+
+    def run(batches):
+        for batch in batches:
+            found = []
+            for text in batch.column("text").to_pylist():
+                codes, _, _ = pairs_at(numbers(text), singles)
+                found.append(np.unique(codes[_in_bitmap(shared.value, codes)]))
+            pair, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.int64),) * 2
+            yield pa.RecordBatch.from_arrays([pa.array(pair, pa.int64()), pa.array(n, pa.int64())], ["pair", "n"])
+
+    return texts.select("text").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+
+
+def seeds(pairs: DataFrame, texts: DataFrame, threshold: float, singles: bool, most_bits: int) -> DataFrame:
+    """pair, item_key, place and length of the seeds that some document holds."""
+    held = pairs.groupBy("pair").agg(F.count_distinct("item_key").alias("items"))
+    shared = texts.sparkSession.sparkContext.broadcast(_bitmap(held, most_bits))
+    weights = held.join(_frequencies(texts, shared, singles), "pair", "left").select(
+        "pair", F.coalesce("n", F.lit(0)).alias("n"), (F.coalesce("n", F.lit(0)) * F.col("items")).alias("weight"))
+    of_item = pairs.join(weights, "pair").groupBy("item_key", "length").agg(
+        *[F.collect_list(c).alias(c) for c in ("place", "span", "pair", "weight", "n")])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for r in pdf.itertuples(index=False):
+                place, span, pair, weight, n = (np.asarray(x, np.int64) for x in (r.place, r.span, r.pair, r.weight, r.n))
+                used = choose(r.length, place, span, pair, weight, threshold) & (n > 0)
+                yield pd.DataFrame({"pair": pair[used], "item_key": r.item_key, "place": place[used], "length": r.length})
+
+    return of_item.mapInPandas(run, "pair long, item_key long, place int, length int")
+
+
+def _suspects(texts: DataFrame, shared, reach: int, singles: bool) -> DataFrame:
+    """row_key, doc_id, words (0 beyond the reach of all hits), and the pairs and places of the hits."""
+
+    def lists(parts: list[np.ndarray], kind) -> pa.Array:
+        offsets = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(parts), kind))
+
+    def written(rows: list[tuple]) -> pa.RecordBatch:
+        key, doc_id, words, pairs, places = zip(*rows)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(key, pa.int64()), pa.array(doc_id, pa.int64()), lists(words, pa.int64()), lists(pairs, pa.int64()), lists(places, pa.int32())],
+            ["row_key", "doc_id", "words", "pairs", "places"])
+
+    def run(batches):
+        rows, n = [], 0
+        for batch in batches:
+            for key, doc_id, text in zip(*(batch.column(c).to_pylist() for c in ("row_key", "doc_id", "text"))):
+                ids = numbers(text)
+                codes, places, _ = pairs_at(ids, singles)
+                at = np.flatnonzero(_in_bitmap(shared.value, codes))
+                if not len(at):
+                    continue
+                edge = np.zeros(len(ids) + 1, np.int64)
+                np.add.at(edge, np.maximum(places[at] - reach, 0), 1)
+                np.add.at(edge, np.minimum(places[at] + reach, len(ids)), -1)
+                rows.append((key, doc_id, np.where(np.cumsum(edge)[:-1] > 0, ids, 0), codes[at], places[at].astype(np.int32)))
+                n += len(ids)
+                if n >= WORDS_AT_ONCE:
+                    yield written(rows)
+                    rows, n = [], 0
+        if rows:
+            yield written(rows)
+
+    return texts.mapInArrow(run, "row_key long, doc_id long, words array<long>, pairs array<long>, places array<int>")
+
+
+def _windows(hits: DataFrame, threshold: float) -> DataFrame:
+    """row_key, item_key and the joined windows (first word, number of words) around the hits."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            spare = room(pdf["length"].to_numpy(), threshold)
+            starts, sizes = [], []
+            for found, length, more in zip(pdf["found"], pdf["length"], spare):
+                at = np.sort(np.asarray(found, np.int64))
+                first, last = np.maximum(at - more, 0), at + length + more
+                new = np.flatnonzero(np.r_[True, first[1:] > last[:-1]])
+                starts.append(first[new])
+                sizes.append(last[np.r_[new[1:], len(at)] - 1] - first[new])
+            yield pd.DataFrame({"row_key": pdf["row_key"], "item_key": pdf["item_key"], "starts": starts, "sizes": sizes})
+
+    grouped = hits.groupBy("row_key", "item_key").agg(F.first("length").alias("length"), F.collect_set("start").alias("found"))
+    return grouped.mapInPandas(run, "row_key long, item_key long, starts array<int>, sizes array<int>")
+
 
+def _aligned(candidates: DataFrame, threshold: float) -> DataFrame:
+    """The candidates whose best window reaches the threshold."""
 
-def _matches(texts: DataFrame, shared, threshold: float) -> DataFrame:
-    def scored(pdf: pd.DataFrame, index: Index) -> list[tuple]:
+    def scored(pdf: pd.DataFrame) -> pd.DataFrame:
         work: dict[int, list[tuple]] = {}
-        for row, (doc_id, key, text) in enumerate(zip(pdf["doc_id"], pdf["row_key"], pdf["text"])):
-            ids = index.numbers(text)
-            for item, a, b in windows(index, ids, threshold):
-                work.setdefault(item, []).append((b - a, row, doc_id, key, a, ids[a:b]))
-        best: dict[tuple, tuple] = {}
-        for item, found in work.items():
-            found.sort(key=lambda x: x[0])
-            words = index.items[item]
+        for row, (key, item, starts, parts) in enumerate(zip(pdf["item_key"], pdf["item"], pdf["starts"], pdf["parts"])):
+            least = 1.0 if is_whole(len(item), threshold) else threshold
+            for start, part in zip(starts, parts):
+                if np.isin(item, part).sum() >= least * len(item) - SLACK:
+                    work.setdefault(key, []).append((len(part), row, int(start), np.asarray(part, np.int64)))
+        best: dict[int, tuple] = {}
+        for found in work.values():
+            found.sort(key=lambda x: x[:3])
+            words = np.asarray(pdf["item"].iat[found[0][1]], np.int64)
+            least = 1.0 if is_whole(len(words), threshold) else threshold
             for k in range(0, len(found), WINDOWS_AT_ONCE):
                 group = found[k:k + WINDOWS_AT_ONCE]
-                scores, ends = align(words, [g[5] for g in group])
-                for (_, row, doc_id, key, a, ids), score, end in zip(group, scores, ends):
+                scores, ends = align(words, [g[3] for g in group])
+                for (_, row, start, part), score, end in zip(group, scores, ends):
                     similarity = score / (MATCH * len(words))
-                    if similarity >= threshold and similarity > best.get((row, item), (0,))[0]:
+                    last = best.get(row)
+                    if similarity >= least - SLACK and (last is None or (similarity, -start) > (last[0], -last[1])):
                         # The same alignment backwards ends where this one begins.
-                        _, back = align(words[::-1], [ids[: end + 1][::-1]])
-                        best[row, item] = (similarity, doc_id, key, a + int(end) - int(back[0]), a + int(end) + 1)
-        return [(d, k, index.item_ids[item], round(float(s), 6), x, y) for (_, item), (s, d, k, x, y) in best.items()]
+                        _, back = align(words[::-1], [part[: end + 1][::-1]])
+                        best[row] = similarity, start, start + int(end) - int(back[0]), start + int(end) + 1
+        rows = pdf.iloc[list(best)][["doc_id", "row_key", "ids"]]
+        return rows.assign(similarity=[round(float(b[0]), 6) for b in best.values()],
+                           start_word=[b[2] for b in best.values()], end_word=[b[3] for b in best.values()])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            found = pd.DataFrame(scored(pdf, shared.value), columns=["doc_id", "row_key", "item_id", "similarity", "start_word", "end_word"])
-            yield found.assign(item_id=pd.array(found["item_id"].tolist(), "Int64"))
+            yield scored(pdf)
 
-    return texts.mapInPandas(
-        run, "doc_id long, row_key long, item_id long, similarity double, start_word long, end_word long")
+    return candidates.mapInPandas(run, "doc_id long, row_key long, ids array<long>, similarity double, start_word int, end_word int")
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, block_words: int = BLOCK_WORDS) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, most_bits: int = MOST_BITS) -> DataFrame:
     """doc_id, row_key, item_id, similarity, and the words [start_word, end_word) that match, per document and item."""
-    context = docs.sparkSession.sparkContext
+    spark = docs.sparkSession
     texts = doc_texts(docs).select("doc_id", F.xxhash64("doc_id", "text").alias("row_key"), "text")
-    found = None
-    for index in _blocks(benchmark, block_words):
-        shared = context.broadcast(index)
-        part = _matches(texts, shared, threshold)
-        found = part if found is None else found.union(part)
-    return found if found is not None else docs.sparkSession.createDataFrame(
-        [], "doc_id long, row_key long, item_id long, similarity double, start_word long, end_word long")
+    items = stored(_items(benchmark), "items")
+    longest, shortest = items.agg(F.max(F.size("item")), F.min(F.size("item"))).first()
+    if longest is None:
+        return spark.createDataFrame([], RESULT)
+    singles = shortest == 1
+    used = stored(seeds(stored(_pairs(items), "pairs"), texts, threshold, singles, most_bits), "seeds")
+    shared = spark.sparkContext.broadcast(_bitmap(used.select("pair").distinct(), most_bits))
+    reach = longest + int(room(np.array(longest), threshold))
+    suspects = stored(_suspects(texts, shared, reach, singles), "suspects")
+    hits = suspects.select("row_key", F.explode(F.arrays_zip("pairs", "places")).alias("hit")).select(
+        "row_key", F.col("hit.pairs").alias("pair"), F.col("hit.places").alias("at"))
+    hits = hits.join(used, "pair").select("row_key", "item_key", "length", (F.col("at") - F.col("place")).alias("start"))
+    windows = stored(_windows(hits, threshold), "windows")
+    parts = F.transform(F.arrays_zip("starts", "sizes"), lambda s: F.slice("words", s["starts"] + 1, s["sizes"]))
+    candidates = suspects.select("row_key", "doc_id", "words").join(windows, "row_key").select(
+        "row_key", "doc_id", "item_key", "starts", parts.alias("parts")).join(items, "item_key")
+    # A stated number of tasks: few bytes may hold much work.
+    tasks = max(spark.sparkContext.defaultParallelism, -(-windows.count() // ROWS_PER_TASK))
+    found = _aligned(candidates.repartition(tasks, "row_key", "item_key"), threshold)
+    return found.select("doc_id", "row_key", F.explode_outer("ids").alias("item_id"), "similarity", "start_word", "end_word")
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -62,10 +62,10 @@ def frames(spark, case):
             spark.createDataFrame(items, "item_id long, text string"))
 
 
-@pytest.mark.parametrize("block_words", [D.BLOCK_WORDS, 100])
-def test_planted_and_edited_items(spark, case, block_words):
+@pytest.mark.parametrize("most_bits", [D.MOST_BITS, 64])
+def test_planted_and_edited_items(spark, case, most_bits):
     docs, benchmark = frames(spark, case)
-    got = D.leaks(docs, benchmark, block_words=block_words).collect()
+    got = D.leaks(docs, benchmark, most_bits=most_bits).collect()
     assert {(r["doc_id"], r["item_id"]) for r in got} == case[2]
     texts, items = dict(case[0]), dict(case[1])
     for r in got:
@@ -138,3 +138,85 @@ def test_items_without_an_id_and_short_items(spark):
     got = {(r["doc_id"], r["item_id"], r["similarity"]) for r in D.leaks(docs, benchmark).collect()}
     assert got == {(1, None, 1.0), (2, 2**60 + 1, 1.0), (3, 3, 1.0), (5, 6, 1.0)}
     assert {r["doc_id"] for r in D.without_leaks(docs, benchmark).collect()} == {4}
+
+
+def edited(rnd, words, other):
+    """A copy with edits of one kind: spread evenly, or anywhere."""
+    w, step = list(words), rnd.randint(2, 5)
+    kind = rnd.randrange(4)
+    if kind == 0:
+        return [y for k, x in enumerate(w) for y in ([x, other()] if k % step == step - 1 else [x])]
+    if kind == 1:
+        return [other() if k % step == step - 1 else x for k, x in enumerate(w)]
+    if kind == 2:
+        return [x for k, x in enumerate(w) if k % step]
+    for _ in range(rnd.randint(0, len(w) // 2)):
+        k = rnd.randrange(len(w))
+        w[k:k + rnd.randint(0, 2)] = [other() for _ in range(rnd.randint(0, 2))]
+        w = w or [other()]
+    return w
+
+
+def test_no_alignment_of_the_threshold_avoids_the_seeds():
+    rnd = random.Random(3)
+    for _ in range(400):
+        vocabulary = rnd.choice([3, 8, 500])
+        word = lambda: rnd.randint(1, vocabulary)
+        item = np.array([word() for _ in range(rnd.randint(4, 40))], np.int64)
+        codes, places, spans = D.pairs_at(item, False)
+        weight = dict.fromkeys(codes.tolist(), 0) | {c: rnd.randint(0, 9) for c in codes.tolist()}
+        weights = np.array([weight[c] for c in codes.tolist()])
+        marked = D.choose(len(item), places, spans, codes, weights, 0.5)
+        text = np.array([word() for _ in range(9)] + edited(rnd, item.tolist(), word) + [word() for _ in range(9)], np.int64)
+        if plain_score(item, text) >= len(item):
+            assert np.isin(D.pairs_at(text, False)[0], codes[marked]).any()
+
+
+def test_edited_copies_against_plain_alignment(spark):
+    """Every link of the threshold, with its similarity, among items and texts of few words."""
+    ship_package(spark)
+    rnd = random.Random(12)
+    word = lambda: f"w{rnd.randint(1, 60)}"
+    items = [(i, " ".join(word() for _ in range(rnd.randint(4, 40)))) for i in range(40)]
+    docs = []
+    for d in range(200):
+        copy = edited(rnd, rnd.choice(items)[1].split(), word)
+        docs.append((d, " ".join([word() for _ in range(rnd.randint(0, 30))] + copy + [word() for _ in range(rnd.randint(0, 30))])))
+    plain = {(d, i): plain_score(u.split(), t.split()) / (D.MATCH * len(u.split())) for d, t in docs for i, u in items}
+    want = {k: round(s, 6) for k, s in plain.items() if s >= D.THRESHOLD}
+    got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in D.leaks(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert len(want) > 100 and got == want
+
+
+def test_a_word_after_every_second_one_and_seven_words(spark):
+    ship_package(spark)
+    long, short = [f"long{k}" for k in range(40)], [f"short{k}" for k in range(7)]
+    spread = [y for k, x in enumerate(long) for y in ([x, f"new{k}"] if k % 2 else [x])]
+    holes = [*short[:2], "other", *short[3:5], "another", short[6]]
+    docs = [(1, " ".join(["before", *spread, "after"])), (2, " ".join(["before", *holes, "after"])), (3, "short1 and then long7 long9")]
+    benchmark = spark.createDataFrame([(1, " ".join(long)), (2, " ".join(short))], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in D.leaks(spark.createDataFrame(docs, "doc_id long, text string"), benchmark).collect()}
+    assert got == {(1, 1): round(plain_score(long, spread) / 80, 6), (2, 2): round(plain_score(short, holes) / 14, 6)}
+
+
+def test_repeated_rows_are_reported_each(spark):
+    ship_package(spark)
+    text = " ".join(f"word{k}" for k in range(20))
+    docs = spark.createDataFrame([(1, f"{text} x {text}")] * 3 + [(None, text)] * 2, "doc_id long, text string")
+    got = D.leaks(docs, spark.createDataFrame([(5, text)], "item_id long, text string")).collect()
+    assert sorted((r["doc_id"] or 0, r["start_word"], r["end_word"]) for r in got) == [(0, 0, 20)] * 2 + [(1, 0, 20)] * 3
+
+
+def test_recall_on_every_hundredth_document(spark):
+    """All links of ids divisible by 100 that plain alignment finds, whole texts."""
+    rows = [r for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect() if r["doc_id"] % 100 == 0]
+    items = spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()
+    got = {(r["doc_id"], r["item_id"]) for r in RUNNERS["op5_benchmark_decontamination"](spark, SMALL).collect()}
+    texts = [(r["doc_id"], D.numbers(r["text"])) for r in rows]
+    want = set()
+    for item in items:
+        ids = D.numbers(item["text"])
+        scores, _ = D.align(ids, [t if len(t) else np.zeros(1, np.int64) for _, t in texts])
+        want |= {(d, item["item_id"]) for (d, _), s in zip(texts, scores) if s >= len(ids)}
+    assert want == {(d, i) for d, i in got if d % 100 == 0}
