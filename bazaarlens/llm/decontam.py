@@ -18,7 +18,7 @@
    THRESHOLD or more leaks the item.
 
 Words are runs of letters and digits, lower-cased, and are compared by a 63-bit
-hash. Both passes skip pairs by a bitmap of the benchmark's pairs, of MOST_BITS
+hash. Both passes skip pairs by a Bloom filter of the benchmark's pairs, of MOST_BITS
 at most; what it lets through in vain is dropped by the join. Documents are read
 twice whatever the size of the benchmark, and only words near a hit are shuffled.
 
@@ -50,10 +50,11 @@ MATCH, MISMATCH, GAP = 2, -1, -1
 THRESHOLD = 0.5
 WHOLE_WORDS = 3
 MOST_BITS = 1 << 28
-BITS_PER_PAIR = 16
+BITS_PER_PAIR = 128
+PROBES = (0, 18, 36)  # shifts of a code, one bit of the bitmap each
 BLOCK = 1 << 16  # bits
 WINDOWS_AT_ONCE = 256
-WORDS_AT_ONCE = 1 << 20
+WORDS_AT_ONCE = 1 << 18
 ROWS_PER_TASK = 50_000
 SLACK = 1e-9
 WORD = re.compile(r"[^\W_]+")
@@ -194,7 +195,7 @@ def _pairs(items: DataFrame) -> DataFrame:
 
 
 def _bitmap(pairs: DataFrame, most_bits: int) -> np.ndarray:
-    """A bit for each remainder of a pair; a power of two of bits, most_bits at most."""
+    """A Bloom filter of the pairs: a power of two of bits, most_bits at most."""
     n, bits = pairs.count(), BLOCK
     while bits < min(n * BITS_PER_PAIR, most_bits):
         bits *= 2
@@ -209,8 +210,9 @@ def _bitmap(pairs: DataFrame, most_bits: int) -> np.ndarray:
                 blocks.append(np.packbits(block).tobytes())
             yield pd.DataFrame({"block": pdf["block"], "bits": blocks})
 
-    bit = F.col("pair").bitwiseAND(F.lit(bits - 1))
-    rows = pairs.select(F.shiftright(bit, BLOCK.bit_length() - 1).alias("block"), bit.bitwiseAND(F.lit(BLOCK - 1)).alias("bit"))
+    probes = F.explode(F.array(*[F.shiftrightunsigned("pair", p).bitwiseAND(F.lit(bits - 1)) for p in PROBES]))
+    bit = F.col("bit")
+    rows = pairs.select(probes.alias("bit")).select(F.shiftright(bit, BLOCK.bit_length() - 1).alias("block"), bit.bitwiseAND(F.lit(BLOCK - 1)).alias("bit"))
     rows = rows.groupBy("block").agg(F.collect_set("bit").alias("held")).mapInPandas(run, "block long, bits binary").collect()
     size = max(bits, BLOCK) // 8
     bitmap = np.zeros(size, np.uint8)
@@ -221,8 +223,35 @@ def _bitmap(pairs: DataFrame, most_bits: int) -> np.ndarray:
 
 
 def _in_bitmap(bitmap: np.ndarray, codes: np.ndarray) -> np.ndarray:
-    bit = codes & np.int64(len(bitmap) * 8 - 1)
-    return (bitmap[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8)) & 1 == 1
+    """Positions of the codes whose bits are all set."""
+    at, mask = np.arange(len(codes)), np.uint64(len(bitmap) * 8 - 1)
+    for p in PROBES:
+        bit = ((codes[at].view(np.uint64) >> np.uint64(p)) & mask).view(np.int64)
+        at = at[np.bitwise_and(bitmap[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8), 1) == 1]
+    return at
+
+
+def _found(texts: list[str], bitmap: np.ndarray, singles: bool) -> Iterator[tuple]:
+    """Texts in chunks of about WORDS_AT_ONCE words: first text, words one after the other, where each text
+    begins, and of the pairs in the bitmap the code, the place and the text."""
+    held, n, first = [], 0, 0
+    for k, text in enumerate(texts):
+        held.append(numbers(text))
+        n += len(held[-1])
+        if n < WORDS_AT_ONCE and k < len(texts) - 1:
+            continue
+        ids = np.concatenate(held)
+        edges = np.concatenate([[0], np.cumsum([len(h) for h in held])])
+        parts = []
+        for span in (0, 1, 2) if singles else (1, 2):
+            size = max(len(ids) - span, 0)
+            codes = pair_codes(ids[:size], ids[span:] if span else np.zeros(size, np.int64))
+            at = _in_bitmap(bitmap, codes)
+            owner = np.searchsorted(edges, at, "right") - 1
+            own = at + span < edges[owner + 1]
+            parts.append((codes[at[own]], at[own], owner[own]))
+        yield first, ids, edges, *(np.concatenate(p) for p in zip(*parts))
+        held, n, first = [], 0, k + 1
 
 
 def _frequencies(texts: DataFrame, shared, singles: bool) -> DataFrame:
@@ -230,12 +259,12 @@ def _frequencies(texts: DataFrame, shared, singles: bool) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            found = []
-            for text in batch.column("text").to_pylist():
-                codes, _, _ = pairs_at(numbers(text), singles)
-                found.append(np.unique(codes[_in_bitmap(shared.value, codes)]))
-            pair, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.int64),) * 2
-            yield pa.RecordBatch.from_arrays([pa.array(pair, pa.int64()), pa.array(n, pa.int64())], ["pair", "n"])
+            for _, _, _, codes, _, owner in _found(batch.column("text").to_pylist(), shared.value, singles):
+                order = np.lexsort((owner, codes))
+                codes, owner = codes[order], owner[order]
+                new = np.r_[True, (codes[1:] != codes[:-1]) | (owner[1:] != owner[:-1])][: len(codes)]
+                pair, n = np.unique(codes[new], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(pair, pa.int64()), pa.array(n, pa.int64())], ["pair", "n"])
 
     return texts.select("text").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
 
@@ -273,24 +302,20 @@ def _suspects(texts: DataFrame, shared, reach: int, singles: bool) -> DataFrame:
             ["row_key", "doc_id", "words", "pairs", "places"])
 
     def run(batches):
-        rows, n = [], 0
         for batch in batches:
-            for key, doc_id, text in zip(*(batch.column(c).to_pylist() for c in ("row_key", "doc_id", "text"))):
-                ids = numbers(text)
-                codes, places, _ = pairs_at(ids, singles)
-                at = np.flatnonzero(_in_bitmap(shared.value, codes))
-                if not len(at):
-                    continue
-                edge = np.zeros(len(ids) + 1, np.int64)
-                np.add.at(edge, np.maximum(places[at] - reach, 0), 1)
-                np.add.at(edge, np.minimum(places[at] + reach, len(ids)), -1)
-                rows.append((key, doc_id, np.where(np.cumsum(edge)[:-1] > 0, ids, 0), codes[at], places[at].astype(np.int32)))
-                n += len(ids)
-                if n >= WORDS_AT_ONCE:
+            keys, doc_ids = batch.column("row_key").to_pylist(), batch.column("doc_id").to_pylist()
+            for first, ids, edges, codes, places, owner in _found(batch.column("text").to_pylist(), shared.value, singles):
+                order = np.argsort(owner, kind="stable")
+                codes, places, owner = codes[order], places[order], owner[order]
+                rows = []
+                for k, a, b in zip(*np.unique(owner, return_index=True), [*np.flatnonzero(np.diff(owner)) + 1, len(owner)]):
+                    own, at = ids[edges[k]:edges[k + 1]], places[a:b] - edges[k]
+                    near = np.zeros(len(own) + 1, np.int64)
+                    np.add.at(near, np.maximum(at - reach, 0), 1)
+                    np.add.at(near, np.minimum(at + reach, len(own)), -1)
+                    rows.append((keys[first + k], doc_ids[first + k], np.where(np.cumsum(near)[:-1] > 0, own, 0), codes[a:b], at.astype(np.int32)))
+                if rows:
                     yield written(rows)
-                    rows, n = [], 0
-        if rows:
-            yield written(rows)
 
     return texts.mapInArrow(run, "row_key long, doc_id long, words array<long>, pairs array<long>, places array<int>")
 
