@@ -33,6 +33,7 @@ searched whole. Other columns are carried along unread.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 from functools import cache
 
@@ -41,10 +42,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh64_intdigest
 
 from .common import doc_texts, stored
-from .words import Remembered
 
 MATCH, MISMATCH, GAP = 2, -1, -1
 THRESHOLD = 0.5
@@ -54,10 +53,11 @@ BITS_PER_PAIR = 128
 PROBES = (0, 18, 36)  # shifts of a code, one bit of the bitmap each
 BLOCK = 1 << 16  # bits
 WINDOWS_AT_ONCE = 256
-WORDS_AT_ONCE = 1 << 18
+CHARACTERS_AT_ONCE = 1 << 18
+POWER = 0x9E3779B97F4A7C15  # odd
 ROWS_PER_TASK = 50_000
 SLACK = 1e-9
-WORD = re.compile(r"[^\W_]+")
+WORD, NO_WORD = re.compile(r"[^\W_]+"), re.compile(r"[\W_]")
 RESULT = "doc_id long, row_key long, item_id long, similarity double, start_word int, end_word int"
 
 
@@ -66,13 +66,58 @@ def words_of(text: str | None) -> list[str]:
 
 
 @cache
-def _hashes() -> Remembered:
-    """Word to a positive 63-bit number; one per Python worker."""
-    return Remembered(lambda w: (xxh64_intdigest(w.encode()) >> 1) or 1)
+def _letters() -> np.ndarray:
+    """A 64-bit number for each code point that words consist of, 0 for the others; one table per Python worker."""
+    code = np.arange(sys.maxunicode + 1, dtype=np.uint64) + np.uint64(1)
+    code = (code ^ (code >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    code = (code ^ (code >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    code = (code ^ (code >> np.uint64(31))) | np.uint64(1)
+    return code * np.fromiter((chr(c).isalnum() for c in range(sys.maxunicode + 1)), np.uint64, len(code))
+
+
+@cache
+def _powers(factor: int, n: int) -> np.ndarray:
+    return np.cumprod(np.r_[np.uint64(1), np.full(n, factor, np.uint64)])
+
+
+def _hashed(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """First character and hash (positive, 63 bits) of the words of a lower-cased text.
+
+    The numbers of a word's letters are summed with a power each; running sums over the
+    text give those of all words at once.
+    """
+    letters = _letters()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
+    inside = np.zeros(len(letters) + 2, np.int8)
+    inside[1:-1] = letters != 0
+    edge = np.diff(inside)
+    start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    n = 1 << len(text).bit_length()
+    sums = np.zeros(len(letters) + 1, np.uint64)
+    np.cumsum(letters * _powers(POWER, n)[: len(letters)], out=sums[1:])
+    code = (sums[end] - sums[start]) * _powers(pow(POWER, -1, 1 << 64), n)[start]
+    code = (code ^ (code >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return start, np.maximum(code >> np.uint64(1), np.uint64(1)).view(np.int64)
+
+
+def numbers_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """The words of all texts as numbers, one after the other, and where each text begins and ends."""
+    texts = [(t or "").lower() for t in texts]
+    firsts = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    whole, at, starts, codes = "\n".join(texts), 0, [], []
+    while at < len(whole):
+        cut = NO_WORD.search(whole, at + CHARACTERS_AT_ONCE)
+        until = cut.start() if cut else len(whole)
+        start, code = _hashed(whole[at:until])
+        starts.append(start + at)
+        codes.append(code)
+        at = max(until, at + 1)
+    if not codes:
+        return np.zeros(0, np.int64), np.zeros(len(firsts), np.int64)
+    return np.concatenate(codes), np.searchsorted(np.concatenate(starts), firsts)
 
 
 def numbers(text: str | None) -> np.ndarray:
-    return np.fromiter(map(_hashes().__getitem__, words_of(text)), np.int64)
+    return numbers_of([text])[0]
 
 
 def pair_codes(first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -232,16 +277,14 @@ def _in_bitmap(bitmap: np.ndarray, codes: np.ndarray) -> np.ndarray:
 
 
 def _found(texts: list[str], bitmap: np.ndarray, singles: bool) -> Iterator[tuple]:
-    """Texts in chunks of about WORDS_AT_ONCE words: first text, words one after the other, where each text
+    """Texts in chunks of about CHARACTERS_AT_ONCE: first text, words one after the other, where each text
     begins, and of the pairs in the bitmap the code, the place and the text."""
-    held, n, first = [], 0, 0
+    first, n = 0, 0
     for k, text in enumerate(texts):
-        held.append(numbers(text))
-        n += len(held[-1])
-        if n < WORDS_AT_ONCE and k < len(texts) - 1:
+        n += len(text)
+        if n < CHARACTERS_AT_ONCE and k < len(texts) - 1:
             continue
-        ids = np.concatenate(held)
-        edges = np.concatenate([[0], np.cumsum([len(h) for h in held])])
+        ids, edges = numbers_of(texts[first:k + 1])
         parts = []
         for span in (0, 1, 2) if singles else (1, 2):
             size = max(len(ids) - span, 0)
@@ -251,7 +294,7 @@ def _found(texts: list[str], bitmap: np.ndarray, singles: bool) -> Iterator[tupl
             own = at + span < edges[owner + 1]
             parts.append((codes[at[own]], at[own], owner[own]))
         yield first, ids, edges, *(np.concatenate(p) for p in zip(*parts))
-        held, n, first = [], 0, k + 1
+        first, n = k + 1, 0
 
 
 def _frequencies(texts: DataFrame, shared, singles: bool) -> DataFrame:
