@@ -2,12 +2,15 @@
 
 1. Passages of a text are its lines (of a line of more than 2 WINDOW words,
    overlapping windows of that many words) and, for each template, every run of
-   as many words of a line as the template has, so that other words around a
-   notice do not matter. A passage is compared with the template by the cosine
-   of their TF-IDF vectors over words. The document frequencies of the
-   templates' words are counted over all files; any other word weighs like the
-   median of those. Only passages that a bound proves to be below THRESHOLD are
-   not compared.
+   as many words of the text as the template has, so that line breaks and other
+   words around a notice do not matter. Templates are notices of file headers,
+   headings of license texts and their characteristic sentences. A passage is
+   compared with the template by the cosine of their TF-IDF vectors over words.
+   The document frequencies of the templates' words are counted over all files;
+   any other word weighs like the median of those. Only passages that a bound
+   proves to be below THRESHOLD are not compared. A passage must hold the version
+   of the template's license, if that has one, and no negation that the template
+   has not, neither inside nor up to BEFORE words ahead in the same sentence.
 2. The best template of THRESHOLD or more is the file's own license. A file is a
    licence file if its name says so or if licence passages make up FILE_SHARE
    of its words; its license holds for its directory.
@@ -16,8 +19,8 @@
    deepest match is kept, and files are joined with their directory.
 
 Null and empty texts have no license of their own but inherit. A file without a
-path has no directory and cannot inherit. Of equal cosines the first line, and in
-it the first template counts; if several licence files share a directory the one with the highest
+path has no directory and cannot inherit. Of equal cosines the first passage, and of those
+that begin with one word the first template counts; very long texts are read whole. If several licence files share a directory the one with the highest
 cosine, then the smallest license name. Repeated rows are treated alike. Other
 columns are not read.
 """
@@ -42,6 +45,9 @@ FILE_SHARE = 0.5
 WINDOW = 40  # words
 SLACK = 1e-9  # of a cosine, for sums in floating point
 WORD = re.compile(r"[a-z0-9]+(?:\.[0-9]+)?")
+SENTENCE_END = re.compile(r"[.;!?](?=\s)|\n\s*\n")
+NEGATIONS = frozenset({"not", "never"})
+BEFORE = 4  # words
 FILE_NAME = r"(?i)^(licen[cs]e|copying|notice)([.-].*)?$"
 
 # Customary notices of public licenses, as they stand in file headers.
@@ -63,6 +69,23 @@ TEMPLATES = (
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC0-1.0", "Dedicated to the public domain under CC0 1.0."),
+    ("GPL-2.0", "SPDX-License-Identifier: GPL-2.0-or-later"),
+    ("LGPL-2.1", "Licensed under the GNU Lesser General Public License, version 2.1."),
+    # Headings of the license texts.
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("LGPL-2.1", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    # Sentences of the license texts.
+    ("MIT", "to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, "
+            "publish, distribute, sublicense, and/or sell copies of the Software"),
+    ("MIT", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
+    ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+                     "products derived from this software without specific prior written permission."),
     ("Proprietary", "All rights reserved. Unauthorized copying of this file is strictly prohibited."),
 )
 
@@ -71,9 +94,20 @@ def words_of(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
+def versions_of(name: str) -> frozenset[str]:
+    """How the version at the end of a license's name is written; empty if it has none."""
+    found = re.search(r"-(\d+)\.(\d+)$", name)
+    if not found:
+        return frozenset()
+    written = [".".join(found.groups()), *([found[1]] if found[2] == "0" else [])]
+    return frozenset(p + w for w in written for p in ("", "v"))
+
+
 VOCABULARY = sorted({w for _, t in TEMPLATES for w in words_of(t)})
 NUMBER = {w: i for i, w in enumerate(VOCABULARY)}
 LENGTHS = [len(words_of(t)) for _, t in TEMPLATES]
+VERSIONS = [versions_of(name) for name, _ in TEMPLATES]
+DENIALS = [NEGATIONS - set(words_of(t)) for _, t in TEMPLATES]
 
 
 class Matcher:
@@ -115,45 +149,64 @@ class Matcher:
         present = [NUMBER[w] for w in NUMBER.keys() & set(words)]
         return np.flatnonzero((self.units[:, present] ** 2).sum(axis=1) >= (THRESHOLD - SLACK) ** 2)
 
-    def passages(self, words: list[str], template: int) -> Iterator[tuple[int, int, float]]:
-        """start, end and cosine of the passages of a line that reach the threshold."""
+    def passages(self, words: list[str], template: int, lines: np.ndarray | None = None,
+                 sentences: np.ndarray | None = None) -> Iterator[tuple[int, int, float]]:
+        """start, end and cosine of the passages that are notices of a template.
+
+        ``lines`` has the first word of each line and the number of words, ``sentences``
+        the first words of the sentences; without them all words are one line or sentence.
+        """
         n, size = len(words), LENGTHS[template]
         number = np.fromiter((NUMBER.get(w, len(VOCABULARY)) for w in words), np.int64, n)
         weights = self.weights[number]
         products = np.concatenate([[0.0], np.cumsum(self.units[template][number] * weights)])
         squares = np.concatenate([[0.0], np.cumsum(weights**2)])
-        start = np.arange(n - size + 1 if n > size else 0)
-        end = start + size
-        whole = np.array([0]) if n <= 2 * WINDOW else np.arange(0, n - WINDOW // 2, WINDOW // 2)
-        start = np.concatenate([whole, start])
-        end = np.concatenate([np.minimum(whole + (n if n <= 2 * WINDOW else WINDOW), n), end])
+        start = np.arange(n - size + 1 if n >= size else 0)
+        starts, ends = [start], [start + size]
+        edges = np.array([0, n]) if lines is None else lines
+        long = np.diff(edges) > 2 * WINDOW
+        starts.append(edges[:-1][~long])
+        ends.append(edges[1:][~long])
+        for a, b in zip(edges[:-1][long], edges[1:][long]):
+            parts = np.arange(a, b - WINDOW // 2, WINDOW // 2)
+            starts.append(parts)
+            ends.append(np.minimum(parts + WINDOW, b))
+        spans = np.unique(np.stack([np.concatenate(starts), np.concatenate(ends)]), axis=1)
+        start, end = spans[:, spans[0] < spans[1]]
         # Repeated words only lengthen the passage's vector.
         bound = (products[end] - products[start]) / np.sqrt(squares[end] - squares[start])
-        vector = self.vectors[template][1]
+        first = np.array([0]) if sentences is None else sentences
+        vector, versions, denials = self.vectors[template][1], VERSIONS[template], DENIALS[template]
         for k in np.flatnonzero(bound >= THRESHOLD - SLACK):
             a, b = int(start[k]), int(end[k])
             own, norm = self._weighted(words[a:b])
+            if versions and versions.isdisjoint(own):
+                continue
             cosine = sum(x * own[w] for w, x in vector.items() if w in own) / norm
             if cosine >= THRESHOLD:
-                yield a, b, cosine
+                since = max(a - BEFORE, int(first[np.searchsorted(first, a, "right") - 1]))
+                if denials.isdisjoint(own) and denials.isdisjoint(words[since:a]):
+                    yield a, b, cosine
 
     def scan(self, text: str) -> tuple[str | None, float, float]:
         """License, cosine, and the share of the words in licence passages."""
-        total = licensed = 0
-        top: tuple[float, str | None] = (0.0, None)
-        if not len(self.possible(words_of(text))):
+        words = words_of(text)
+        possible = self.possible(words)
+        if not len(possible):
+            return None, 0.0, 0.0
+        lines = np.cumsum([0, *(len(words_of(line)) for line in text.split("\n"))])
+        sentences = np.cumsum([0, *(len(words_of(part)) for part in SENTENCE_END.split(text))])[:-1]
+        covered = np.zeros(len(words), bool)
+        best = []
+        for template in possible:
+            for a, b, cosine in self.passages(words, template, lines, sentences):
+                covered[a:b] = True
+                # Cosines that differ by rounding are equal.
+                best.append((-round(cosine, 9), a, int(template)))
+        if not best:
             return None, 0.0, 0.0
-        for line in text.split("\n"):
-            words = words_of(line)
-            total += len(words)
-            covered = np.zeros(len(words), bool)
-            for template in self.possible(words):
-                for a, b, cosine in self.passages(words, template):
-                    covered[a:b] = True
-                    if cosine > top[0] + 1e-12:
-                        top = cosine, self.vectors[template][0]
-            licensed += int(covered.sum())
-        return top[1], round(top[0], 6), licensed / total if total else 0.0
+        top = min(best)
+        return self.vectors[top[2]][0], round(-top[0], 6), float(covered.mean())
 
 
 def document_frequencies(files: DataFrame) -> tuple[dict[str, int], int]:
