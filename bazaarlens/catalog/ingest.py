@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from pyspark.sql import types as T
 
 from ..functions import money_out, month_of
 from ..operators.series import month_spine_between
-from ..plans import checks, ranking
+from ..plans import checks, discovery, ranking
 from ..sources import csv_ingest, store, versions
 from ..sources.durable import scratch_path
 from ..sources.schemas import ORDERS, PRODUCTS, TABLES, TRANSLATION, TableSpec
@@ -298,6 +299,47 @@ def s18(t):
     )
 
 
+# Columns that are profiled and searched for keys: those without fractions, whose text is the same everywhere.
+DESCRIBED = {
+    "sellers": ("v_sellers", ("seller_id", "seller_zip_code_prefix", "seller_state")),
+    "product_category_translation": ("v_translation", ("product_category_name", "product_category_name_english")),
+    "products": ("v_products", ("product_id", "product_category_name")),
+    "orders": ("v_orders", ("order_id", "customer_id", "order_status")),
+    "order_items": ("v_items", ("order_id", "order_item_id", "product_id", "seller_id")),
+    "order_payments": ("v_payments", ("order_id", "payment_sequential")),
+    "order_reviews": ("v_reviews", ("review_id", "order_id", "review_score")),
+}
+
+
+@query("s18_column_profile", " union all ".join(
+    f"""select '{name}' as table_name, '{c}' as column_name, count(*) as row_count, count(*) - count({c}) as null_count,
+        cast(min({c}) as varchar) as min_value, cast(max({c}) as varchar) as max_value from {view}"""
+    for name, (view, columns) in DESCRIBED.items() for c in columns))
+def s18_columns(t):
+    return reduce(DataFrame.unionByName, [
+        discovery.column_profile(name, t.by_name(name).select(*columns)).select(
+            "table_name", "column_name", "row_count", "null_count", "min_value", "max_value")
+        for name, (_, columns) in DESCRIBED.items()])
+
+
+def _sets_sql(name: str, view: str, columns) -> str:
+    sets = [s for n in range(1, len(columns) + 1) for s in combinations(columns, n)]
+    return " union all ".join(
+        f"""select '{name}' as table_name, '{",".join(s)}' as key_columns, {sum(1 << columns.index(c) for c in s)} as mask,
+        (select count(*) from (select distinct {", ".join(s)} from {view})) = count(*)
+        and {" and ".join(f"count({c}) = count(*)" for c in s)} as identifies from {view}""" for s in sets)
+
+
+@query("s14_minimal_keys", f"""
+    with sets as ({" union all ".join(_sets_sql(n, *x) for n, x in DESCRIBED.items())})
+    select table_name, key_columns from sets s where identifies and not exists (
+        select 1 from sets p where p.table_name = s.table_name and p.identifies and p.mask <> s.mask and (p.mask & s.mask) = p.mask)""")
+def s14_keys(t):
+    found = [(name, ",".join(key)) for name, (_, columns) in DESCRIBED.items()
+             for key in discovery.minimal_keys(t.by_name(name).select(*columns))]
+    return t.spark.createDataFrame(found, "table_name string, key_columns string")
+
+
 @query("s18_time_of_day", """
     select 'promised' as stamp, count(*) filter (hour(ts) + minute(ts) + second(ts) = 0) as midnight,
            count(*) filter (hour(ts) + minute(ts) + second(ts) <> 0) as with_time
