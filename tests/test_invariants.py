@@ -89,3 +89,16 @@ def test_scratch_paths_are_removed(spark):
     durable.release(spark)
     assert not os.path.exists(path) and not durable._made
     durable._made[:] = before
+
+
+def test_tasks_read_small_pieces_of_a_shuffle(spark):
+    """A quarter of Spark's default, unless the caller chose a size."""
+    from bazaarlens.session import configure
+
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    assert configure(spark).conf.get(key) == "16m"
+    spark.conf.set(key, "1m")
+    try:
+        assert configure(spark).conf.get(key) == "1m"
+    finally:
+        spark.conf.set(key, "16m")
