@@ -38,11 +38,13 @@ def load_views(t, root: str) -> tuple[DataFrame, dict[str, TableSpec]]:
     specs = {name: typed_as(TABLES[name], view) for name, view in views.items()}
     # Line numbers of the test data repeat within an order.
     specs["order_items"] = replace(specs["order_items"], key=())
-    paths = {}
-    for name, view in views.items():
+    paths = {name: scratch_path(t.spark, f"{name}-csv") for name in views}
+
+    def export(name: str) -> None:
         spec = specs[name]
-        shown = view.select(*[F.col(c).alias(spec.header_of(c)) for c, _, _ in spec.columns])
-        paths[name] = export_csv(shown, scratch_path(t.spark, f"{name}-csv"))
+        export_csv(views[name].select(*[F.col(c).alias(spec.header_of(c)) for c, _, _ in spec.columns]), paths[name])
+
+    store.at_once(t.spark, export, views)
     return store.load_tables(t.spark, paths, root, specs=specs), specs
 
 

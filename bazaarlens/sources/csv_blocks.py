@@ -6,7 +6,8 @@ first: one number per block, summed up along each file. Then every task knows ho
 its block begins and cuts its lines into records. A record that crosses into the
 next block is left over as fragments, at most two per block; only these are
 shuffled and joined. There are as many tasks as blocks, and no file is read by
-one task. The files are read three times: for the counts, the records and the fragments.
+one task. The files are read twice: for the counts, and to be cut; records and
+fragments are then taken from what was cut.
 
 A quote inside a quoted field is doubled, so that each quote flips the state.
 A single quote within an unquoted field is malformed: it fails the load by an odd
@@ -20,6 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .durable import cut_lineage
+
 COMPLETE, OPENS, GOES_ON, CLOSES = range(4)
 PARSING = {"quote": '"', "escape": '"', "mode": "FAILFAST", "multiLine": "true"}
 
@@ -85,8 +88,8 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
         if r["is_last"] and r["ends_inside"]:
             raise ValueError(f"{r['file']}: a quoted field does not end")
     inside = spark.sparkContext.broadcast({(r["key"], r["block"]) for r in states if r["starts_inside"]})
-    cut = lines.select(F.xxhash64("file").alias("key"), "file", "block", "line").mapInArrow(
-        _cut(inside), "file string, block long, kind int, is_first boolean, text string")
+    cut = cut_lineage(lines.select(F.xxhash64("file").alias("key"), "file", "block", "line").mapInArrow(
+        _cut(inside), "file string, block long, kind int, is_first boolean, text string"))
     complete = cut.filter(F.col("kind") == COMPLETE).select("text", "is_first")
     # At most two fragments per block; a record begins with the one that opens it.
     # Within a block the closing fragment comes before the opening one.

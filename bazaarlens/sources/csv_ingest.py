@@ -58,9 +58,8 @@ def _cast(text, dtype: T.DataType, where: str):
     value = F.nullif(text, F.lit(""))
     if isinstance(dtype, T.StringType):
         return value
-    fitting = value.try_cast(dtype)
     message = F.concat(F.lit(f"{where}: does not fit {dtype.simpleString()}: "), value)
-    return F.when(value.isNotNull() & fitting.isNull(), F.raise_error(message)).otherwise(fitting)
+    return F.coalesce(value.try_cast(dtype), F.when(value.isNotNull(), F.raise_error(message).cast(dtype)))
 
 
 def typed(df: DataFrame, spec: TableSpec) -> DataFrame:

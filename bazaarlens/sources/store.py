@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ from .tables import StoredTables, centroids
 
 FREE_TEXT = ("order_reviews",)
 POINTER = "CURRENT"
+WRITERS = 3  # tables written at a time, so that the last tasks of one leave no cores idle
 
 
 def _hadoop_path(spark: SparkSession, path: str):
@@ -63,6 +66,12 @@ def switch_version(spark: SparkSession, root: str, version: str) -> str:
     return f"{root}/{version}"
 
 
+def at_once(spark: SparkSession, work: Callable[[str], None], names: Iterable[str]) -> None:
+    """``work`` for every name, ``WRITERS`` of them at a time; fails if one fails."""
+    with ThreadPoolExecutor(WRITERS) as pool:
+        list(pool.map(inheritable_thread_target(spark)(work), names))
+
+
 def write_versions(
     spark: SparkSession,
     frames: Mapping[str, DataFrame],
@@ -79,12 +88,13 @@ def write_versions(
     Returns the rows per table, counted from what was written, and their total.
     """
     version = f"version-{uuid.uuid4().hex}"
-    written = {}
-    for name, frame in frames.items():
-        path = f"{root}/{version}/{name}"
-        write = (layouts or {}).get(name, lambda df, at: df.write.mode("overwrite").parquet(at))
-        write(frame, path)
-        written[name] = spark.read.schema(frame.schema).parquet(path)
+
+    def write(name: str) -> None:
+        layout = (layouts or {}).get(name, lambda df, at: df.write.mode("overwrite").parquet(at))
+        layout(frames[name], f"{root}/{version}/{name}")
+
+    at_once(spark, write, frames)
+    written = {name: spark.read.schema(frame.schema).parquet(f"{root}/{version}/{name}") for name, frame in frames.items()}
     if verify is not None:
         verify(written)
     if finish is not None:
@@ -118,7 +128,7 @@ def load_tables(
     spark: SparkSession, csv_paths: Mapping[str, str], root: str, expected_rows: Mapping[str, int] | None = None,
     specs: Mapping[str, TableSpec] = TABLES,
 ) -> DataFrame:
-    """Load the nine CSV tables, parents first. All headers are checked before
+    """Load the nine CSV tables, a few at a time. All headers are checked before
     anything is written, and the written tables before readers see them.
 
     Orders are stored by month and customers sorted by person; centroids and the

@@ -116,3 +116,10 @@ def test_empty_lines_and_no_records(spark, tmp_path):
     assert rows_of(csv_ingest.read_text_csv(spark, str(tmp_path / "a.csv"), multi_line=True)) == [("1", "\n\n", "b")]
     (tmp_path / "b.csv").write_text("id,text,more\n")
     assert rows_of(csv_ingest.read_text_csv(spark, str(tmp_path / "b.csv"), multi_line=True)) == []
+
+
+def test_blocks_are_cut_once(spark, tmp_path):
+    spark.createDataFrame([(1, "a\nb"), (2, "c")], "n int, x string").repartition(1).write.option("header", True).csv(str(tmp_path / "csv"))
+    records = csv_blocks.read_records(spark, str(tmp_path / "csv"))
+    assert "MapInArrow" not in records._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r["text"] for r in records.collect()) == ["1,\"a\nb\"", "2,c", "n,x"]
