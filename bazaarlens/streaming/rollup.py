@@ -21,6 +21,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -34,18 +35,31 @@ MEASURES = {"revenue": "decimal(25,2)", "units": "bigint"}
 PLACED = "order_purchase_timestamp"
 
 
-def _daily(t, items: DataFrame, orders: DataFrame, by: tuple[str, ...]) -> DataFrame:
-    """Line items of ``orders`` (order_id, day), summed per product first, then per ``by``."""
-    of_order = [c for c in by if c not in GRAIN]
+def _lines(items: DataFrame, orders: DataFrame) -> DataFrame:
+    """Line items of ``orders`` (order_id, day)."""
+    return items.select("order_id", "product_id", "seller_id", "price").join(orders, "order_id")
+
+
+def _daily(t, items: DataFrame, orders: DataFrame) -> DataFrame:
+    """Line items of ``orders``, summed per product first, then by day, seller and category."""
     per_product = (
-        items.select("order_id", "product_id", "seller_id", "price").join(orders, "order_id")
-        .groupBy(*of_order, "day", "seller_id", "product_id")
+        _lines(items, orders).groupBy("day", "seller_id", "product_id")
         .agg(F.sum("price").alias("revenue"), F.count("*").alias("units"))
     )
+    return _summed(per_product.join(base.categories(t), "product_id"))
+
+
+def _contributions(t, items: DataFrame, orders: DataFrame) -> DataFrame:
+    """Line items of ``orders``, summed per order, day, seller and category.
+
+    An order seldom has a product twice, so its lines are summed once, after they
+    got their category. They are dealt by order, as the caller joins them by order.
+    """
     return (
-        per_product.join(base.categories(t), "product_id")
-        .groupBy(*by)
-        .agg(F.sum("revenue").cast(MEASURES["revenue"]).alias("revenue"), F.sum("units").alias("units"))
+        _lines(items, orders).join(base.categories(t), "product_id")
+        .select("order_id", *GRAIN, "price").repartition("order_id")
+        .groupBy("order_id", *GRAIN)
+        .agg(F.sum("price").cast(MEASURES["revenue"]).alias("revenue"), F.count("*").alias("units"))
     )
 
 
@@ -55,7 +69,7 @@ def _placed(orders: DataFrame) -> DataFrame:
 
 def partial_rollup(t, items: DataFrame) -> DataFrame:
     """Aggregate delivered line items to the grain of the rollup."""
-    return _daily(t, items, _placed(base.delivered_orders(t)), GRAIN)
+    return _daily(t, items, _placed(base.delivered_orders(t)))
 
 
 def _schema(t, *names: str) -> T.StructType:
@@ -108,9 +122,9 @@ def _batches(spark: SparkSession, folder: str, after: int, before: int | None =
 
 
 def _last_contributions(ledger: DataFrame) -> DataFrame:
-    """The rows of the last batch that named each order."""
-    last = ledger.groupBy("order_id").agg(F.max("batch").alias("batch"))
-    return ledger.join(last, ["order_id", "batch"])
+    """The rows of the last batch that named each order, in one pass over the ledger."""
+    last = F.max("batch").over(W.partitionBy("order_id"))
+    return ledger.withColumn("_last", last).filter(F.col("order_id").isNotNull() & (F.col("batch") == F.col("_last"))).drop("_last")
 
 
 def write_batch(t, changed: DataFrame, folder: str, batch: int, root: str | None = None) -> None:
@@ -127,7 +141,7 @@ def write_batch(t, changed: DataFrame, folder: str, batch: int, root: str | None
     named = spark.read.schema(_schema(t, "order_id")).parquet(path)
 
     orders = _placed(base.delivered_orders(t)).join(named, "order_id", "left_semi")
-    present = _daily(t, t.order_items, orders, ("order_id", *GRAIN))
+    present = _contributions(t, t.order_items, orders)
     # An order that contributes nothing (any more) has one row without a day.
     path = f"{folder}/ledger/batch={batch}"
     named.join(present, "order_id", "left").select(*LEDGER).write.mode("overwrite").parquet(path)

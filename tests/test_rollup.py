@@ -128,3 +128,17 @@ def test_only_touched_days_are_written(spark):
     rollup.write_batch(t, t.orders.filter("order_id % 2 = 0"), folder, 2)
     unchanged = spark.read.parquet(f"{folder}/changes/batch=2")
     assert {r["day"] for r in unchanged.select("day").collect()} <= days
+
+
+def test_the_ledger_is_read_once_and_dealt_by_order(spark):
+    """The last batch of an order counts, whole; the plan has one scan, and no shuffle but by order for the contributions."""
+    path = scratch_path(spark, "ledger")
+    rows = [(1, 10, 0), (1, 11, 0), (1, 12, 2), (2, 20, 1), (2, 21, 1), (None, 5, 0)]
+    spark.createDataFrame(rows, "order_id long, units long, batch long").write.parquet(path)
+    last = rollup._last_contributions(spark.read.schema("order_id long, units long, batch long").parquet(path))
+    plan = last._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1 and last.columns == ["order_id", "units", "batch"]
+    assert sorted(r["units"] for r in last.collect()) == [12, 20, 21]
+    t = open_star(spark, SMALL)
+    lines = rollup._contributions(t, t.order_items, rollup._placed(t.delivered_orders))
+    assert lines._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [order_id") == 1
