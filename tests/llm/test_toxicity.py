@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from bazaarlens.llm import toxicity as X
 from bazaarlens.llm.common import ship_package, table
@@ -95,6 +96,108 @@ def test_a_toxic_end_without_blanks_is_seen(spark):
     assert np.mean([r["predicted"] == r["doc_id"] % 2 for r in held]) > 0.95
 
 
+def test_every_character_of_a_text_counts(monkeypatch):
+    """Another character anywhere gives other n-grams, in words of any length; so does one that goes."""
+    of = lambda t: dict(zip(*(x.tolist() for x in X.whole_features([t])[0])))
+    rnd = random.Random(8)
+    for n in range(1, 40):
+        word = "".join(rnd.choice("abcdefgh") for _ in range(n))
+        for k in range(n):
+            assert of(f"und {word} so") != of(f"und {word[:k]}x{word[k + 1:]} so")
+            assert of(f"und {word} so") != of(f"und {word[:k]}{word[k + 1:]} so")
+    assert of("") == of(" \n") == {} and of("ein vollidiot") != of("ein vollendet")
+
+
+def test_many_texts_at_once_and_chunks(monkeypatch):
+    """Texts read together, or in chunks, have the n-grams they have alone."""
+    texts = [r[1] or "" for r in awkward.rows()] + ["", "\u4eca" * 70, "x", "vollidiotische menschenverachtende"]
+    alone = [X.whole_features([t])[0] for t in texts]
+    same = lambda got: all(np.array_equal(a, b) for f, g in zip(got, alone, strict=True) for a, b in zip(f, g))
+    assert same([f for bunch in X.bunches(texts) for f in X.whole_features(bunch)])
+    monkeypatch.setattr(X, "CHUNK", 1000)
+    assert same(X.whole_features(texts)) and same([f for bunch in X.bunches(texts) for f in X.whole_features(bunch)])
+    short = [t[:90] for t in texts]
+    alone = [X.whole_features([t])[0] for t in short]
+    for chunk in (1, 7, X.LONG, 50):
+        monkeypatch.setattr(X, "CHUNK", chunk)
+        assert same(X.whole_features(short))
+    assert all(np.array_equal(a, b) for f in alone for a, b in zip(X._unpacked(X._packed(f)), f))
+
+
+def test_all_labels_are_learned(spark):
+    """No bound on the documents of either class; every text under an id counts."""
+    ship_package(spark)
+    labels = spark.range(8000).selectExpr("id as doc_id", "cast(id % 2 as int) as toxic")
+    outside = [i for i in range(8000) if zlib.crc32(str(i).encode()) % 4 != 2]
+    assert sorted(r["doc_id"] for r in X.training_sample(labels).collect()) == outside
+    assert X.training_sample(labels, 10).count() == 10 + sum(i % 2 == 0 for i in outside)
+    a, b = [i for i in range(40) if zlib.crc32(str(i).encode()) % 4 != 2][:2]
+    docs = spark.createDataFrame([(a, "good"), (a, "nice"), (a, "nice"), (b, "nasty"), (b, "wretch")], "doc_id long, text string")
+    ratio, _, _ = X.train(docs, spark.createDataFrame([(a, 0), (b, 1)], "doc_id long, toxic int"))
+    plain, _, _ = X.fit(X.whole_features(["good", "nice", "nasty", "wretch"]), np.array([0, 0, 1, 1.0]))
+    assert np.array_equal(ratio, plain)
+
+
+def labelled(n, odd):
+    """Ids outside the fold and texts, every ``odd``-th toxic by one of forty marks."""
+    rnd = random.Random(odd)
+    words = ["".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(3, 8))) for _ in range(300)]
+    ids = [i for i in range(2 * n) if zlib.crc32(str(i).encode()) % 4 != 2][:n]
+    text = lambda k: " ".join(rnd.choice(words) for _ in range(25)) + (f" {'klmnopqr'[k % 8]}{'stuvw'[k % 5]}zzz" if k % odd == 0 else "")
+    return [(i, text(k), int(k % odd == 0)) for k, i in enumerate(ids)]
+
+
+def test_shards_together_see_every_row(spark, monkeypatch):
+    """The ratios are those of one fit over all rows, the coefficients the mean of the shards'."""
+    ship_package(spark)
+    rows = labelled(600, 4)
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").repartition(5)
+    marks = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    found, toxic = X.whole_features([r[1] for r in rows]), np.array([float(r[2]) for r in rows])
+    whole = X.fit(found, toxic)
+    one = X.train(docs, marks)
+    assert np.array_equal(one[0], whole[0]) and np.allclose(one[1], whole[1], atol=1e-6) and abs(one[2] - whole[2]) < 1e-6
+    monkeypatch.setattr(X, "SHARD", 150)
+    several = X.train(docs.repartition(3), marks)
+    assert np.array_equal(several[0], whole[0])
+    deal = docs.join(marks, "doc_id").select("toxic", "text", F.xxhash64("doc_id", "text").alias("deal"))
+    dealt = X.dealt(deal, 150, 450, 4).collect()
+    assert sorted(r["text"] for r in dealt) == sorted(r[1] for r in rows)
+    means, odds = np.zeros(X.FEATURES), 150 / 450
+    for shard in range(4):
+        part = sorted((r["toxic"], r["text"]) for r in dealt if r["shard"] == shard)
+        n = sum(k for k, _ in part)
+        weight = X.TOXIC_WEIGHT * odds / (n / (len(part) - n))
+        means += X.fit(X.whole_features([t for _, t in part]), np.array([float(k) for k, _ in part]), whole[0], weight)[1] / 4
+    assert np.allclose(several[1], means, atol=1e-5)
+    assert all(np.array_equal(a, b) for a, b in zip(several, X.train(docs, marks)))
+
+
+def test_a_rare_class_is_in_every_shard(spark, monkeypatch):
+    ship_package(spark)
+    monkeypatch.setattr(X, "SHARD", 60)
+    rows = [(i, f"{t} {i} {'horrid' if i % 60 == 0 else ''}", int(i % 60 == 0)) for i, t, _ in labelled(900, 7)]
+    n = sum(r[2] for r in rows)
+    frame = spark.createDataFrame([(r[2], r[0]) for r in rows], "toxic int, deal long")
+    dealt = X.dealt(frame, n, len(rows) - n, 15).groupBy("shard", "toxic").count().collect()
+    assert {r["shard"] for r in dealt} == set(range(15)) and [r["count"] for r in dealt if r["toxic"]] == [n] * 15
+    assert sum(r["count"] for r in dealt if not r["toxic"]) == len(rows) - n
+    docs = spark.createDataFrame([r[:2] for r in rows] + [(i, "plain horrid text" if i % 2 else "plain text") for i in range(5000, 5100)], "doc_id long, text string")
+    got = X.score(docs, X.train(docs, spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int"))).collect()
+    high, low = ([r["score"] for r in got if r["doc_id"] >= 5000 and r["doc_id"] % 2 == k] for k in (1, 0))
+    assert min(high) > max(low)
+
+
+def test_joined_by_a_shuffle(spark, monkeypatch):
+    ship_package(spark)
+    rows = labelled(300, 3)
+    docs = spark.createDataFrame([r[:2] for r in rows] + [(None, "no id")], "doc_id long, text string")
+    marks = spark.createDataFrame([(r[0], r[2]) for r in rows] + [(None, 1)], "doc_id long, toxic int")
+    model = X.train(docs, marks)
+    monkeypatch.setattr(X, "BROADCAST_IDS", 0)
+    assert all(np.array_equal(a, b) for a, b in zip(model, X.train(docs, marks)))
+
+
 def test_fit_is_the_plain_regression(monkeypatch):
     """Against dense matrices."""
     monkeypatch.setattr(X, "FEATURES", 12)
